@@ -1,0 +1,107 @@
+"""A durable posting table on plain Parquet folders.
+
+``deltas/batch_id=N`` holds one folded batch; writing it again overwrites it, so
+a repeated micro-batch does no harm.  ``base/version=V`` holds a merged table.
+``log`` lists what is complete: readers follow the log and never see a folder
+that is still being written.  Storing a batch costs as much as the batch; the
+large merge runs once per ``compact``, not once per batch.  One writer at a time.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import CleanConfig
+from ..operators.upsert import fold, merge, prepare_batch
+from ..schema import POSTING
+
+_LOG = "kind string, id long, up_to_batch long"
+
+
+@dataclass(frozen=True)
+class _State:
+    version: int
+    up_to_batch: int
+    pending: tuple[int, ...]
+
+
+class PostingStore:
+    """Upsert target below one folder every executor can reach."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _note(self, kind: str, number: int, up_to_batch: int) -> None:
+        entry = self.spark.range(1).select(
+            F.lit(kind).alias("kind"), F.lit(number).cast("long").alias("id"),
+            F.lit(up_to_batch).cast("long").alias("up_to_batch"))
+        entry.coalesce(1).write.mode("append").json(f"{self.root}/log")
+
+    def _state(self) -> _State:
+        """Latest version and the batches it lacks; the log has one line per write."""
+        try:
+            log = self.spark.read.schema(_LOG).json(f"{self.root}/log")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return _State(-1, -1, ())
+        newest = (log.filter("kind = 'base'")
+                  .agg(F.max(F.struct("id", "up_to_batch")).alias("m")).select("m.*").first())
+        version, up_to = (-1, -1) if newest[0] is None else (newest[0], newest[1])
+        pending = log.filter((F.col("kind") == "delta") & (F.col("id") > up_to)).select("id").distinct()
+        return _State(version, up_to, tuple(sorted(r[0] for r in pending.collect())))
+
+    def append(self, rows: DataFrame, batch_id: int, run_ts: Column,
+               cfg: CleanConfig = CleanConfig(), order: str = "seq") -> None:
+        """Store one batch of cleaned, tagged rows; repeating a batch is harmless."""
+        if batch_id <= self._state().up_to_batch:
+            return
+        folded = fold(prepare_batch(rows, run_ts, cfg), order)
+        folded.write.mode("overwrite").parquet(f"{self.root}/deltas/batch_id={batch_id}")
+        self._note("delta", batch_id, batch_id)
+
+    def _read(self, state: _State) -> DataFrame:
+        base = None
+        if state.version >= 0:
+            base = self.spark.read.schema(POSTING).parquet(f"{self.root}/base/version={state.version}")
+        if not state.pending:
+            return self.spark.createDataFrame([], POSTING) if base is None else base
+        paths = [f"{self.root}/deltas/batch_id={n}" for n in state.pending]
+        deltas = self.spark.read.option("basePath", f"{self.root}/deltas").parquet(*paths)
+        batch = fold(deltas, "batch_id") if len(paths) > 1 else deltas
+        return batch.select(*POSTING.fieldNames()) if base is None else merge(base, batch)
+
+    def read(self) -> DataFrame:
+        """The current table: the newest version, with later batches merged in."""
+        return self._read(self._state())
+
+    def compact(self) -> int:
+        """Write base and batches as a new version; returns its number."""
+        state = self._state()
+        if not state.pending:
+            return state.version
+        version = state.version + 1
+        self._read(state).write.mode("overwrite").parquet(f"{self.root}/base/version={version}")
+        self._note("base", version, state.pending[-1])
+        return version
+
+    def upsert(self, rows: DataFrame, batch_id: int, run_ts: Column,
+               cfg: CleanConfig = CleanConfig(), order: str = "seq") -> DataFrame:
+        """Store one batch, merge it, return the table."""
+        self.append(rows, batch_id, run_ts, cfg, order)
+        self.compact()
+        return self.read()
+
+
+def save_bucketed(postings: DataFrame, table: str, buckets: int) -> None:
+    """Save as a catalog table bucketed and sorted by ``job_hash``.
+
+    A merge into it then shuffles the batch only.  Choose ``buckets`` so that one
+    bucket is a comfortable task, for example 1 GB.
+    """
+    (postings.repartition(buckets, "job_hash").write.mode("overwrite")
+     .bucketBy(buckets, "job_hash").sortBy("job_hash").saveAsTable(table))
