@@ -1,60 +1,104 @@
-"""Skill tagging from a dictionary of regular expressions."""
+"""Skill tagging from a dictionary of regular expressions.
+
+Running every expression over every text is the cost of an ingest.  Most
+expressions ask for whole words, so a text is split into words once and only
+the words of the dictionary are kept.  An expression that is just a word is
+then decided by that short list; the others run where the words they need are
+present, or, where an expression names no whole word, a plain substring.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SKILLS
-from .text import contains_any
 
-# Constructs the guard builder below does not read; such patterns get no guard.
-_UNREAD = re.compile(r"\[|\{|\(\?[^:!]|\\[^bsw+.#]|(?<!\\)[?*+][?+]")
+# Constructs that are not read below; such an expression always runs.
+_UNREAD = re.compile(r"\[|\{|\(\?[^:!]|\\[^bsw+.#]|(?<!\\)[?*+][?+]|[$^]")
+_PIECE = re.compile(r"(\\b)|(\\s\+?(?![*?]))|(\\[sw][*?+]?|\n)|(\\?.)([?*+]?)", re.S)
+_EDGE, _GAP = "\x00", "\n"
+
+
+@dataclass(frozen=True)
+class Need:
+    """What any match of one alternative must contain."""
+
+    words: tuple[str, ...] = ()
+    substring: str = ""
+    exact: bool = False
+    """The word alone decides; the expression need not run."""
 
 
-def required_literals(pattern: str) -> list[str] | None:
-    """For each alternative, a plain text every match of it must contain.
+def _needs_of(alternative: str) -> Need | None:
+    flat = ""
+    for edge, space, gap, char, repeat in _PIECE.findall(alternative):
+        if edge:
+            flat += _EDGE
+        elif space:
+            flat += _EDGE + _GAP + _EDGE
+        elif gap or char == "." or repeat in ("?", "*"):
+            flat += _GAP
+        else:
+            plain = char[-1]
+            flat += plain if re.match(r"\w", plain) else _EDGE + plain + _EDGE
+            flat += _GAP if repeat == "+" else ""
+    words = tuple(re.findall(rf"(?<={_EDGE})\w+(?={_EDGE})", flat))
+    longest = max(flat.replace(_EDGE, "").split(_GAP), key=len)
+    exact = len(words) == 1 and flat == f"{_EDGE}{words[0]}{_EDGE}"
+    return Need(words, longest, exact) if words or longest else None
 
-    None where that cannot be read off the pattern; tagging then runs the
-    regular expression alone, which is slower and gives the same result.
-    """
+
+def needs(pattern: str) -> list[Need] | None:
+    """One entry per alternative; None if an alternative gives nothing to test."""
     if _UNREAD.search(pattern):
         return None
-    flat = re.sub(r"\([^()]*\)[?*+]?", "\n", pattern)  # groups and lookaheads break a run
+    flat = re.sub(r"\([^()]*\)[?*+]?", "\n", pattern)  # a group may be anything
     if "(" in flat or ")" in flat:
         return None
-    literals = []
-    for alternative in flat.split("|"):
-        alternative = re.sub(r"\\[bsw][?*+]?", "\n", alternative)
-        alternative = re.sub(r"\\?.[?*]", "\n", alternative)    # optional character
-        alternative = re.sub(r"(?<!\\)\.|(?<!\\)[+^$]", "\n", alternative)
-        runs = alternative.replace("\\", "").split("\n")
-        longest = max(runs, key=len)
-        if not longest:
-            return None
-        literals.append(longest)
-    return literals
-
-
-def match_skill(text: Column, pattern: str) -> Column:
-    """``text`` matches ``pattern``; a substring test runs first where it can.
-
-    Most texts hold few skills, and a substring search costs a fraction of a
-    regular expression.
-    """
-    hit = text.rlike(f"(?U){pattern}")
-    literals = required_literals(pattern)
-    return contains_any(text, literals) & hit if literals else hit
+    found = [_needs_of(a) for a in flat.split("|")]
+    return None if None in found else found
+
+
+def _match(text: Column, words: Column, pattern: str) -> Column:
+    run = text.rlike(f"(?U){pattern}")
+    alternatives = needs(pattern)
+    if alternatives is None:
+        return run
+    decided, guarded = [], []
+    for need in alternatives:
+        if need.exact:
+            decided.append(F.array_contains(words, need.words[0]))
+        elif need.words:
+            present = F.array_contains(words, need.words[0])
+            for word in need.words[1:]:
+                present = present & F.array_contains(words, word)
+            guarded.append(present)
+        else:
+            guarded.append(text.contains(need.substring))
+    hit = None
+    for test in decided:
+        hit = test if hit is None else hit | test
+    if guarded:
+        possible = guarded[0]
+        for test in guarded[1:]:
+            possible = possible | test
+        hit = possible & run if hit is None else hit | (possible & run)
+    return hit
 
 
 def tag_skills(df: DataFrame, skills: Mapping[str, str] = SKILLS, out: str = "skills") -> DataFrame:
     """Add the array of skills found in title and description, in dictionary order."""
+    vocabulary = sorted({w for p in skills.values() for n in needs(p) or () for w in n.words})
     text = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))))
-    tags = [F.when(match_skill(F.col("_text"), p), F.lit(name)) for name, p in skills.items()]
-    return df.withColumn("_text", text).withColumn(out, F.array_compact(F.array(*tags))).drop("_text")
+    words = F.filter(F.split("_text", r"(?U)\W+"), lambda w: w.isin(*vocabulary))
+    tags = [F.when(_match(F.col("_text"), F.col("_words"), p), F.lit(name)) for name, p in skills.items()]
+    return (df.withColumn("_text", text).withColumn("_words", words)
+            .withColumn(out, F.array_compact(F.array(*tags))).drop("_text", "_words"))
 
 
 def skills_from_table(table: DataFrame, name: str = "name", pattern: str = "pattern",

@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 
 from ..config import CleanConfig
 
-# The characters that count as whitespace in text, written out so that the set
-# does not depend on a regex dialect or flag.
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Whitespace as in Unicode, with the four separator control characters.
+SPACE = r"[\s\x1c-\x1f]"
 
 
 def strip_space(c: Column) -> Column:
     """Remove whitespace of any kind at both ends."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+$", "")
 
 
 def clean_text(c: Column) -> Column:
@@ -26,7 +25,7 @@ def clean_text(c: Column) -> Column:
     Entities go after the runs are merged, so "a &amp; b" keeps two spaces.
     Only plain spaces are left by then, so ``trim`` is enough.
     """
-    merged = F.regexp_replace(F.coalesce(c, F.lit("")), rf"{SPACE}+", " ")
+    merged = F.regexp_replace(F.coalesce(c, F.lit("")), rf"(?U){SPACE}+", " ")
     return F.trim(F.regexp_replace(merged, r"(?U)&\w+;", ""))
 
 
@@ -109,7 +108,8 @@ def pick_salary(texts: Column, default: str) -> Column:
 
 def full_text(description: Column, requirements: Column, fallback: Column) -> Column:
     """Description and requirement texts; all section texts if both are blank."""
-    found = strip_space(F.concat_ws(" ", join_tags(description, " "), join_tags(requirements, " ")))
+    # Each part is stripped already; only the joining space can stand at an end.
+    found = F.trim(F.concat_ws(" ", join_tags(description, " "), join_tags(requirements, " ")))
     return F.coalesce(F.nullif(found, F.lit("")), F.array_join(fallback, " "), F.lit(""))
 
 

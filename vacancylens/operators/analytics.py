@@ -188,9 +188,9 @@ def skill_by_level(active: DataFrame, top: int = 10) -> DataFrame:
     ranked = (cells.groupBy("skill").agg(F.sum("n").alias("total"))
               .orderBy(F.desc("total"), F.asc("skill")).limit(top))
     kept = cells.join(F.broadcast(ranked.select("skill")), "skill", "left_semi")  # at most `top` rows
-    levels = kept.agg(F.sort_array(F.collect_set("career_level"))).scalar()
-    frame = (ranked.withColumn("_levels", levels)
-             .select("skill", F.explode("_levels").alias("career_level"), F.lit(0).cast("bigint").alias("n")))
+    # Every level once per top skill with weight 0; only the short skill list is collected.
+    frame = (kept.select("career_level").distinct().withColumn("_top", _top_list(ranked, "skill"))
+             .select(F.explode("_top").alias("skill"), "career_level", F.lit(0).cast("bigint").alias("n")))
     return (kept.unionByName(frame).groupBy("skill", "career_level").agg(F.sum("n").alias("n"))
             .orderBy("skill", "career_level"))
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +20,7 @@ from .analytics import company_features, level_column, min_volume, scale_feature
 MAX_ITERATIONS = 300
 N_STARTS = 10
 SEED = 42
+POINTS_PER_TASK = 20_000
 
 _TOKEN = r"(?U)\b\w\w+\b"
 
@@ -69,9 +72,12 @@ def tfidf_vectors(postings: DataFrame, terms: Sequence[tuple[str, float]]) -> Da
 
     ``terms`` are (term, idf) pairs in the order of the vector's indices.
     """
+    return _vectors(_with_tokens(postings), terms)
+
+
+def _vectors(docs: DataFrame, terms: Sequence[tuple[str, float]]) -> DataFrame:
     names = [t for t, _ in terms]
-    counted = CountVectorizerModel.from_vocabulary(names, inputCol="tokens", outputCol="_tf").transform(
-        _with_tokens(postings))
+    counted = CountVectorizerModel.from_vocabulary(names, inputCol="tokens", outputCol="_tf").transform(docs)
     weighted = ElementwiseProduct(scalingVec=Vectors.dense([w for _, w in terms]), inputCol="_tf",
                                   outputCol="_tfidf").transform(counted)
     scaled = Normalizer(p=2.0, inputCol="_tfidf", outputCol="features").transform(weighted)
@@ -83,20 +89,33 @@ def read_terms(postings: DataFrame, max_terms: int = 100) -> list[tuple[str, flo
     return sorted((r["term"], r["idf"]) for r in vocabulary(postings, max_terms).collect())
 
 
+def cached_points(points: DataFrame) -> tuple[DataFrame, int]:
+    """Cache the points of a fit on as many partitions as their number deserves.
+
+    Every iteration runs one task per partition, so near-empty partitions cost
+    more than they help; a large set keeps the partitions it has.
+    """
+    cached = points.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    return cached.coalesce(max(1, n // POINTS_PER_TASK)).persist(StorageLevel.MEMORY_AND_DISK), n
+
+
 def best_kmeans(points: DataFrame, k: int, seed: int = SEED, starts: int = N_STARTS,
-                weight: str | None = None) -> tuple[KMeansModel, list[float]]:
-    """The model with the lowest cost out of several starts, and all costs."""
-    model, best, costs = None, None, []
-    for start in range(starts):
+                weight: str | None = None, parallelism: int = N_STARTS) -> tuple[KMeansModel, list[float]]:
+    """The model with the lowest cost out of several starts, and all costs.
+
+    The starts are independent Spark jobs on the same cached points, submitted
+    side by side: one start alone leaves most of a cluster idle between steps.
+    """
+    def fit(start: int) -> KMeansModel:
         kmeans = KMeans(k=k, seed=seed + start, maxIter=MAX_ITERATIONS, featuresCol="features",
                         predictionCol="cluster")
-        if weight:
-            kmeans = kmeans.setWeightCol(weight)
-        fitted = kmeans.fit(points)
-        costs.append(fitted.summary.trainingCost)
-        if best is None or costs[-1] < best:
-            model, best = fitted, costs[-1]
-    return model, costs
+        return (kmeans.setWeightCol(weight) if weight else kmeans).fit(points)
+
+    with ThreadPool(min(parallelism, starts)) as pool:
+        models = pool.map(inheritable_thread_target(points.sparkSession)(fit), range(starts))
+    costs = [m.summary.trainingCost for m in models]
+    return models[costs.index(min(costs))], costs
 
 
 class RoleModel:
@@ -111,17 +130,14 @@ class RoleModel:
     def __init__(self, postings: DataFrame, k: int = 5, max_terms: int = 100, least: int = 50,
                  seed: int = SEED, starts: int = N_STARTS):
         self.terms = read_terms(postings, max_terms)
-        tokens = (_with_tokens(postings).groupBy(F.array_sort("tokens").alias("skills"))
-                  .agg(F.count("*").cast("double").alias("weight")))
-        total = _with_tokens(postings).count()
+        token_sets = (_with_tokens(postings).groupBy(F.array_sort("tokens").alias("tokens"))
+                      .agg(F.count("*").cast("double").alias("weight")))
+        points, _ = cached_points(_vectors(token_sets, self.terms).select("features", "weight"))
+        total = int(points.agg(F.sum("weight")).first()[0] or 0)
         if total <= least:
             raise ValueError(f"{total} postings with skills; clustering needs more than {least}")
-        points = (tfidf_vectors(tokens.filter(F.size("skills") > 0), self.terms)
-                  .select("features", "weight").persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            self.model, self.costs = best_kmeans(points, k, seed, starts, weight="weight")
-        finally:
-            points.unpersist()
+        self.model, self.costs = best_kmeans(points, k, seed, starts, weight="weight")
+        points.unpersist()
 
     def assign(self, postings: DataFrame) -> DataFrame:
         """Postings that have skills, with ``features`` and ``cluster``."""
@@ -160,11 +176,10 @@ def company_segments(active: DataFrame, levels: Sequence[str], k: int = 3, least
     features = min_volume(company_features(active, levels), least_jobs)
     columns = ["total_jobs", *map(level_column, levels)]
     scaled = scale_features(features, columns, "_z")
-    points = (VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="features").transform(scaled)
-              .select("company", *columns, "features").persist(StorageLevel.MEMORY_AND_DISK))
-    n = points.count()
+    points, n = cached_points(
+        VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="features").transform(scaled)
+        .select("company", *columns, "features"))
     if n <= least_companies:
-        points.unpersist()
         raise ValueError(f"{n} companies; segmentation needs more than {least_companies}")
     model, _ = best_kmeans(points, k, seed, starts)
     return model.transform(points).withColumnRenamed("cluster", "segment").drop("features")

@@ -56,13 +56,19 @@ class PostingStore:
         return _State(version, up_to, tuple(sorted(r[0] for r in pending.collect())))
 
     def append(self, rows: DataFrame, batch_id: int, run_ts: Column,
-               cfg: CleanConfig = CleanConfig(), order: str = "seq") -> None:
-        """Store one batch of cleaned, tagged rows; repeating a batch is harmless."""
-        if batch_id <= self._state().up_to_batch:
-            return
+               cfg: CleanConfig = CleanConfig(), order: str = "seq") -> int:
+        """Store one batch of cleaned, tagged rows; repeating a batch is harmless.
+
+        Returns how many batches wait for ``compact``.
+        """
+        state = self._state()
+        if batch_id <= state.up_to_batch:
+            return len(state.pending)
         folded = fold(prepare_batch(rows, run_ts, cfg), order)
         folded.write.mode("overwrite").parquet(f"{self.root}/deltas/batch_id={batch_id}")
-        self._note("delta", batch_id, batch_id)
+        if batch_id not in state.pending:
+            self._note("delta", batch_id, batch_id)
+        return len({*state.pending, batch_id})
 
     def _read(self, state: _State) -> DataFrame:
         base = None

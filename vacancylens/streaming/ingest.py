@@ -20,27 +20,42 @@ def stream_clean(raw: DataFrame, cfg: CleanConfig = CleanConfig(), skills: Mappi
     return tag_skills(clean_postings(raw, cfg, run_ts), skills)
 
 
-def stream_dedup(postings: DataFrame, watermark: str | None = None, delay: str = "14 days") -> DataFrame:
+def stream_dedup(postings: DataFrame, watermark: str | None = None, delay: str = "14 days",
+                 spread: str | None = None, salts: int = 16) -> DataFrame:
     """One row per URL for the whole stream, kept in the state store.
 
     Naming an event-time column bounds the state: a URL is then forgotten
     ``delay`` after it was seen, and rows that late are dropped.
+
+    Naming a ``spread`` column guards against a hot URL: its copies are first
+    dropped per (URL, salt) on ``salts`` tasks, so at most that many of them ever
+    reach the task that owns the URL.  The price is a second, wider state.
     """
     keyed = postings.withColumn("url", F.coalesce("url", F.lit("")))
-    if watermark is None:
-        return keyed.dropDuplicates(["url"])
-    return keyed.withWatermark(watermark, delay).dropDuplicatesWithinWatermark(["url"])
+    if watermark is not None:
+        keyed = keyed.withWatermark(watermark, delay)
+
+    def drop(df: DataFrame, columns: list[str]) -> DataFrame:
+        return df.dropDuplicates(columns) if watermark is None else df.dropDuplicatesWithinWatermark(columns)
+
+    if spread is not None:
+        salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
+        keyed = drop(salted, ["url", "_salt"]).drop("_salt")
+    return drop(keyed, ["url"])
 
 
 def stream_upsert(postings: DataFrame, store: PostingStore, checkpoint: str, run_ts: Column | None = None,
-                  cfg: CleanConfig = CleanConfig(), order: str = "seq") -> StreamingQuery:
+                  cfg: CleanConfig = CleanConfig(), order: str = "seq",
+                  compact_every: int = 100) -> StreamingQuery:
     """Store each micro-batch once; stops when all present input is stored.
 
-    ``availableNow`` suits a scheduled run.  Call ``store.compact()`` after it.
+    ``availableNow`` suits a scheduled run.  Call ``store.compact()`` after it; a
+    long run also compacts every so many batches, which bounds what a reader merges.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if run_ts is None else run_ts
-        store.append(batch, batch_id, now, cfg, order)
+        if store.append(batch, batch_id, now, cfg, order) >= compact_every:
+            store.compact()
 
     return (postings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
