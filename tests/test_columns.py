@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from vacancylens.config import NON_JOB_TITLES, SKILLS, CleanConfig
 from vacancylens.functions import dates, links, text
-from vacancylens.functions.skills import needs, tag_skills
+from vacancylens.functions.patterns import needs
+from vacancylens.functions.skills import tag_skills
 
 NBSP = chr(0xA0)
 
@@ -44,6 +45,22 @@ def test_text_rules(spark, f, cases):
     assert apply(spark, f, list(cases)) == list(cases.values())
 
 
+def test_title_guards_never_change_a_title(spark):
+    """Scrubbed titles equal the plain expressions, whatever the case of the letters."""
+    words = ["on-site", "HYBRID", "More Details", "more  detail", "freelance/project", "Freelance  Project", "x·y",
+             chr(0xFFFD), "on-" + chr(0x17F) + "ite", "nasr CITY", "New Cairo City", "UAE", "cairo ", "KSA", "Contract",
+             "remot", "Part time", "DU" + "bai", chr(0x212A) + "sa", "BMB Reach", "IT", ""]
+    titles = [f"{a} Lead {b}".strip() for a in words for b in words] + words
+
+    def plain(c):
+        for p in CleanConfig().junk_patterns:
+            c = F.regexp_replace(c, f"(?isU){p}.*", "")
+        c = F.regexp_replace(F.trim(c), f"(?iU)(?:{'|'.join(CleanConfig().trailing_places)})$", "")
+        return F.trim(F.regexp_replace(F.trim(c), f"(?iU){CleanConfig().trailing_division}", ""))
+
+    assert apply(spark, text.scrub_title, titles) == apply(spark, plain, titles)
+
+
 def test_every_blacklisted_title_is_rejected(spark):
     assert all(apply(spark, text.non_job, [t.title() for t in NON_JOB_TITLES]))
 
