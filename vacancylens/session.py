@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that hold at any scale.  Partition counts are left to adaptive
-# execution, which merges small shuffle partitions and splits skewed ones.
+# Settings that hold at any scale.  Adaptive execution merges small shuffle
+# partitions and splits skewed join partitions; it never adds partitions to an
+# aggregation, so a large input must ask for enough of them (see below).
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,12 +24,23 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "vacancylens", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with ``DEFAULTS``; ``extra`` keys use ``__`` for dots."""
+def shuffle_partitions(input_bytes: int, per_task: int = 256 << 20) -> int:
+    """Shuffle partitions for an input of a size: about ``per_task`` bytes each, 200 at least."""
+    return max(200, -(-input_bytes // per_task))
+
+
+def build_session(app: str = "vacancylens", master: str | None = None, input_bytes: int | None = None,
+                  **extra: str) -> SparkSession:
+    """A session with ``DEFAULTS``; ``extra`` keys use ``__`` for dots.
+
+    ``input_bytes`` sizes the shuffles; keep it for a stream, whose state stays on
+    the partitions it started with.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
+    sized = {} if input_bytes is None else {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes))}
+    for key, value in {**DEFAULTS, **sized, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
