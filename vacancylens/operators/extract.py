@@ -20,6 +20,7 @@ from ..functions import text
 from ..functions.dates import too_old
 from ..functions.links import resolve_url
 from ..schema import RAW_POSTING
+from ..session import ship_package
 from .dedup import dedup_key, keep_first
 
 _ROWS_PER_BATCH = 256
@@ -60,6 +61,7 @@ def extract_cards(pages: DataFrame, layout: CardLayout = CardLayout()) -> DataFr
 
     The fallback selector applies to pages where the primary one finds nothing.
     """
+    ship_package(pages.sparkSession)
     names = list(layout.fields)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("pos", pa.int32()),
                         *[(n, pa.list_(pa.string())) for n in names]])
@@ -77,6 +79,7 @@ def extract_cards(pages: DataFrame, layout: CardLayout = CardLayout()) -> DataFr
 
 def extract_details(pages: DataFrame, layout: DetailLayout = DetailLayout()) -> DataFrame:
     """One row per page with a list of texts per field."""
+    ship_package(pages.sparkSession)
     names = list(layout.fields)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()),
                         *[(n, pa.list_(pa.string())) for n in names]])

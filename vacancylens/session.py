@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +48,22 @@ def build_session(app: str = "vacancylens", master: str | None = None, input_byt
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=8)
+def _ship(application_id: str) -> None:
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(str(Path(tempfile.mkdtemp(prefix="vacancylens-zip-")) / package.name), "zip",
+                                  package.parent, package.name)
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application.
+
+    Page extraction runs in workers that may have neither it nor its folder.
+    """
+    _ship(spark.sparkContext.applicationId)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 
