@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, url_filter
+from . import chat, exact_dedup, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_chat_format": chat.op1_chat_format,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op4_url_filter": url_filter.op4_url_filter,
+        "op8_simhash_dedup": simhash.op8_simhash_dedup,
     }
 
 
