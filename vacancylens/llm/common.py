@@ -25,9 +25,18 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+# Documents can be long: few rows and bytes in a batch keep a Python worker small.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
 def in_arrow(df: DataFrame, task: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package on the workers."""
-    ship_package(df.sparkSession)
+    """``df.mapInArrow`` with this package on the workers, and small batches unless the session sets its own."""
+    spark = df.sparkSession
+    ship_package(spark)
+    for key, value in BATCH.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return df.mapInArrow(task, schema)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import WHITE, Batches, in_arrow, kept_table, pieces, read, text_or_empty, to_batch
 
 _DROP = WHITE.encode()
-_NODE_BYTES = 400
+_NODE_BYTES = 600
 
 
 class _Node:
@@ -125,7 +125,7 @@ def _final(key: bytes, owner: tuple) -> tuple:
     return hashlib.sha256(key).hexdigest(), None if owner[1] else owner[2], -owner[0], owner[3]
 
 
-def owners(docs: DataFrame, budget: int = 48 << 20) -> DataFrame:
+def owners(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
     """``text_sha256, keep_id, keep_chars, group_size`` of each distinct normalised text.
 
     A trie is held below ``budget`` bytes (and one text).
@@ -166,7 +166,7 @@ def owners(docs: DataFrame, budget: int = 48 << 20) -> DataFrame:
     return in_arrow(dealt, settle, "text_sha256 string, keep_id long, keep_chars long, group_size long")
 
 
-def exact_dedup(docs: DataFrame, budget: int = 48 << 20) -> DataFrame:
+def exact_dedup(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Texts are equal when identical after deleting white space.  The row with the most
