@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, simhash, url_filter
+from . import bpe, chat, exact_dedup, language_id, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,8 @@ def queries() -> dict[str, Query]:
         "op1_chat_format": chat.op1_chat_format,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op4_url_filter": url_filter.op4_url_filter,
+        "op5_language_id": language_id.op5_language_id,
+        "op7_bpe": bpe.op7_bpe,
         "op8_simhash_dedup": simhash.op8_simhash_dedup,
     }
 
