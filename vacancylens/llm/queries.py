@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, language_id, simhash, url_filter
+from . import bpe, chat, exact_dedup, html_main, language_id, mixing, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,8 @@ def queries() -> dict[str, Query]:
         "op5_language_id": language_id.op5_language_id,
         "op7_bpe": bpe.op7_bpe,
         "op8_simhash_dedup": simhash.op8_simhash_dedup,
+        "op9_html_extraction": html_main.op9_html_extraction,
+        "op10_mixing": mixing.op10_mixing,
     }
 
 
