@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, html_main, language_id, mixing, simhash, url_filter
+from . import bpe, chat, exact_dedup, html_main, language_id, mixing, simhash, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_chat_format": chat.op1_chat_format,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_substring_dedup": substring_dedup.op3_substring_dedup,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_language_id": language_id.op5_language_id,
         "op7_bpe": bpe.op7_bpe,
