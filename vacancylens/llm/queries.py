@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, html_main, language_id, mixing, simhash, substring_dedup, url_filter
+from . import bpe, chat, embedding_dedup, exact_dedup, html_main, language_id, mixing, simhash, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def queries() -> dict[str, Query]:
         "op3_substring_dedup": substring_dedup.op3_substring_dedup,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_language_id": language_id.op5_language_id,
+        "op6_embedding_dedup": embedding_dedup.op6_embedding_dedup,
         "op7_bpe": bpe.op7_bpe,
         "op8_simhash_dedup": simhash.op8_simhash_dedup,
         "op9_html_extraction": html_main.op9_html_extraction,
