@@ -93,15 +93,18 @@ class Trie:
         return max(self.sizes, key=self.sizes.get)
 
 
-# An owner is (-code points, id is null, id, rows): the smallest stays.
+# An owner is (-code points, id is null, id, rows of the text, rows like the owner): the smallest stays.
 def _better(a: tuple, b: tuple) -> tuple:
-    return (*min(a[:3], b[:3]), a[3] + b[3])
+    if a[:3] == b[:3]:
+        return (*a[:3], a[3] + b[3], a[4] + b[4])
+    first = min(a, b)
+    return (*first[:3], a[3] + b[3], first[4])
 
 
 _PARTIAL = pa.schema([("n_bytes", pa.int64()), ("hash", pa.int64()), ("norm", pa.binary()), ("chars", pa.int64()),
-                      ("id", pa.int64()), ("n", pa.int64())])
+                      ("id", pa.int64()), ("n", pa.int64()), ("alike", pa.int64())])
 _OWNER = pa.schema([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("keep_chars", pa.int64()),
-                    ("group_size", pa.int64())])
+                    ("group_size", pa.int64()), ("keep_rows", pa.int64())])
 
 
 def _in_batches(rows: Iterator[tuple], schema: pa.Schema, make: Callable, limit: int = 8 << 20) -> Batches:
@@ -118,15 +121,17 @@ def _in_batches(rows: Iterator[tuple], schema: pa.Schema, make: Callable, limit:
 
 def _partial(key: bytes, owner: tuple) -> tuple:
     return (len(key), xxhash.xxh64_intdigest(key) - (1 << 63), key, -owner[0], None if owner[1] else owner[2],
-            owner[3])
+            owner[3], owner[4])
 
 
 def _final(key: bytes, owner: tuple) -> tuple:
-    return hashlib.sha256(key).hexdigest(), None if owner[1] else owner[2], -owner[0], owner[3]
+    return hashlib.sha256(key).hexdigest(), None if owner[1] else owner[2], -owner[0], owner[3], owner[4]
 
 
 def owners(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
-    """``text_sha256, keep_id, keep_chars, group_size`` of each distinct normalised text.
+    """``text_sha256, keep_id, keep_chars, group_size, keep_rows`` of each distinct normalised text.
+
+    ``keep_rows`` says how many rows repeat the id and the length of the one that stays.
 
     A trie is held below ``budget`` bytes (and one text).
     """
@@ -136,7 +141,7 @@ def owners(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
         def rows() -> Iterator[tuple]:
             for batch in pieces(batches, 1000):
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    trie.add(text.encode().translate(None, _DROP), (-len(text), doc is None, doc or 0, 1))
+                    trie.add(text.encode().translate(None, _DROP), (-len(text), doc is None, doc or 0, 1, 1))
                     while trie.bytes > budget:  # what was spilled is settled by the next trie
                         yield from trie.take(trie.largest())
             while trie.sizes:
@@ -149,21 +154,22 @@ def owners(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
         def rows() -> Iterator[tuple]:
             dealt = None
             for batch in pieces(batches, 1000):
-                for *place, norm, chars, doc, n in zip(*(c.to_pylist() for c in batch.columns)):
+                for *place, norm, chars, doc, n, alike in zip(*(c.to_pylist() for c in batch.columns)):
                     if place != dealt and trie.bytes > budget:
                         # Rows come sorted by length and hash: everything inserted so far is final.
                         while trie.sizes and trie.bytes > budget // 2:
                             yield from trie.take(trie.largest())
                     dealt = place
-                    trie.add(norm, (-chars, doc is None, doc or 0, n))
+                    trie.add(norm, (-chars, doc is None, doc or 0, n, alike))
             while trie.sizes:
                 yield from trie.take(next(iter(trie.sizes)))
         yield from _in_batches(rows(), _OWNER, _final)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    partial = in_arrow(texts, local, "n_bytes long, hash long, norm binary, chars long, id long, n long")
+    partial = in_arrow(texts, local, "n_bytes long, hash long, norm binary, chars long, id long, n long, alike long")
     dealt = partial.repartition("n_bytes", "hash").sortWithinPartitions("n_bytes", "hash")
-    return in_arrow(dealt, settle, "text_sha256 string, keep_id long, keep_chars long, group_size long")
+    return in_arrow(dealt, settle, "text_sha256 string, keep_id long, keep_chars long, group_size long, "
+                                   "keep_rows long")
 
 
 def exact_dedup(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
@@ -189,6 +195,23 @@ def exact_dedup(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
                     "text_sha256"))
 
 
+def keep_distinct(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
+    """The rows that :func:`exact_dedup` keeps, with all columns of ``docs``."""
+    settled = kept_table(owners(docs, budget), "owners")
+    keyed = docs.withColumn("_chars", F.length(text_or_empty()).cast("long")).withColumn(
+        "_sha", F.sha2(F.translate(text_or_empty(), WHITE, ""), 256))
+
+    def stay(own: DataFrame) -> DataFrame:
+        # All three keys deal the rows, so the copies of one text spread over the tasks.
+        return keyed.join(own, (keyed["_sha"] == own["text_sha256"]) & (keyed["_chars"] == own["keep_chars"])
+                          & keyed["doc_id"].eqNullSafe(own["keep_id"]), "left_semi")
+    once = stay(settled.filter("keep_rows = 1"))
+    repeated = settled.filter("keep_rows > 1")
+    if not repeated.isEmpty():
+        once = once.unionByName(stay(repeated).dropDuplicates(["_sha"]))
+    return once.select(*docs.columns)
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(read(spark, folder, "documents"))
 

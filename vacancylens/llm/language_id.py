@@ -179,6 +179,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows whose language is told, with all columns of ``docs``; texts without letters or verdict go."""
+    model = train(docs.filter(~held_out()).select("text", "lang"))
+    others = [c for c in docs.columns if c != "doc_id"]
+    return predict(docs, model, others).filter(f"NOT ambiguous AND lang_pred <> '{UNDECIDED}'").select(*docs.columns)
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = train(docs.filter(~held_out()).select("text", "lang"))

@@ -199,5 +199,17 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
                     taken.alias("copies"), settled["source"]))
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them; rows that repeat id, source and size are taken alike."""
+    counts = kept_table(mix(docs).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_copies"))
+                        .filter("_copies > 0"), "mix-copies")
+    sized = docs.withColumn("_size", size_of())
+    match = (sized["doc_id"].eqNullSafe(counts["doc_id"]) & sized["source"].eqNullSafe(counts["source"])
+             & (sized["_size"] == counts["size"]))
+    return (sized.join(counts, match).select(*[sized[c] for c in docs.columns], "_copies")
+            .select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_i"))
+            .select(*docs.columns))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(read(spark, folder, "documents"))

@@ -180,5 +180,12 @@ def simhash_dedup(docs: DataFrame, crowded: int = 2048) -> DataFrame:
                                          "component_id")
 
 
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component, the one with its smallest doc_id, with all columns of ``docs``."""
+    ids = kept_table(simhash_dedup(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"),
+                     "simhash-kept")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+
+
 def op8_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup(read(spark, folder, "documents"))
