@@ -53,7 +53,11 @@ _DROP_WORDS = frozenset("ad ads adv advert adverts advertisement advertising spo
 _CONTAINERS = frozenset("div section ul ol dl table figure details fieldset center".split())
 _ROOTS = frozenset("html body article main".split())
 
-OPEN, CLOSE, TEXT = 0, 1, 2
+# Left out without ending the block they stand in.
+_UNSEEN = frozenset("script style noscript template iframe svg math canvas object embed audio video select option "
+                    "button textarea input title".split())
+
+OPEN, CLOSE, TEXT, BREAK = 0, 1, 2, 3
 
 
 def events(page: str) -> list[tuple]:
@@ -155,7 +159,10 @@ def _boilerplate(tag: str, words: tuple, inside: bool) -> bool:
 
 
 def _kept(page: list[tuple]) -> Iterator[tuple[int, tuple, bool]]:
-    """Events that boilerplate rules leave, with whether they stand in the article (or main part)."""
+    """Events that boilerplate rules leave, with whether they stand in the article (or main part).
+
+    A block that is left out leaves a BREAK.
+    """
     # The article is where the text is; without one the main part; without that the body.
     roots, dropped = set(), 0
     for event in page:
@@ -172,6 +179,8 @@ def _kept(page: list[tuple]) -> Iterator[tuple[int, tuple, bool]]:
         if event[0] == OPEN:
             if dropped or _boilerplate(event[1], event[2], inside > 0):
                 dropped += 1
+                if dropped == 1 and event[1] not in _UNSEEN:
+                    yield i, (BREAK, event[1]), root is None or inside > 0
                 continue
             opens = root is not None and (event[1] == root or (root == "main" and ("role", "main") in event[2]))
             stack.append(opens)
