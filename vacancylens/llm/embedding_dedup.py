@@ -93,7 +93,10 @@ def linked(left: np.ndarray, right: np.ndarray, threshold: float, same: bool,
         return [np.sqrt(squares[:, e]) if e < dim else np.zeros(len(m)) for e in ends]
     tail_a, tail_b = tails(a), tails(b)
     lead = np.column_stack([b[:, :ends[0]], tail_b[0]]).T.copy()
-    norms_a, norms_b = (np.sqrt((m * m).sum(1)) for m in (left, right))
+    # Norms beyond the range of doubles: such pairs are judged by their unit vectors.
+    with np.errstate(over="ignore", under="ignore"):
+        norms_a, norms_b = (np.sqrt((m * m).sum(1)) for m in (left, right))
+    odd_a, odd_b = (~np.isfinite(n) | (n < 1e-150) | (n > 1e150) for n in (norms_a, norms_b))
     for start in range(0, len(a), SLICE):
         stop = min(start + SLICE, len(a))
         # Leading products and the bound on the rest in one product.
@@ -111,10 +114,11 @@ def linked(left: np.ndarray, right: np.ndarray, threshold: float, same: bool,
             alive = done + tail_a[k][i] * tail_b[k][j] >= threshold - _SLACK
             i, j, done = i[alive], j[alive], done[alive]
         if len(i):
-            cosine = _products(left, right, i, j) / (norms_a[i] * norms_b[j])
-            tiny = ~np.isfinite(cosine)
-            if tiny.any():  # norms beyond the range of doubles
-                cosine[tiny] = _products(_units(left), _units(right), i[tiny], j[tiny])
+            odd = odd_a[i] | odd_b[j]
+            with np.errstate(all="ignore"):
+                cosine = _products(left, right, i, j) / (norms_a[i] * norms_b[j])
+            if odd.any():
+                cosine[odd] = _products(_units(left), _units(right), i[odd], j[odd])
             reach = cosine >= threshold
             if reach.any():
                 yield i[reach], j[reach]
