@@ -140,7 +140,7 @@ def test_site_template_is_deleted_and_shared_lines_stay(spark):
 
 def test_pages_of_the_test_tables(spark):
     for r in html_main.extract_main(spark.read.parquet(f"{FOLDER}/pages.parquet")).collect():
-        assert r.text and "©" not in r.text and "<" not in r.text.replace("<", "", 0)[:0]
+        assert r.text and "©" not in r.text and r.n_chars == len(r.text)
 
 
 # Embeddings
@@ -167,7 +167,7 @@ def test_embeddings_equal_brute_force(spark, tile):
     for i in range(150):
         v = rng.normal(size=40) if i % 3 == 0 else np.array(rows[-1][1]) + rng.normal(size=40) * rng.choice([0, 0.3, 0.5])
         rows.append((i, [float(x) for x in v * rng.choice([1.0, 100.0])]))
-    rows += [(500, [1.0, 0.0]), (501, [0.9, float(np.sqrt(1 - 0.81))]), (502, [1e300, 0.0]), (503, [3e-300, 0.0]),
+    rows += [(500, [1.0, 0.0]), (501, [0.9, float(np.sqrt(1 - 0.81))]), (502, [0.0, 1e300]), (503, [0.0, 3e-300]),
              (504, None), (505, []), (506, [0.0, 0.0]), (507, [1.0, None]), (508, [float("nan"), 1.0]),
              (509, [float("inf"), 1.0]), (510, [-1.0, 0.0])]
     df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<double>, node int, n_links int")
@@ -176,7 +176,7 @@ def test_embeddings_equal_brute_force(spark, tile):
         want = dict((r[0], r) for r in _brute_vectors([r for r in rows if r[0] not in (502, 503)]))
     assert [g for g in got if g[0] < 500] == [want[g[0]] for g in got if g[0] < 500]
     assert {g[0]: g[1:] for g in got if g[0] >= 500} == {
-        500: (3, 500), 501: (3, 500), 502: (3, 500), 503: (3, 500), **{i: (0, i) for i in range(504, 511)}}
+        500: (1, 500), 501: (1, 500), 502: (1, 502), 503: (1, 502), **{i: (0, i) for i in range(504, 511)}}
     assert embedding_dedup.embedding_dedup(df.limit(0)).count() == 0
 
 

@@ -8,19 +8,20 @@ are spliced.  A byte-pair encoding is valid exactly if every two neighbouring to
 are, so agreement in one token on either side makes the splice equal the encoding of
 the whole.
 
-Pieces are encoded by the tokenizers library.  White space always ends a token, so each
-distinct run between white space is encoded once per worker and kept in a bounded cache.
+Pieces are encoded by the tokenizers library.  White space always ends a token, and in
+texts of common characters so does each change between letters, digits and marks; each
+distinct part is encoded once per worker and kept in a bounded cache.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import unicodedata
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterable
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import chain
 from operator import itemgetter
 
 import pyarrow as pa
@@ -32,12 +33,12 @@ from .common import Batches, in_arrow, pieces, read, text_or_empty, to_batch
 VOCABULARY = "word_bpe_49k.json"
 LEAF = 4096  # code points of the longest piece that is not halved
 MARGIN = 32  # code points of a window on either side: more than the longest special token
-CACHED = 60_000  # runs, and parts of runs, in each of the caches' two generations
+CACHED = 150_000  # parts in each of the cache's two generations
 _RUN = re.compile("[^\x20\x09-\x0d]+")
-# Runs of these characters alone split where letters, digits and marks meet, and nowhere else.
+# Texts of these characters alone split where letters, digits and marks meet, and nowhere else.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_SIMPLE = re.compile(f"[{_LETTERS}0-9.,;:!?%*#$&()\\-\"/@=+]+")
-_PART = re.compile(f"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+_COMMON = re.compile(f"[{_LETTERS}0-9.,;:!?%*#$&()\\-\"/@=+|\x20\x09-\x0d]*")
+_PART = re.compile(f"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9\x20\x09-\x0d]+")
 
 
 def default_vocabulary() -> str:
@@ -46,32 +47,22 @@ def default_vocabulary() -> str:
 
 
 class Tokens:
-    """Ids, the code points [start, stop) each covers, and how both are spelled."""
+    """Ids and the code points [start, stop) each covers."""
 
-    __slots__ = ("ids", "starts", "stops", "spelled", "decoded")
+    __slots__ = ("ids", "starts", "stops")
 
-    def __init__(self, ids: list, starts: list, stops: list, spelled: str = "", decoded: str = ""):
-        self.ids, self.starts, self.stops, self.spelled, self.decoded = ids, starts, stops, spelled, decoded
+    def __init__(self, ids: list, starts: list, stops: list):
+        self.ids, self.starts, self.stops = ids, starts, stops
 
     def at(self, i: int) -> tuple[int, int, int]:
         return self.ids[i], self.starts[i], self.stops[i]
 
 
+# How a part of a text is encoded: number of ids, ids and decoding as texts, code points of
+# the part, and the tokens if it was spliced.
+Part = tuple[int, str, str, int, Tokens | None]
 _base = itemgetter(0)
 
-# Tokens of a stretch of text, counted from where the stretch begins.
-Segment = tuple[int, Tokens]
-
-
-def _flat(segments: Iterable[Segment]) -> Tokens:
-    """The tokens of neighbouring segments, counted from the beginning of the text."""
-    ids, starts, stops = [], [], []
-    for base, own in segments:
-        ids += own.ids
-        starts += [base + a for a in own.starts]
-        stops += [base + b for b in own.stops]
-    return Tokens(ids, starts, stops)
-
 
 def _cut(text: str, start: int, stop: int) -> int | None:
     """A place near the middle where no character composes with the one before; None without one."""
@@ -93,82 +84,81 @@ def _firm(text: str, at: int) -> bool:
     return text[at - 1].isalpha() and text[at].isalpha() and not "ᄀ" <= text[at] <= "ᇿ"
 
 
-class _Cache:
-    """A dictionary of two generations: what is not asked for while one fills is dropped."""
-
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
-
-    def get(self, key: str) -> Tokens | None:
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.young[key] = found
-        return found
-
-    def age(self) -> None:
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
-
-
 class Encoder:
     """The library's encoding of whole texts, with an exact split of long ones."""
 
     def __init__(self, vocabulary: str, leaf: int = LEAF):
+        # A task has one core: threads of the library's own would only wait for it.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(vocabulary)
         self.library.no_truncation()
         self.library.no_padding()
         self.leaf = leaf
-        self.runs, self.parts = _Cache(CACHED), _Cache(CACHED)
+        # Two generations: parts that are not asked for while the younger fills are dropped.
+        self.young: dict[str, Part] = {}
+        self.old: dict[str, Part] = {}
 
-    def _spell(self, ids: list, starts: list, stops: list) -> Tokens:
-        return Tokens(ids, starts, stops, " ".join(map(str, ids)),
-                      self.library.decode(ids, skip_special_tokens=False) if ids else "")
+    def _spell(self, ids: list, chars: int, tokens: Tokens | None = None) -> Part:
+        return (len(ids), " ".join(map(str, ids)),
+                self.library.decode(ids, skip_special_tokens=False) if ids else "", chars, tokens)
 
     def _fresh(self, text: str, base: int) -> Tokens:
         e = self.library.encode(text, add_special_tokens=False)
         return Tokens(e.ids, [base + a for a, _ in e.offsets], [base + b for _, b in e.offsets])
 
-    def _learn_parts(self, parts: set[str]) -> None:
-        new = [p for p in parts if self.parts.get(p) is None]
-        for part, e in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-            offsets = e.offsets
-            self.parts.young[part] = self._spell(e.ids, [a for a, _ in offsets], [b for _, b in offsets])
-
-    def learn(self, runs: set[str]) -> None:
-        """Have every run in the cache; what is new is encoded in one call of the library."""
-        new = {run: _PART.findall(run.lower()) if _SIMPLE.fullmatch(run) else [run]
-               for run in runs if self.runs.get(run) is None}
-        self._learn_parts({p for parts in new.values() for p in parts})
-        for run, parts in new.items():
-            known = [self.parts.young[p] for p in parts]
-            if len(known) > 1:
-                bases = [0, *accumulate(map(len, parts))]
-                flat = _flat(zip(bases, known))
-                flat.spelled = " ".join([k.spelled for k in known])
-                flat.decoded = " ".join([k.decoded for k in known])
-                known = [flat]
-            self.runs.young[run] = known[0]
+    def learn(self, parts: set[str]) -> None:
+        """Have every part in the younger generation; what is new is encoded in one call of the library."""
+        new = []
+        for part in parts:
+            if part not in self.young:
+                if (known := self.old.get(part)) is not None:
+                    self.young[part] = known
+                else:
+                    new.append(part)
+        for part, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
+            self.young[part] = self._spell(e.ids, len(part))
 
     def forget(self) -> None:
-        """Between batches: keep the caches bounded."""
-        self.runs.age()
-        self.parts.age()
-
-    def _piece(self, text: str, start: int, stop: int) -> list[Segment]:
-        runs = [(m.start(), m[0]) for m in _RUN.finditer(text, start, stop)]
-        self.learn({r for _, r in runs})
-        known = self.runs.young
-        return [(base, known[run]) for base, run in runs]
-
-    def _join(self, text: str, left: list[Segment], cut: int, right: list[Segment], start: int,
-              stop: int) -> list[Segment]:
+        """Between batches: keep the cache bounded."""
+        if len(self.young) > CACHED:
+            self.old, self.young = self.young, {}
+
+    @staticmethod
+    def parts(text: str) -> list[str]:
+        """Stretches whose encodings make up the text's."""
+        if _COMMON.fullmatch(text):
+            return _PART.findall(text.lower())
+        return [p for run in _RUN.findall(text)
+                for p in (_PART.findall(run.lower()) if _COMMON.fullmatch(run) else (run,))]
+
+    def _piece(self, text: str, start: int, stop: int) -> list[tuple[int, Part]]:
+        piece = text[start:stop]
+        if _COMMON.fullmatch(piece):
+            parts = [(start + m.start(), m[0]) for m in _PART.finditer(piece.lower())]
+        else:
+            parts = [(start + m.start(), m[0]) for m in _RUN.finditer(piece)]
+        self.learn({p for _, p in parts})
+        known = self.young
+        return [(base, known[p]) for base, p in parts]
+
+    def _flat(self, text: str, segments: list[tuple[int, Part]]) -> Tokens:
+        """The tokens of neighbouring parts."""
+        out = Tokens([], [], [])
+        for base, (*_, chars, own) in segments:
+            own = own or self._fresh(text[base:base + chars], base)
+            out.ids += own.ids
+            out.starts += own.starts
+            out.stops += own.stops
+        return out
+
+    def _join(self, text: str, left: list, cut: int, right: list, start: int, stop: int) -> list[tuple[int, Part]]:
         """Splice the encodings of text[start:cut] and text[cut:stop]."""
         margin = MARGIN
         while True:
             # The window begins at a firm token boundary of the left side, or with the whole of it ...
             a = max(0, bisect_right(left, cut - margin, key=_base) - 1)
-            tail = _flat(left[a:])
+            tail = self._flat(text, left[a:])
             i = bisect_right(tail.starts, cut - margin) - 1
             while i > 0 and not (_firm(text, tail.starts[i]) and tail.stops[i - 1] <= tail.starts[i]):
                 i -= 1
@@ -186,7 +176,7 @@ class Encoder:
                 return [*left[:a], self._spliced(tail, i, window, len(window.ids), tail, 0, 0)]
             if agrees:
                 b = bisect_left(right, end, key=_base)
-                head = _flat(right[:b])
+                head = self._flat(text, right[:b])
                 for j in range(len(window.ids) - 2, -1, -1):
                     at = window.starts[j]
                     if at < cut or not _firm(text, at) or (j > 0 and window.stops[j - 1] > at):
@@ -198,31 +188,33 @@ class Encoder:
                 return [self._spliced(window, 0, window, len(window.ids), window, 0, 0)]
             margin *= 2
 
-    def _spliced(self, left: Tokens, i: int, window: Tokens, j: int, right: Tokens, k: int, n: int) -> Segment:
-        """left[:i], window[:j] and right[k:n] as one segment."""
-        return 0, self._spell(*(getattr(left, f)[:i] + getattr(window, f)[:j] + getattr(right, f)[k:n]
-                                for f in ("ids", "starts", "stops")))
+    def _spliced(self, left: Tokens, i: int, window: Tokens, j: int, right: Tokens, k: int, n: int) -> tuple[int, Part]:
+        """left[:i], window[:j] and right[k:n] as one part."""
+        own = Tokens(*(getattr(left, f)[:i] + getattr(window, f)[:j] + getattr(right, f)[k:n]
+                       for f in ("ids", "starts", "stops")))
+        return own.starts[0] if own.ids else 0, self._spell(own.ids, 0, own)
 
-    def segments(self, text: str, start: int = 0, stop: int | None = None) -> list[Segment]:
-        """The tokens of text[start:stop], by halves."""
+    def segments(self, text: str, start: int = 0, stop: int | None = None) -> list[tuple[int, Part]]:
+        """The parts of text[start:stop] with where they begin, by halves."""
         stop = len(text) if stop is None else stop
         cut = _cut(text, start, stop) if stop - start > self.leaf else None
         if cut is None:
             return self._piece(text, start, stop)
         return self._join(text, self.segments(text, start, cut), cut, self.segments(text, cut, stop), start, stop)
 
-    def ids(self, text: str) -> list[int]:
-        return [i for _, own in self.segments(text) for i in own.ids]
-
     def spelled(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, the ids joined by blanks, and their decoding; short texts must be learnt."""
+        """Number of ids, the ids joined by blanks, and their decoding; parts of short texts must be learnt."""
         if len(text) > self.leaf:
-            found = [own for _, own in self.segments(text) if own.ids]
+            found = [own for _, own in self.segments(text) if own[0]]
         else:
-            known = self.runs.young
-            found = [own for r in _RUN.findall(text) if (own := known[r]).ids]
-        return (sum([len(own.ids) for own in found]), " ".join([own.spelled for own in found]),
-                " ".join([own.decoded for own in found]))
+            known = self.young
+            found = [own for p in self.parts(text) if (own := known[p])[0]]
+        return sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
+
+    def ids(self, text: str) -> list[int]:
+        if len(text) <= self.leaf:
+            self.learn(set(self.parts(text)))
+        return [int(i) for i in self.spelled(text)[1].split()]
 
 
 @lru_cache(maxsize=2)
@@ -261,7 +253,7 @@ def token_digests(docs: DataFrame, vocabulary: str | None = None, leaf: int = LE
         encoder = _encoder(vocabulary or default_vocabulary(), leaf)
         for batch in pieces(batches, 200):
             texts = batch.column(1).to_pylist()
-            encoder.learn({r for t in texts if len(t) <= leaf for r in _RUN.findall(t)})
+            encoder.learn({p for t in texts if len(t) <= leaf for p in encoder.parts(t)})
             said = [encoder.spelled(t) for t in texts]
             encoder.forget()
             yield to_batch(schema, batch.column(0), [n for n, *_ in said], [digest(i) for _, i, _ in said],
