@@ -33,7 +33,7 @@ TRAILING_PLACES: tuple[str, ...] = (
     "6th of October", "Sheikh Zayed", "Obour", "Qalyoub", "Dokki", "Mohandessin",
 )
 
-TRAILING_DIVISION = r"\s*(?:BMB\s+\w+|More\s+Detail)$"
+TRAILING_DIVISION = r"\s*(BMB\s+\w+|More\s+Detail)$"
 
 NON_JOB_TITLES: tuple[str, ...] = (
     "home", "careers", "career", "social", "expertise", "privacy policy",
@@ -56,6 +56,8 @@ CLEANED_FIELDS: tuple[str, ...] = (
 DEFAULT_SALARY = "Not Specified"
 NO_SALARY: tuple[str, ...] = ("", "Not Specified", "Confidential")
 
+SAME_DAY_WORDS: tuple[str, ...] = ("hour", "minute", "second", "moment")
+DAY_WORD, WEEK_WORD, MONTH_WORD, YEAR_WORD = "day", "week", "month", "year"
 DAYS_PER_MONTH = 30
 DAYS_PER_YEAR = 365
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import DAYS_PER_MONTH, DAYS_PER_YEAR, TOO_OLD_WORDS
+from ..config import (DAY_WORD, DAYS_PER_MONTH, DAYS_PER_YEAR, MONTH_WORD, SAME_DAY_WORDS, TOO_OLD_WORDS, WEEK_WORD,
+                      YEAR_WORD)
 from .text import contains_any
 
 _EASTERN_DIGITS = "".join(map(chr, (*range(0x0660, 0x066A), *range(0x06F0, 0x06FA))))
@@ -30,12 +31,12 @@ def relative_date(posted: Column, base: Column, weeks: bool = False) -> Column:
         .when(F.length(F.ltrim(digits, F.lit("0"))) > 7, F.lit(None).cast("int")) \
         .otherwise(digits.try_cast("int"))
     factor = (
-        F.when(contains_any(low, ("hour", "minute", "second", "moment")), 0)
-        .when(low.contains("day"), 1))
+        F.when(contains_any(low, SAME_DAY_WORDS), 0)
+        .when(low.contains(DAY_WORD), 1))
     if weeks:
-        factor = factor.when(low.contains("week"), 7)
-    factor = (factor.when(low.contains("month"), DAYS_PER_MONTH)
-              .when(low.contains("year"), DAYS_PER_YEAR).otherwise(0))
+        factor = factor.when(low.contains(WEEK_WORD), 7)
+    factor = (factor.when(low.contains(MONTH_WORD), DAYS_PER_MONTH)
+              .when(low.contains(YEAR_WORD), DAYS_PER_YEAR).otherwise(0))
     back = F.when(factor == 0, F.lit(0)).otherwise(count.cast("bigint") * factor)
     reach = F.datediff(base, F.lit("0001-01-01").cast("date"))
     return F.when((posted != "") & (back <= reach), F.date_sub(base, back.cast("int")))

@@ -54,10 +54,32 @@ def tag_skills(df: DataFrame, skills: Mapping[str, str] = SKILLS, out: str = "sk
             .withColumn(out, F.array_compact(F.array(*tags))).drop("_text", "_words"))
 
 
-def skills_from_table(table: DataFrame, name: str = "name", pattern: str = "pattern",
-                      at_most: int = 10_000) -> dict[str, str]:
-    """Read a dictionary table to the driver; it becomes part of the plan."""
-    rows = table.select(name, pattern).limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"a skill dictionary of more than {at_most} entries does not fit a plan")
-    return {r[0]: r[1] for r in rows}
+def skills_from_table(table: DataFrame, name: str = "name", pattern: str = "pattern") -> dict[str, str]:
+    """A short dictionary table as a mapping, which becomes part of the plan; see :func:`tag_from_table`."""
+    return {r[0]: r[1] for r in table.select(name, pattern).collect()}
+
+
+def tag_from_table(df: DataFrame, table: DataFrame, key: str = "seq", out: str = "skills") -> DataFrame:
+    """Tag from a dictionary table of whole words or phrases, of any length.
+
+    ``table`` has ``name`` and ``phrase``.  A text is tagged with a name if the phrase's
+    words stand in it one after the other, letter case aside.  Texts meet phrases by an equality
+    join on the phrase's first word, so neither the plan nor the driver holds the dictionary.
+    Names come in alphabetical order.  ``key`` identifies the rows of ``df``.
+    """
+    words = F.split(F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit("")))),
+                    r"(?U)\W+")
+    phrases = (table.select("name", F.array_remove(F.split(F.lower("phrase"), r"(?U)\W+"), "").alias("_phrase"))
+               .filter(F.size("_phrase") > 0).withColumn("_first", F.col("_phrase")[0]))
+    said = df.select(key, words.alias("_words"))
+    # A word of the text and what follows it, once each.
+    longest = phrases.agg(F.max(F.size("_phrase"))).scalar()
+    starts = (said.withColumn("_n", longest).select(key, F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("_words"), F.lit(1))),
+        lambda i: F.slice("_words", i, F.coalesce(F.col("_n"), F.lit(1)))))).alias("_from"))
+        .withColumn("_first", F.col("_from")[0]))
+    tags = (starts.join(phrases, "_first")
+            .filter(F.slice("_from", F.lit(1), F.size("_phrase")) == F.col("_phrase"))
+            .groupBy(key).agg(F.array_sort(F.collect_set("name")).alias("_tags")))
+    return (df.join(tags, key, "left")
+            .withColumn(out, F.coalesce("_tags", F.array().cast("array<string>"))).drop("_tags"))

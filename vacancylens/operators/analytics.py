@@ -195,8 +195,10 @@ def skill_by_level(active: DataFrame, top: int = 10) -> DataFrame:
             .orderBy("skill", "career_level"))
 
 
-def skill_level_crosstab(active: DataFrame, levels: Sequence[str], top: int = 10) -> DataFrame:
-    """Wide form of ``skill_by_level`` with one column per named level."""
+def skill_level_crosstab(active: DataFrame, levels: Sequence[str] | None = None, top: int = 10) -> DataFrame:
+    """Wide form of ``skill_by_level``: one column per level of the data, or per named level."""
+    if levels is None:
+        levels = [v for v in career_levels(active.filter(F.size("skills") > 0)) if v]
     return (skill_by_level(active, top).groupBy("skill").pivot("career_level", list(levels))
             .agg(F.first("n")).na.fill(0).orderBy("skill"))
 
@@ -223,15 +225,18 @@ def level_column(level: str) -> str:
     return f"level_{level}"
 
 
-def career_levels(active: DataFrame, at_most: int = 1_000) -> list[str]:
-    """All career levels, '' included, for a wide result; refuses too many."""
-    rows = (active.filter(F.col("career_level").isNotNull()).select("career_level").distinct()
-            .limit(at_most + 1).collect())
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} career levels; name the ones to use")
+def career_levels(active: DataFrame) -> list[str]:
+    """All career levels, '' included: the columns of a wide result, so the driver has to know them."""
+    rows = active.filter(F.col("career_level").isNotNull()).select("career_level").distinct().collect()
     return sorted(r[0] for r in rows)
 
 
+def level_counts(active: DataFrame) -> DataFrame:
+    """(company, career_level, n): the same counts in long form, for any number of levels."""
+    return (active.filter(F.col("company").isNotNull() & F.col("career_level").isNotNull())
+            .groupBy("company", "career_level").agg(F.count("*").alias("n")))
+
+
 def company_features(active: DataFrame, levels: Sequence[str] | None = None) -> DataFrame:
     """Per company: titles and one count per career level, in one aggregation."""
     levels = career_levels(active) if levels is None else levels

@@ -58,7 +58,7 @@ def constraint_violation(cfg: CleanConfig = CleanConfig()) -> Column:
 
 
 def constraint_guard(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    """Rows that fit the declared column lengths."""
+    """Rows that fit the declared column lengths; storing asks for it only with ``enforce_lengths``."""
     return df.filter(constraint_violation(cfg).isNull())
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -15,12 +15,13 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .analytics import company_features, level_column, min_volume, scale_features
+from .analytics import company_features, min_volume, scale_features
 
 MAX_ITERATIONS = 300
 N_STARTS = 10
 SEED = 42
-POINTS_PER_TASK = 20_000
+# Centres move until no point changes its cluster: each centre is then the mean of its members.
+TOLERANCE = 0.0
 
 _TOKEN = r"(?U)\b\w\w+\b"
 
@@ -34,22 +35,23 @@ def _with_tokens(postings: DataFrame) -> DataFrame:
     return postings.filter(F.size("skills") > 0).withColumn("tokens", skill_tokens(F.col("skills")))
 
 
-def vocabulary(postings: DataFrame, max_terms: int = 100) -> DataFrame:
-    """The most frequent terms with their inverse document frequency.
+def vocabulary(postings: DataFrame, max_terms: int | None = None) -> DataFrame:
+    """The terms, or the ``max_terms`` most frequent ones, with their inverse document frequency.
 
-    Term counts are taken inside each row first, so the shuffle carries one
-    partial count per term and task.
+    One pass: an empty term stands once in every posting, so its count is the number
+    of postings.  A term's first place in a posting is marked, so that both counts are sums.
     """
     docs = _with_tokens(postings)
-    n_docs = docs.agg(F.count("*")).scalar()
-    return (docs.select(F.explode(F.array_distinct("tokens")).alias("term"), "tokens")
-            .select("term", F.size(F.filter("tokens", lambda t: t == F.col("term"))).alias("tf"))
-            .groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.count("*").alias("df"))
-            .orderBy(F.desc("corpus_tf"), F.asc("term")).limit(max_terms)
-            .withColumn("idf", F.log((n_docs + 1) / (F.col("df") + 1)) + 1))
+    counted = (docs.select(F.posexplode(F.array_append("tokens", "")).alias("at", "term"), "tokens")
+               .select("term", (F.array_position("tokens", F.col("term")) == F.col("at") + 1).alias("first"))
+               .groupBy("term").agg(F.count("*").alias("corpus_tf"), F.count_if("first").alias("df")))
+    n_docs = counted.agg(F.max(F.when(F.col("term") == "", F.col("corpus_tf")))).scalar()
+    ranked = counted.filter("term <> ''").orderBy(F.desc("corpus_tf"), F.asc("term"))
+    ranked = ranked if max_terms is None else ranked.limit(max_terms)
+    return ranked.withColumn("idf", F.log((n_docs + 1) / (F.col("df") + 1)) + 1)
 
 
-def tfidf_skills(postings: DataFrame, key: str = "job_hash", max_terms: int = 100) -> DataFrame:
+def tfidf_skills(postings: DataFrame, key: str = "job_hash", max_terms: int | None = None) -> DataFrame:
     """(key, term, weight): tf x idf per posting, scaled to length 1.
 
     A posting's tokens stay in its row: the vocabulary arrives as one map from a
@@ -84,31 +86,33 @@ def _vectors(docs: DataFrame, terms: Sequence[tuple[str, float]]) -> DataFrame:
     return scaled.drop("_tf", "_tfidf")
 
 
-def read_terms(postings: DataFrame, max_terms: int = 100) -> list[tuple[str, float]]:
-    """The vocabulary on the driver (at most ``max_terms`` rows), in term order."""
+def read_terms(postings: DataFrame, max_terms: int | None = None) -> list[tuple[str, float]]:
+    """The vocabulary on the driver, in term order: words of skill names, or ``max_terms`` of them."""
     return sorted((r["term"], r["idf"]) for r in vocabulary(postings, max_terms).collect())
 
 
-def cached_points(points: DataFrame) -> tuple[DataFrame, int]:
-    """Cache the points of a fit on as many partitions as their number deserves.
-
-    Every iteration runs one task per partition, so near-empty partitions cost
-    more than they help; a large set keeps the partitions it has.
-    """
+@contextmanager
+def cached_points(points: DataFrame) -> Iterator[DataFrame]:
+    """The points of a fit, kept for its iterations and freed after it; adaptive execution sizes the tasks."""
     cached = points.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    return cached.coalesce(max(1, n // POINTS_PER_TASK)).persist(StorageLevel.MEMORY_AND_DISK), n
+    try:
+        if cached.isEmpty():
+            raise ValueError("no points to cluster")
+        yield cached
+    finally:
+        cached.unpersist()
 
 
 def best_kmeans(points: DataFrame, k: int, seed: int = SEED, starts: int = N_STARTS,
-                weight: str | None = None, parallelism: int = N_STARTS) -> tuple[KMeansModel, list[float]]:
+                weight: str | None = None, parallelism: int = N_STARTS,
+                iterations: int = MAX_ITERATIONS) -> tuple[KMeansModel, list[float]]:
     """The model with the lowest cost out of several starts, and all costs.
 
     The starts are independent Spark jobs on the same cached points, submitted
     side by side: one start alone leaves most of a cluster idle between steps.
     """
     def fit(start: int) -> KMeansModel:
-        kmeans = KMeans(k=k, seed=seed + start, maxIter=MAX_ITERATIONS, featuresCol="features",
+        kmeans = KMeans(k=k, seed=seed + start, maxIter=iterations, tol=TOLERANCE, featuresCol="features",
                         predictionCol="cluster")
         return (kmeans.setWeightCol(weight) if weight else kmeans).fit(points)
 
@@ -127,17 +131,13 @@ class RoleModel:
     a posting to its cluster needs no shuffle.
     """
 
-    def __init__(self, postings: DataFrame, k: int = 5, max_terms: int = 100, least: int = 50,
-                 seed: int = SEED, starts: int = N_STARTS):
+    def __init__(self, postings: DataFrame, k: int = 5, max_terms: int | None = None, seed: int = SEED,
+                 starts: int = N_STARTS, iterations: int = MAX_ITERATIONS):
         self.terms = read_terms(postings, max_terms)
         token_sets = (_with_tokens(postings).groupBy(F.array_sort("tokens").alias("tokens"))
                       .agg(F.count("*").cast("double").alias("weight")))
-        points, _ = cached_points(_vectors(token_sets, self.terms).select("features", "weight"))
-        total = int(points.agg(F.sum("weight")).first()[0] or 0)
-        if total <= least:
-            raise ValueError(f"{total} postings with skills; clustering needs more than {least}")
-        self.model, self.costs = best_kmeans(points, k, seed, starts, weight="weight")
-        points.unpersist()
+        with cached_points(_vectors(token_sets, self.terms).select("features", "weight")) as points:
+            self.model, self.costs = best_kmeans(points, k, seed, starts, weight="weight", iterations=iterations)
 
     def assign(self, postings: DataFrame) -> DataFrame:
         """Postings that have skills, with ``features`` and ``cluster``."""
@@ -170,18 +170,19 @@ def pca_2d(vectors: DataFrame, features: str = "features") -> DataFrame:
         "pca_1": F.col("pca_1") - F.col("_m.m1"), "pca_2": F.col("pca_2") - F.col("_m.m2")}).drop("_m")
 
 
-def company_segments(active: DataFrame, levels: Sequence[str], k: int = 3, least_jobs: int = 3,
-                     least_companies: int = 5, seed: int = SEED, starts: int = N_STARTS) -> DataFrame:
-    """Companies of some size, with their counts and a ``segment`` number."""
+def company_segments(active: DataFrame, levels: Sequence[str] | None = None, k: int = 3, least_jobs: int = 3,
+                     seed: int = SEED, starts: int = N_STARTS, iterations: int = MAX_ITERATIONS) -> DataFrame:
+    """Companies of some size, with their counts and a ``segment`` number.
+
+    Levels are those of the data unless named.
+    """
     features = min_volume(company_features(active, levels), least_jobs)
-    columns = ["total_jobs", *map(level_column, levels)]
+    columns = [c for c in features.columns if c != "company"]
     scaled = scale_features(features, columns, "_z")
-    points, n = cached_points(
-        VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="features").transform(scaled)
-        .select("company", *columns, "features"))
-    if n <= least_companies:
-        raise ValueError(f"{n} companies; segmentation needs more than {least_companies}")
-    model, _ = best_kmeans(points, k, seed, starts)
+    points = (VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="features").transform(scaled)
+              .select("company", *[f"`{c}`" for c in columns], "features"))
+    with cached_points(points) as cached:
+        model, _ = best_kmeans(cached, k, seed, starts, iterations=iterations)
     return model.transform(points).withColumnRenamed("cluster", "segment").drop("features")
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import (CHALLENGE_PHRASES, DEFAULT_SALARY, DESCRIPTION_CAP, EXPERIENCE_WORDS, LEVEL_WORDS,
+from ..config import (CHALLENGE_PHRASES, DEFAULT_SALARY, EXPERIENCE_WORDS, LEVEL_WORDS,
                       DATE_TEXT_WORDS, CardLayout, DetailLayout, FieldSpec)
 from ..functions import html_text as H
 from ..functions import text
@@ -122,24 +122,24 @@ def require_fields(cards: DataFrame) -> DataFrame:
 
 
 def age_cut(df: DataFrame, column: str = "date_posted") -> DataFrame:
-    """Rows whose date text does not say they are too old."""
-    return df.filter(~too_old(F.col(column)))
+    """Rows whose date text does not say they are too old; a row without a date text stays."""
+    return df.filter(~F.coalesce(too_old(F.col(column)), F.lit(False)))
 
 
-def cap_text(c: Column, limit: int = DESCRIPTION_CAP) -> Column:
-    """The stored description holds at most ``limit`` characters."""
-    return F.substring(c, 1, limit)
+def cap_text(c: Column, limit: int | None = None) -> Column:
+    """The first ``limit`` characters; without a limit the whole text."""
+    return c if limit is None else F.substring(c, 1, limit)
 
 
-def detail_fields(details: DataFrame) -> DataFrame:
-    """Lists of texts -> detail columns."""
+def detail_fields(details: DataFrame, limit: int | None = None) -> DataFrame:
+    """Lists of texts -> detail columns; a ``limit`` cuts descriptions to so many characters."""
     return details.select(
         "page_id", F.col("url").alias("page_url"),
         text.pick_text(F.col("experience"), EXPERIENCE_WORDS).alias("experience"),
         text.pick_text(F.col("career_level"), LEVEL_WORDS).alias("career_level"),
         text.pick_salary(F.col("salary"), DEFAULT_SALARY).alias("salary"),
         text.join_tags(F.col("keywords")).alias("keywords"),
-        cap_text(text.full_text(F.col("description"), F.col("requirements"), F.col("fallback_text")))
+        cap_text(text.full_text(F.col("description"), F.col("requirements"), F.col("fallback_text")), limit)
         .alias("description"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import CardLayout, DetailLayout, FieldSpec
+from ..config import DESCRIPTION_CAP, CardLayout, DetailLayout, FieldSpec
 from ..functions import dates, links, text
 from ..functions.skills import skills_from_table, tag_skills
 from ..operators import analytics as A
@@ -29,9 +29,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FIRST_RUN, SECOND_RUN = "2024-02-01 00:00:00", "2024-02-03 00:00:00"
 RUN_DATE = "2024-02-01"
-LEVELS = ["", "1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
-TOP_SKILLS = [f"Brand#{n}" for n in (12, 14, 15, 16, 17, 18, 19, 2, 20, 21, 22, 23, 24, 25, 3, 4, 5, 6, 7, 8, 9,
-                                     1, 10, 11, 13)]
+# Limits of the fixed behaviour that the checks pass in; the library has no defaults for them.
+MAX_TERMS = 100
+ROLE_CLUSTERS, SEGMENTS, TERMS_EACH = 5, 3, 7
 
 # The test pages have one layout of their own.
 PAGE_CARDS = CardLayout(primary="section.jobs li", fallback="nav li", fields={
@@ -82,6 +82,19 @@ def _tagged(raw: DataFrame) -> DataFrame:
     return tag_skills(clean.clean_postings(raw, run_ts=_ts(FIRST_RUN)))
 
 
+def _folded(wide: DataFrame, key: str, names: str, values: str) -> DataFrame:
+    """A wide report as three columns: the key, the names of the other columns, their values."""
+    others = [c for c in wide.columns if c != key]
+    return wide.select(key, F.lit(", ".join(others)).alias(names),
+                       F.array_join(F.array(*[F.col(f"`{c}`").cast("string") for c in others]), ", ").alias(values))
+
+
+def _melted(wide: DataFrame, value: str) -> DataFrame:
+    """A wide feature table as (company, feature, value) rows."""
+    others = [c for c in wide.columns if c != "company"]
+    return wide.unpivot("company", [F.col(f"`{c}`") for c in others], "feature", value)
+
+
 def _digest(df: DataFrame, *columns: str) -> DataFrame:
     """Long texts as md5, so that results stay small."""
     return df.withColumns({c: F.md5(c) for c in columns})
@@ -213,13 +226,13 @@ def join_card_detail(spark, d):
     details = _details(spark, d)
     lost = F.when(F.col("page_id") % 3 == 0, F.concat("url", F.lit("/gone"))).otherwise(F.col("url"))
     cards = details.select("page_id", text.first_text(F.col("headline")).alias("title"), lost.alias("url"))
-    fields = details.select("page_id", F.col("url").alias("page_url"), F.md5(extract.cap_text(text.full_text(
-        F.col("description"), F.col("requirements"), F.col("fallback_text")))).alias("digest"))
+    fields = details.select("page_id", F.col("url").alias("page_url"), F.md5(text.full_text(
+        F.col("description"), F.col("requirements"), F.col("fallback_text"))).alias("digest"))
     return extract.join_card_detail(cards, fields)
 
 
 def cap_text(spark, d):
-    capped = extract.cap_text(F.col("text"))
+    capped = extract.cap_text(F.col("text"), DESCRIPTION_CAP)
     return fx.tables(spark, d, "documents")["documents"].select(
         "doc_id", F.length(capped).alias("n_kept"), F.md5(capped).alias("digest"))
 
@@ -332,37 +345,87 @@ def upsert_postings(raw):
 
 def tfidf_skills(postings):
     active = postings.filter("status = 'active'")
-    return clusters.tfidf_skills(active).withColumn("weight", F.round("weight", 9))
+    return clusters.tfidf_skills(active, max_terms=MAX_TERMS).withColumn("weight", F.round("weight", 9))
 
 
 def scale_features(active):
-    features = A.min_volume(A.company_features(active, LEVELS))
-    columns = ["total_jobs", *map(A.level_column, LEVELS)]
-    return A.scale_features(features, columns).select("company", *[F.round(f"`{c}`", 9).alias(c) for c in columns])
+    features = A.min_volume(A.company_features(active))
+    scaled = A.scale_features(features, [c for c in features.columns if c != "company"])
+    return _melted(scaled, "z").withColumn("z", F.round("z", 9) + 0.0)
+
+
+# The results of a fit are not unique; what is returned are properties that every right fit has.
+
+def _distances(points: DataFrame, centres: DataFrame, key: str, own: str) -> DataFrame:
+    """(key, nearest): whether the centre of a point's own cluster is as near as any other.
+
+    ``points`` (key, own, term, x) and ``centres`` (cluster, term, x) leave out zeros.
+    """
+    norms = centres.groupBy("cluster").agg(F.sum(F.col("x") * F.col("x")).alias("c2"))
+    assigned = points.select(key, own).distinct()
+    dots = (points.join(centres.select("cluster", "term", F.col("x").alias("c")), "term")
+            .groupBy(key, "cluster").agg(F.sum(F.col("x") * F.col("c")).alias("dot")))
+    every = assigned.withColumn("cluster", F.explode(norms.agg(F.sort_array(F.collect_list("cluster"))).scalar()))
+    # |x - c|^2 without the part that all centres share.
+    far = (every.join(norms, "cluster").join(dots, [key, "cluster"], "left")
+           .withColumn("far", F.col("c2") - 2 * F.coalesce("dot", F.lit(0.0))))
+    return far.groupBy(key).agg((F.min(F.when(F.col(own) == F.col("cluster"), F.col("far"))) <=
+                                 F.min("far") + 1e-6).alias("nearest"))
+
+
+def _centres(model: clusters.RoleModel, spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(i, t, float(x)) for i, c in enumerate(model.model.clusterCenters())
+                                  for (t, _), x in zip(model.terms, c) if x], "cluster int, term string, x double")
+
+
+def _role_points(active: DataFrame) -> tuple[clusters.RoleModel, DataFrame]:
+    model = clusters.RoleModel(active, ROLE_CLUSTERS, MAX_TERMS)
+    weights = clusters.tfidf_skills(active, max_terms=MAX_TERMS).withColumnRenamed("weight", "x")
+    return model, model.assign(active).select("job_hash", F.col("cluster").alias("own")).join(weights, "job_hash")
 
 
 def role_clusters(postings):
-    active = postings.filter("status = 'active'")
-    return clusters.RoleModel(active).assign(active).select("job_hash", "cluster")
+    """Every posting with skills, and whether it was given to the nearest centre."""
+    model, points = _role_points(postings.filter("status = 'active'"))
+    return _distances(points, _centres(model, postings.sparkSession), "job_hash", "own")
 
 
 def cluster_terms(postings):
+    """The heaviest terms of the centres, and how far each weight is off the mean of the members."""
     active = postings.filter("status = 'active'")
-    return clusters.RoleModel(active).top_terms(active)
+    model, points = _role_points(active)
+    sizes = model.assign(active).groupBy("cluster").agg(F.count("*").alias("n"))
+    sums = points.groupBy(F.col("own").alias("cluster"), "term").agg(F.sum("x").alias("s"))
+    return (model.top_terms(active, TERMS_EACH).join(sizes, "cluster").join(sums, ["cluster", "term"], "left")
+            .select("cluster", "rank", (F.round(F.coalesce("s", F.lit(0.0)) / F.col("n") - F.col("weight"), 6) + 0.0)
+                    .alias("off")))
 
 
 def pca_2d(postings):
+    """Means (0) and order of the spreads of the two projected columns."""
     active = postings.filter("status = 'active'")
-    vectors = clusters.tfidf_vectors(active, clusters.read_terms(active))
-    return clusters.pca_2d(vectors).select("job_hash", "pca_1", "pca_2")
+    vectors = clusters.tfidf_vectors(active, clusters.read_terms(active, MAX_TERMS))
+    return clusters.pca_2d(vectors).agg(
+        F.count("*").alias("n"), (F.round(F.avg("pca_1"), 6) + 0.0).alias("mean_1"),
+        (F.round(F.avg("pca_2"), 6) + 0.0).alias("mean_2"),
+        (F.var_pop("pca_1") >= F.var_pop("pca_2")).alias("ordered"),
+        (F.round(F.covar_pop("pca_1", "pca_2"), 6) + 0.0).alias("shared"))
 
 
 def company_segments(active):
-    return clusters.company_segments(active, LEVELS)
+    """Every company of some size, its postings, and whether its segment is the nearest."""
+    segments = clusters.company_segments(active, k=SEGMENTS)
+    columns = [c for c in segments.columns if c not in ("company", "segment")]
+    points = _melted(A.scale_features(segments.drop("segment"), columns), "x").withColumnRenamed("feature", "term").join(
+        segments.select("company", F.col("segment").alias("own")), "company")
+    centres = points.groupBy(F.col("own").alias("cluster"), "term").agg(F.avg("x").alias("x"))
+    return _distances(points, centres, "company", "own").join(segments.select("company", "total_jobs"), "company")
 
 
 def segment_plot_data(active):
-    return clusters.segment_plot_data(clusters.company_segments(active, LEVELS))
+    plot = clusters.segment_plot_data(clusters.company_segments(active, k=SEGMENTS))
+    return plot.select("company", "total_jobs", "first_level_jobs",
+                       F.col("segment").between(0, SEGMENTS - 1).alias("has_segment"))
 
 
 # --- streaming ---------------------------------------------------------------
@@ -479,18 +542,19 @@ def _sequence() -> dict[str, Query]:
         "salary_coverage": _active(A.salary_coverage),
         "salary_sample": _active(lambda a: A.salary_sample(a, [F.desc("date_first_seen"), "title"])),
         "skill_cooccurrence": _active(A.skill_cooccurrence),
-        "cooccurrence_matrix": _active(lambda a: A.cooccurrence_matrix(a, TOP_SKILLS)),
+        "cooccurrence_matrix": _active(lambda a: _folded(A.cooccurrence_matrix(a), "skill_1", "skills", "counts")),
         "experience_top": _active(lambda a: A.value_counts(a, "experience", 10)),
         "skill_by_level": _active(A.skill_by_level),
-        "skill_level_crosstab": _active(lambda a: A.skill_level_crosstab(a, LEVELS[1:])),
+        "skill_level_crosstab": _active(lambda a: _folded(A.skill_level_crosstab(a), "skill", "levels", "counts")),
         "kpi_summary": _active(A.kpi_summary),
         "value_counts": _active(lambda a: A.value_counts(a, "salary")),
         "tfidf_skills": _postings(tfidf_skills),
         "role_clusters": _postings(role_clusters),
         "cluster_terms": _postings(cluster_terms),
         "pca_2d": _postings(pca_2d),
-        "company_features": _active(lambda a: A.company_features(a, LEVELS)),
-        "min_volume": _active(lambda a: A.min_volume(A.company_features(a, LEVELS))),
+        "company_features": _active(lambda a: _melted(A.company_features(a), "n")),
+        "level_counts": _active(A.level_counts),
+        "min_volume": _active(lambda a: _melted(A.min_volume(A.company_features(a)), "n")),
         "scale_features": _active(scale_features),
         "company_segments": _active(company_segments),
         "segment_plot_data": _active(segment_plot_data),

@@ -7,7 +7,7 @@ word lists come from ``config``; there is one copy of each.
 
 from __future__ import annotations
 
-from ..config import (CHALLENGE_PHRASES, CLEANED_FIELDS, DATE_TEXT_WORDS, EXPERIENCE_WORDS, JUNK_PATTERNS,
+from ..config import (CHALLENGE_PHRASES, CLEANED_FIELDS, DATE_TEXT_WORDS, DESCRIPTION_CAP, EXPERIENCE_WORDS, JUNK_PATTERNS,
                       LEVEL_WORDS, MAX_LENGTHS, NON_JOB_TITLES, SKILLS, TOO_OLD_WORDS, TRAILING_PLACES)
 from . import catalog as C
 from . import fixtures as fx
@@ -185,10 +185,11 @@ LEVEL = f"""{ACTIVE}, ex AS (SELECT career_level, unnest(skills) AS skill FROM a
   lv AS (SELECT DISTINCT career_level FROM ex SEMI JOIN best USING (skill)),
   cells AS (SELECT best.skill, lv.career_level, count(ex.skill) AS n FROM best CROSS JOIN lv
     LEFT JOIN ex ON ex.skill = best.skill AND ex.career_level = lv.career_level GROUP BY ALL)"""
-FEATURES = (f"{ACTIVE}, feat AS (SELECT company, count(title) AS total_jobs, " + ", ".join(
-    f"count(*) FILTER (WHERE career_level = {quote(v)}) AS \"level_{v}\"" for v in C.LEVELS)
-    + " FROM act GROUP BY company)")
-_FEATURE_COLUMNS = ["total_jobs", *[f"level_{v}" for v in C.LEVELS]]
+FEATURES = f"""{ACTIVE}, lv AS (SELECT DISTINCT career_level FROM act WHERE career_level IS NOT NULL),
+  co AS (SELECT company, count(title) AS total_jobs FROM act WHERE company IS NOT NULL GROUP BY company),
+  feat AS (SELECT company, total_jobs, 'total_jobs' AS feature, total_jobs AS n FROM co
+    UNION ALL SELECT co.company, total_jobs, 'level_' || lv.career_level, count(act.company) FROM co CROSS JOIN lv
+      LEFT JOIN act ON act.company = co.company AND act.career_level = lv.career_level GROUP BY ALL)"""
 TFIDF = rf"""{ACTIVE}, doc AS (SELECT job_hash, regexp_extract_all(lower(array_to_string(skills, ' ')), '\b\w\w+\b')
     AS tokens FROM act WHERE len(skills) > 0),
   tok AS (SELECT job_hash, unnest(tokens) AS term FROM doc),
@@ -280,11 +281,11 @@ def oracle_sql() -> dict[str, str]:
             "AS salary FROM raw",
         "join_card_detail": f"""WITH c AS (SELECT page_id, {HEADLINE} AS title,
               CASE WHEN page_id % 3 = 0 THEN url || '/gone' ELSE url END AS url FROM pages),
-            b AS (SELECT url, md5(substr(CASE WHEN {BODY} = '' THEN {NAV} ELSE {BODY} END, 1, 5000)) AS digest
+            b AS (SELECT url, md5(CASE WHEN {BODY} = '' THEN {NAV} ELSE {BODY} END) AS digest
               FROM pages)
             SELECT page_id, title, url, digest FROM c JOIN b USING (url)""",
-        "cap_text": "SELECT doc_id, CAST(length(substr(text, 1, 5000)) AS INTEGER) AS n_kept, "
-            "md5(substr(text, 1, 5000)) AS digest FROM documents",
+        "cap_text": f"SELECT doc_id, CAST(length(substr(text, 1, {DESCRIPTION_CAP})) AS INTEGER) AS n_kept, "
+            f"md5(substr(text, 1, {DESCRIPTION_CAP})) AS digest FROM documents",
         "stamp_scraped": raw + "SELECT seq, CASE WHEN seq % 3 <> 0 THEN strftime(scraped_at, '%Y-%m-%d %H:%M:%S') "
             f"ELSE {quote(C.FIRST_RUN)} END AS scraped_at FROM raw",
         "flag_blocked": "SELECT page_id, page_id % 7 IN (0, 3) OR regexp_matches(lower(html), "
@@ -368,14 +369,12 @@ def oracle_sql() -> dict[str, str]:
         "salary_sample": act + f"SELECT title, company, salary FROM act WHERE {HAS_SALARY} "
             "ORDER BY date_first_seen DESC, title LIMIT 15",
         "skill_cooccurrence": f"WITH {COOC} SELECT skill_1, skill_2, n FROM cooc",
-        "cooccurrence_matrix": f"WITH {COOC} SELECT skill_1, " + ", ".join(
-            f"max(n) FILTER (WHERE skill_2 = {quote(s)}) AS \"{s}\"" for s in C.TOP_SKILLS)
-            + " FROM cooc GROUP BY skill_1",
+        "cooccurrence_matrix": f"WITH {COOC} SELECT skill_1, string_agg(skill_2, ', ' ORDER BY skill_2) AS skills, "
+            "string_agg(CAST(n AS VARCHAR), ', ' ORDER BY skill_2) AS counts FROM cooc GROUP BY skill_1",
         "experience_top": counts("experience", 10),
         "skill_by_level": f"WITH {LEVEL} SELECT skill, career_level, n FROM cells",
-        "skill_level_crosstab": f"WITH {LEVEL} SELECT skill, " + ", ".join(
-            f"coalesce(max(n) FILTER (WHERE career_level = {quote(v)}), 0) AS \"{v}\"" for v in C.LEVELS[1:])
-            + " FROM cells GROUP BY skill",
+        "skill_level_crosstab": f"WITH {LEVEL} SELECT skill, string_agg(career_level, ', ' ORDER BY career_level) "
+            "AS levels, string_agg(CAST(n AS VARCHAR), ', ' ORDER BY career_level) AS counts FROM cells GROUP BY skill",
         "kpi_summary": f"{act}, {EXPLODED}, f AS (SELECT skill, count(*) AS n FROM ex WHERE skill <> '' GROUP BY skill) "
             "SELECT count(*) AS jobs, count(DISTINCT company) AS companies, count(DISTINCT location) AS locations, "
             "(SELECT count(*) FROM f) AS skills, (SELECT count(DISTINCT n) FROM f) AS distinct_skill_frequencies, "
@@ -386,11 +385,23 @@ def oracle_sql() -> dict[str, str]:
         "value_counts": counts("salary", None),
         "tfidf_skills": f"WITH {TFIDF} SELECT job_hash, term, "
             "round(x / sqrt(sum(x * x) OVER (PARTITION BY job_hash)), 9) AS weight FROM w",
-        "company_features": f"WITH {FEATURES} SELECT * FROM feat",
-        "min_volume": f"WITH {FEATURES} SELECT * FROM feat WHERE total_jobs >= 3",
-        "scale_features": f"WITH {FEATURES} SELECT company, " + ", ".join(
-            f"round(coalesce((\"{c}\" - avg(\"{c}\") OVER ()) / nullif(stddev_pop(\"{c}\") OVER (), 0), 0), 9) AS \"{c}\""
-            for c in _FEATURE_COLUMNS) + " FROM feat WHERE total_jobs >= 3",
+        "company_features": f"WITH {FEATURES} SELECT company, feature, n FROM feat",
+        "level_counts": f"WITH {ACTIVE} SELECT company, career_level, count(*) AS n FROM act GROUP BY ALL",
+        "min_volume": f"WITH {FEATURES} SELECT company, feature, n FROM feat WHERE total_jobs >= 3",
+        "scale_features": f"WITH {FEATURES} SELECT company, feature, round(coalesce((n - avg(n) OVER w) / "
+            "nullif(stddev_pop(n) OVER w, 0), 0), 9) + 0.0 AS z FROM feat WHERE total_jobs >= 3 "
+            "WINDOW w AS (PARTITION BY feature)",
+        # A fit is checked by what every right fit has, see the catalog.
+        "role_clusters": f"WITH {ACTIVE} SELECT job_hash, true AS nearest FROM act WHERE len(skills) > 0",
+        "cluster_terms": f"SELECT CAST(c.range AS INTEGER) AS cluster, CAST(r.range AS INTEGER) AS rank, "
+            f"CAST(0.0 AS DOUBLE) AS off FROM range({C.ROLE_CLUSTERS}) c CROSS JOIN range(1, {C.TERMS_EACH + 1}) r",
+        "pca_2d": f"WITH {ACTIVE} SELECT count(*) AS n, CAST(0.0 AS DOUBLE) AS mean_1, CAST(0.0 AS DOUBLE) AS mean_2, "
+            "true AS ordered, CAST(0.0 AS DOUBLE) AS shared FROM act WHERE len(skills) > 0",
+        "company_segments": f"WITH {FEATURES} SELECT company, true AS nearest, total_jobs FROM feat "
+            "WHERE total_jobs >= 3 AND feature = 'total_jobs'",
+        "segment_plot_data": f"WITH {FEATURES}, low AS (SELECT min(career_level) AS career_level FROM lv) "
+            "SELECT company, total_jobs, n AS first_level_jobs, true AS has_segment FROM feat, low "
+            "WHERE total_jobs >= 3 AND feature = 'level_' || low.career_level",
         "stream_clean": f"WITH {TAGGED} SELECT seq, title, location, historical_date, skills FROM tagged",
         "stream_dedup": f"WITH {CLEANED} SELECT DISTINCT url FROM cleaned",
         "stream_upsert": stored(C.FIRST_RUN, None),

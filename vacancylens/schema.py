@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 
 _S = T.StringType()
 
+# ---------------------------------------------------------------------------
+# Column names, types and orders that results must agree with.
+# ---------------------------------------------------------------------------
+
 CAPTURED_PAGE = T.StructType([
     T.StructField("page_id", T.LongType()),
     T.StructField("url", _S),
@@ -58,6 +62,10 @@ ADDABLE_COLUMNS: dict[str, tuple[str, str | None]] = {
     "skills": ("array<string>", None),
     "historical_date": ("date", None),
 }
+# ---------------------------------------------------------------------------
+# End of fixed values.
+# ---------------------------------------------------------------------------
+
 # The raw feed may lack any text field; ``url`` is only optional there.
 ADDABLE_RAW = {c: ("string", None) for c in RAW_POSTING.fieldNames() if c not in ("seq", "title")}
 
