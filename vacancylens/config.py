@@ -194,6 +194,8 @@ class CleanConfig:
     max_lengths: dict[str, int] = field(default_factory=lambda: dict(MAX_LENGTHS))
     weeks: bool = False
     """Read "2 weeks ago" as 14 days; off, a week text means the scrape day."""
+    enforce_lengths: bool = False
+    """Store only rows that fit ``max_lengths``; Parquet texts need no limit."""
     strict_dates: bool = False
     """Reject postings without any date text instead of keeping a NULL date."""
 

@@ -66,9 +66,10 @@ def label_rejects(df: DataFrame, cfg: CleanConfig = CleanConfig(), run_ts: Colum
                   key: str = "url", order: str = "seq") -> DataFrame:
     """All rows, cleaned, with ``reject_reason`` (NULL for rows to store).
 
-    ``order`` must be unique.  Later copies are found by the smallest ``order``
-    of each key: that is a grouped minimum with map-side combine, joined back
-    on ``order`` itself, so no task holds all rows of one hot key.
+    Later copies are found by the smallest ``order`` of each key: that is a grouped
+    minimum with map-side combine, joined back on ``order`` and the key, so no task holds
+    all rows of one hot key.  Rows that repeat both are one row that came twice: they
+    get the same label.
     """
     cleaned = add_posting_date(stamp_scraped(apply_defaults(clean_fields(df, cfg), cfg), run_ts), cfg, run_ts)
     is_job = ~text.non_job(F.col("title"), cfg)
@@ -76,9 +77,10 @@ def label_rejects(df: DataFrame, cfg: CleanConfig = CleanConfig(), run_ts: Colum
     winners = (ensure_columns(df, ADDABLE_RAW)
                .select(order, F.coalesce(key, F.lit("")).alias(key), text.scrub_title(text.clean_text(F.col("title")), cfg).alias("title"))
                .filter(is_job).groupBy(key).agg(F.min(order).alias(order))
-               .select(order, F.lit(True).alias("_first")))
+               .select(order, F.col(key).alias("_key"), F.lit(True).alias("_first")))
     reason = F.when(~is_job, F.lit("non_job")).when(F.col("_first").isNull(), F.lit("duplicate"))
     if cfg.strict_dates:
         reason = reason.when(F.col("date_posted") == "", F.lit("no_date"))
-    return (cleaned.join(winners, order, "left")
+    same = cleaned[order].eqNullSafe(winners[order]) & (F.coalesce(cleaned[key], F.lit("")) == winners["_key"])
+    return (cleaned.join(winners, same, "left").drop(winners[order], winners["_key"])
             .withColumn("reject_reason", reason.otherwise(constraint_violation(cfg))).drop("_first"))

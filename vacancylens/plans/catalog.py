@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DESCRIPTION_CAP, CardLayout, DetailLayout, FieldSpec
 from ..functions import dates, links, text
@@ -114,7 +115,7 @@ def ensure_columns_query(spark, d):
 def csv_backup(spark, d):
     folder = work_folder(spark, "csv_backup")
     csv_files.csv_backup(_tagged(fx.raw_postings(spark, d)), folder, RUN_DATE)
-    return _digest(csv_files.read_csv(spark, f"{folder}/run_date={RUN_DATE}").drop("scraped_at"), "description")
+    return _digest(csv_files.read_csv(spark, f"{folder}/run_date={RUN_DATE}"), "description")
 
 
 def csv_snapshot(spark, d):
@@ -128,10 +129,15 @@ def read_pages(spark, d):
 
 
 def upsert_sink(spark, d):
-    raw = _tagged(fx.raw_postings(spark, d))
-    store = PostingStore(spark, work_folder(spark, "upsert_sink"))
-    store.upsert(raw.filter("seq % 2 = 0"), 0, _ts(FIRST_RUN))
-    return _digest(store.upsert(raw.filter("seq % 2 = 1"), 1, _ts(SECOND_RUN)), "description")
+    """Two sources that both number from 0, some rows with very long fields, and a batch that comes twice."""
+    tagged = _tagged(_with_long_fields(fx.raw_postings(spark, d)))
+    store = PostingStore(spark, work_folder(spark, "upsert_sink"), digits=1)
+    store.append(tagged.filter("seq % 2 = 0"), _ts(FIRST_RUN), ("first", 0))
+    store.compact()
+    store.append(tagged.filter("seq % 2 = 1"), _ts(SECOND_RUN), ("second", 0))
+    store.append(tagged.filter("seq % 2 = 0"), _ts(SECOND_RUN), ("first", 0))
+    store.compact()
+    return _digest(store.read(), "description")
 
 
 def preview(active):
@@ -336,7 +342,7 @@ def ingest_batch(raw):
 
 
 def upsert_postings(raw):
-    tagged = _tagged(raw)
+    tagged = _tagged(_with_long_fields(raw))
     target = upsert.upsert_postings(None, tagged.filter("seq % 2 = 0"), _ts(FIRST_RUN))
     return _digest(upsert.upsert_postings(target, tagged.filter("seq % 2 = 1"), _ts(SECOND_RUN)), "description")
 
@@ -430,56 +436,72 @@ def segment_plot_data(active):
 
 # --- streaming ---------------------------------------------------------------
 
-def _as_files(df: DataFrame, folder: str, order: str, parts: int = 4) -> DataFrame:
-    """Write ``df`` as a few files in arrival order and read them as a stream."""
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    step = (high - low) / parts
-    for i in range(parts):
-        upper = F.col(order) <= high if i == parts - 1 else F.col(order) < low + (i + 1) * step
-        (df.filter((F.col(order) >= low + i * step) & upper).coalesce(1).write.mode("append").parquet(folder))
-    return (df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder))
+ARRIVALS = 2
+
+
+def _fed(df: DataFrame, folder: str, order: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Hand ``df`` over in a few arrivals, in order, and let the stream take in each.
+
+    The rows are derived once, into a staged table; ``start`` starts the stream anew
+    each time, from the same checkpoint, as a scheduled run does.
+    """
+    staged = kept_in(f"{folder}/staged", df)
+    low, high = staged.agg(F.min(order), F.max(order)).first()
+    arrival = F.floor((F.col(order) - low) * ARRIVALS / (high - low + 1))
+    source = df.sparkSession.readStream.schema(df.schema)
+    for i in range(ARRIVALS):
+        staged.filter(arrival == i).write.mode("append").parquet(f"{folder}/in")
+        start(source.parquet(f"{folder}/in")).awaitTermination()
 
 
-def _drain(stream: DataFrame, folder: str) -> DataFrame:
-    query = (stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state")
-             .trigger(availableNow=True).start(f"{folder}/out"))
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
+def kept_in(folder: str, df: DataFrame) -> DataFrame:
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _started(stream: DataFrame, folder: str, mode: str = "append") -> StreamingQuery:
+    """Write each micro-batch to a folder of its own; in complete mode the last one counts."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out" + ("" if mode == "complete" else f"/batch={number}"))
+    return (stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state")
+            .foreachBatch(write).trigger(availableNow=True).start())
+
+
+def _taken(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/out")
 
 
 def stream_clean(spark, d):
     folder = work_folder(spark, "stream_clean")
-    raw = _as_files(fx.raw_postings(spark, d), f"{folder}/in", "seq")
-    cleaned = ingest.stream_clean(raw, run_ts=_ts(FIRST_RUN))
-    return _drain(cleaned, folder).select("seq", "title", "location", "historical_date", "skills")
+    _fed(fx.raw_postings(spark, d), folder, "seq",
+         lambda raw: _started(ingest.stream_clean(raw, run_ts=_ts(FIRST_RUN)), folder))
+    return _taken(spark, folder).select("seq", "title", "location", "historical_date", "skills")
 
 
 def stream_dedup(spark, d):
     folder = work_folder(spark, "stream_dedup")
-    raw = _as_files(fx.raw_postings(spark, d), f"{folder}/in", "seq")
-    return _drain(ingest.stream_dedup(clean.clean_postings(raw, run_ts=_ts(FIRST_RUN))), folder).select("url")
+    _fed(fx.raw_postings(spark, d), folder, "seq", lambda raw: _started(
+        ingest.stream_dedup(clean.clean_postings(raw, run_ts=_ts(FIRST_RUN))), folder, "update"))
+    return _digest(_taken(spark, folder).select(
+        "seq", "title", "company", "location", "experience", "job_type", "salary", "career_level",
+        "date_posted", "keywords", "description", "url", "historical_date"), "description")
 
 
 def stream_upsert(spark, d):
     folder = work_folder(spark, "stream_upsert")
-    raw = _as_files(fx.raw_postings(spark, d), f"{folder}/in", "seq")
-    store = PostingStore(spark, f"{folder}/store")
-    ingest.stream_upsert(ingest.stream_clean(raw, run_ts=_ts(FIRST_RUN)), store, f"{folder}/state",
-                         _ts(FIRST_RUN)).awaitTermination()
+    store = PostingStore(spark, f"{folder}/store", digits=1)
+    _fed(_with_long_fields(fx.raw_postings(spark, d)), folder, "seq", lambda raw: ingest.stream_upsert(
+        ingest.stream_clean(raw, run_ts=_ts(FIRST_RUN)), store, f"{folder}/state", _ts(FIRST_RUN)))
     store.compact()
     return _digest(store.read(), "description")
 
 
 def stream_trend(spark, d):
     folder = work_folder(spark, "stream_trend")
-    posted = fx.postings(spark, d).select("job_hash", "date_first_seen", F.to_date("date_first_seen").alias("day"))
-    posted = posted.withColumn("seq", F.datediff("day", F.lit("1970-01-01").cast("date"))).drop("day")
-    trend = ingest.stream_trend(_as_files(posted, f"{folder}/in", "seq"))
-    query = (trend.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/state")
-             .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{folder}/out"))
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return spark.read.schema(trend.schema).parquet(f"{folder}/out")
+    posted = fx.postings(spark, d).select("job_hash", "date_first_seen", F.unix_date(
+        F.to_date("date_first_seen")).alias("seq"))
+    _fed(posted, folder, "seq", lambda rows: _started(ingest.stream_trend(rows), folder, "complete"))
+    return _taken(spark, folder)
 
 
 def _sequence() -> dict[str, Query]:

@@ -7,8 +7,8 @@ word lists come from ``config``; there is one copy of each.
 
 from __future__ import annotations
 
-from ..config import (CHALLENGE_PHRASES, CLEANED_FIELDS, DATE_TEXT_WORDS, DESCRIPTION_CAP, EXPERIENCE_WORDS, JUNK_PATTERNS,
-                      LEVEL_WORDS, MAX_LENGTHS, NON_JOB_TITLES, SKILLS, TOO_OLD_WORDS, TRAILING_PLACES)
+from ..config import (CHALLENGE_PHRASES, CLEANED_FIELDS, DATE_TEXT_WORDS, DESCRIPTION_CAP, EXPERIENCE_WORDS,
+                      JUNK_PATTERNS, LEVEL_WORDS, MAX_LENGTHS, NON_JOB_TITLES, SKILLS, TOO_OLD_WORDS, TRAILING_PLACES)
 from . import catalog as C
 from . import fixtures as fx
 
@@ -105,8 +105,8 @@ def cleaned(source: str = "raw") -> str:
 
 CLEANED = f"{RAW}, {cleaned()}"
 TAGGED = f"{CLEANED}, tagged AS (SELECT *, {tags('title', 'description')} AS skills FROM cleaned)"
-HASHED = (f"{TAGGED}, hashed AS (SELECT *, md5(company || '_' || title || '_' || location) AS job_hash FROM tagged "
-          "WHERE " + " AND ".join(f"length({c}) <= {n}" for c, n in MAX_LENGTHS.items()) + ")")
+HASHED = (f"{RAW}, {LONG}, {cleaned('long_raw')}, tagged AS (SELECT *, {tags('title', 'description')} AS skills FROM "
+          "cleaned), hashed AS (SELECT *, md5(company || '_' || title || '_' || location) AS job_hash FROM tagged)")
 
 _KEPT = ("title", "company", "location", "date_posted", "keywords", "url")
 _FRESH = ("experience", "job_type", "salary", "career_level", "description", "skills", "historical_date")
@@ -246,14 +246,10 @@ def oracle_sql() -> dict[str, str]:
             'Not Specified' AS salary, career_level, CAST(NULL AS VARCHAR) AS date_posted,
             CAST(NULL AS VARCHAR) AS keywords, CAST(NULL AS VARCHAR) AS description,
             CAST(NULL AS VARCHAR) AS skills, CAST(NULL AS VARCHAR) AS historical_date FROM fx""",
-        "csv_backup": f"WITH {TAGGED} SELECT " + ", ".join(
-            f"nullif({c}, '') AS {c}" for c in ("title", "company", "location", "experience", "job_type", "salary",
-                                                "career_level", "date_posted", "keywords", "url", "skills"))
-            + ", md5(nullif(description, '')) AS description FROM tagged",
-        "csv_snapshot": f"{act}, s AS (SELECT {SCAN} FROM act) SELECT title, company, nullif(location, '') AS location,"
-            " nullif(experience, '') AS experience, nullif(job_type, '') AS job_type, nullif(salary, '') AS salary,"
-            " nullif(career_level, '') AS career_level, date_posted, keywords, description, url, skills,"
-            " date_first_seen, date_last_seen, status FROM s",
+        "csv_backup": f"WITH {TAGGED} SELECT title, company, location, experience, job_type, salary, career_level, "
+            "date_posted, keywords, url, skills, CAST(scraped_at AS VARCHAR) AS scraped_at, md5(description) AS description "
+            "FROM tagged",
+        "csv_snapshot": f"{act} SELECT {SCAN} FROM act",
         "read_pages": "SELECT page_id, url, CAST(length(html) AS INTEGER) AS n_chars, md5(html) AS digest FROM pages",
         "upsert_sink": upserted,
         "preview": f"{act} SELECT title, company, {SEEN.format(c='date_first_seen')} FROM act "
@@ -403,7 +399,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT company, total_jobs, n AS first_level_jobs, true AS has_segment FROM feat, low "
             "WHERE total_jobs >= 3 AND feature = 'level_' || low.career_level",
         "stream_clean": f"WITH {TAGGED} SELECT seq, title, location, historical_date, skills FROM tagged",
-        "stream_dedup": f"WITH {CLEANED} SELECT DISTINCT url FROM cleaned",
+        "stream_dedup": f"WITH {CLEANED} SELECT seq, title, company, location, experience, job_type, salary, "
+            "career_level, date_posted, keywords, md5(description) AS description, url, historical_date FROM cleaned "
+            "QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1",
         "stream_upsert": stored(C.FIRST_RUN, None),
         "stream_trend": f"WITH {FX} SELECT {DAY} AS scrape_date, count(*) AS new_jobs FROM fx GROUP BY 1",
     }

@@ -25,12 +25,23 @@ def scan_active(postings: DataFrame, ordered: bool = True) -> DataFrame:
     return active.orderBy(F.desc("date_first_seen")) if ordered else active
 
 
-def read_postings_jdbc(spark: SparkSession, url: str, table: str = "job_postings",
+def hash_slices(slices: int) -> list[str]:
+    """Conditions on ``job_hash`` that together take every row once, whatever its key.
+
+    Inner bounds are evenly spaced hex keys; the first slice takes what is smaller and
+    NULL, the last one what is larger.
+    """
+    bounds = [format(i * 16 ** 4 // slices, "04x") for i in range(1, slices)]
+    if not bounds:
+        return ["1 = 1"]
+    inner = [f"job_hash >= '{a}' AND job_hash < '{b}'" for a, b in zip(bounds, bounds[1:])]
+    return [f"job_hash < '{bounds[0]}' OR job_hash IS NULL", *inner, f"job_hash >= '{bounds[-1]}'"]
+
+
+def read_postings_jdbc(spark: SparkSession, url: str, table: str = "job_postings", slices: int = 16,
                        **options: str) -> DataFrame:
-    """A stored table over JDBC, read in 16 parallel slices of its hash key."""
-    digits = "0123456789abcdef"
-    slices = [f"job_hash >= '{a}' AND job_hash < '{b}'" for a, b in zip(digits, [*digits[1:], "g"])]
-    return spark.read.jdbc(url, table, predicates=slices, properties=options)
+    """A stored table over JDBC, read in parallel slices of its hash key (at most 65,536)."""
+    return spark.read.jdbc(url, table, predicates=hash_slices(slices), properties=options)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -1,107 +1,198 @@
 """A durable posting table on plain Parquet folders.
 
-``deltas/batch_id=N`` holds one folded batch; writing it again overwrites it, so
-a repeated micro-batch does no harm.  ``base/version=V`` holds a merged table.
-``log`` lists what is complete: readers follow the log and never see a folder
-that is still being written.  Storing a batch costs as much as the batch; the
-large merge runs once per ``compact``, not once per batch.  One writer at a time.
+Postings are split by the first digits of their hash.  ``deltas/seq=N`` holds one folded
+batch, ``base/version=V/prefix=P`` the merged rows of one prefix, and the newest
+``manifest/version=V`` says what makes up the table: the version of each prefix, the
+batches that wait to be merged, and every batch ever stored.  A change writes new folders
+and then one manifest file, so a reader sees all of it or nothing.  Merging rewrites
+only prefixes that received rows.  One writer at a time.
+
+A batch is named by its source and its number there.  Storing the same one again does
+nothing, whatever was stored or merged in between; another source may use the same
+numbers.  A batch without a name is always stored.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CleanConfig
+from ..operators.clean import constraint_violation
 from ..operators.upsert import fold, merge, prepare_batch
-from ..schema import POSTING
+from ..schema import POSTING, ensure_columns
 
-_LOG = "kind string, id long, up_to_batch long"
+Batch = tuple[str, int]
+_MANIFEST = "kind string, name string, first long, last long, version long"
 
 
 @dataclass(frozen=True)
 class _State:
-    version: int
-    up_to_batch: int
-    pending: tuple[int, ...]
+    """``parts``: version of each prefix; ``pending``: delta numbers; ``stored``: number ranges by source."""
+
+    version: int = -1
+    next_seq: int = 0
+    parts: dict[str, int] = field(default_factory=dict)
+    pending: tuple[int, ...] = ()
+    stored: dict[str, tuple[tuple[int, int], ...]] = field(default_factory=dict)
+
+    def holds(self, batch: Batch) -> bool:
+        return any(a <= batch[1] <= b for a, b in self.stored.get(batch[0], ()))
+
+    def with_batch(self, batch: Batch) -> dict[str, tuple[tuple[int, int], ...]]:
+        """``stored`` and one number more; neighbouring ranges grow together."""
+        ranges: list[tuple[int, int]] = []
+        for a, b in sorted([*self.stored.get(batch[0], ()), (batch[1], batch[1])]):
+            if ranges and a <= ranges[-1][1] + 1:
+                ranges[-1] = (ranges[-1][0], max(b, ranges[-1][1]))
+            else:
+                ranges.append((a, b))
+        return self.stored | {batch[0]: tuple(ranges)}
 
 
 class PostingStore:
-    """Upsert target below one folder every executor can reach."""
+    """Upsert target below one folder every executor can reach.
+
+    ``digits`` of the hash make 16 ** digits prefixes; choose them so that one prefix is a
+    comfortable rewrite, and keep them for the life of the table.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, digits: int = 2):
+        self.spark, self.root, self.digits = spark, root.rstrip("/"), digits
 
-    def _note(self, kind: str, number: int, up_to_batch: int) -> None:
-        entry = self.spark.range(1).select(
-            F.lit(kind).alias("kind"), F.lit(number).cast("long").alias("id"),
-            F.lit(up_to_batch).cast("long").alias("up_to_batch"))
-        entry.coalesce(1).write.mode("append").json(f"{self.root}/log")
+    # --- manifest ------------------------------------------------------------
 
     def _state(self) -> _State:
-        """Latest version and the batches it lacks; the log has one line per write."""
         try:
-            log = self.spark.read.schema(_LOG).json(f"{self.root}/log")
+            every = self.spark.read.schema(_MANIFEST + ", manifest long").json(f"{self.root}/manifest")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return _State(-1, -1, ())
-        newest = (log.filter("kind = 'base'")
-                  .agg(F.max(F.struct("id", "up_to_batch")).alias("m")).select("m.*").first())
-        version, up_to = (-1, -1) if newest[0] is None else (newest[0], newest[1])
-        pending = log.filter((F.col("kind") == "delta") & (F.col("id") > up_to)).select("id").distinct()
-        return _State(version, up_to, tuple(sorted(r[0] for r in pending.collect())))
-
-    def append(self, rows: DataFrame, batch_id: int, run_ts: Column,
+            return _State()
+        newest = every.agg(F.max("manifest")).first()[0]
+        if newest is None:
+            return _State()
+        parts, pending, stored, next_seq = {}, [], {}, 0
+        for kind, name, first, last, version in every.filter(F.col("manifest") == newest).drop("manifest").collect():
+            if kind == "part":
+                parts[name] = version
+            elif kind == "delta":
+                pending.append(first)
+            elif kind == "next":
+                next_seq = first
+            else:
+                stored.setdefault(name, []).append((first, last))
+        return _State(newest, next_seq, parts, tuple(sorted(pending)), {k: tuple(sorted(v)) for k, v in stored.items()})
+
+    def _publish(self, state: _State) -> None:
+        """Write ``state`` as the next manifest: the switch that makes a change visible."""
+        rows = [("next", None, state.next_seq, None, None)]
+        rows += [("part", p, None, None, v) for p, v in state.parts.items()]
+        rows += [("delta", None, n, None, None) for n in state.pending]
+        rows += [("stored", s, a, b, None) for s, ranges in state.stored.items() for a, b in ranges]
+        (self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+         .write.mode("overwrite").json(f"{self.root}/manifest/manifest={state.version + 1}"))
+
+    def _prefixed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prefix", F.substring("job_hash", 1, self.digits))
+
+    # --- writing -------------------------------------------------------------
+
+    def append(self, rows: DataFrame, run_ts: Column, batch: Batch | None = None,
                cfg: CleanConfig = CleanConfig(), order: str = "seq") -> int:
-        """Store one batch of cleaned, tagged rows; repeating a batch is harmless.
+        """Store one batch of cleaned, tagged rows; costs as much as the batch.
 
-        Returns how many batches wait for ``compact``.
+        With ``cfg.enforce_lengths`` rows that are too long are not stored but written to
+        ``rejects/seq=N`` with a ``reject_reason``.  Returns how many batches wait for ``compact``.
         """
         state = self._state()
-        if batch_id <= state.up_to_batch:
+        if batch is not None and state.holds(batch):
             return len(state.pending)
+        seq = state.next_seq
+        if cfg.enforce_lengths:
+            (ensure_columns(rows).withColumn("reject_reason", constraint_violation(cfg)).filter("reject_reason IS NOT NULL")
+             .write.mode("overwrite").parquet(f"{self.root}/rejects/seq={seq}"))
         folded = fold(prepare_batch(rows, run_ts, cfg), order)
-        folded.write.mode("overwrite").parquet(f"{self.root}/deltas/batch_id={batch_id}")
-        if batch_id not in state.pending:
-            self._note("delta", batch_id, batch_id)
-        return len({*state.pending, batch_id})
-
-    def _read(self, state: _State) -> DataFrame:
-        base = None
-        if state.version >= 0:
-            base = self.spark.read.schema(POSTING).parquet(f"{self.root}/base/version={state.version}")
-        if not state.pending:
-            return self.spark.createDataFrame([], POSTING) if base is None else base
-        paths = [f"{self.root}/deltas/batch_id={n}" for n in state.pending]
-        deltas = self.spark.read.option("basePath", f"{self.root}/deltas").parquet(*paths)
-        batch = fold(deltas, "batch_id") if len(paths) > 1 else deltas
-        return batch.select(*POSTING.fieldNames()) if base is None else merge(base, batch)
+        (self._prefixed(folded).hint("rebalance", "prefix").write.mode("overwrite").partitionBy("prefix")
+         .parquet(f"{self.root}/deltas/seq={seq}"))
+        pending = (*state.pending, seq)
+        self._publish(replace(state, next_seq=seq + 1, pending=pending,
+                              stored=state.stored if batch is None else state.with_batch(batch)))
+        return len(pending)
+
+    def _base(self, parts: dict[str, int]) -> DataFrame | None:
+        if not parts:
+            return None
+        paths = [f"{self.root}/base/version={v}/prefix={p}" for p, v in sorted(parts.items())]
+        return self.spark.read.schema(POSTING).parquet(*paths)
+
+    def _deltas(self, pending: tuple[int, ...]) -> DataFrame:
+        """Waiting batches with ``seq`` and ``prefix``, both read off the folder names as text."""
+        paths = [f"{self.root}/deltas/seq={n}" for n in pending]
+        schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in POSTING)}, seq long, prefix string"
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/deltas").parquet(*paths)
+
+    def _merged(self, parts: dict[str, int], deltas: DataFrame, many: bool) -> DataFrame:
+        batch = fold(deltas, "seq") if many else deltas.select(*POSTING.fieldNames())
+        base = self._base(parts)
+        return batch if base is None else merge(base, batch)
 
     def read(self) -> DataFrame:
-        """The current table: the newest version, with later batches merged in."""
-        return self._read(self._state())
+        """The current table: the merged prefixes with waiting batches merged in."""
+        state = self._state()
+        if state.pending:
+            return self._merged(state.parts, self._deltas(state.pending), len(state.pending) > 1)
+        base = self._base(state.parts)
+        return self.spark.createDataFrame([], POSTING) if base is None else base
 
     def compact(self) -> int:
-        """Write base and batches as a new version; returns its number."""
+        """Merge waiting batches into the prefixes they touch; returns the manifest's number."""
         state = self._state()
         if not state.pending:
             return state.version
+        deltas = self._deltas(state.pending)
+        touched = {r[0] for r in deltas.select("prefix").distinct().collect()}  # at most 16 ** digits
         version = state.version + 1
-        self._read(state).write.mode("overwrite").parquet(f"{self.root}/base/version={version}")
-        self._note("base", version, state.pending[-1])
+        if touched:
+            own = {p: v for p, v in state.parts.items() if p in touched}
+            (self._prefixed(self._merged(own, deltas, len(state.pending) > 1)).hint("rebalance", "prefix")
+             .write.mode("overwrite").partitionBy("prefix").parquet(f"{self.root}/base/version={version}"))
+        self._publish(replace(state, pending=(), parts=state.parts | {p: version for p in touched}))
         return version
 
-    def upsert(self, rows: DataFrame, batch_id: int, run_ts: Column,
+    def upsert(self, rows: DataFrame, run_ts: Column, batch: Batch | None = None,
                cfg: CleanConfig = CleanConfig(), order: str = "seq") -> DataFrame:
         """Store one batch, merge it, return the table."""
-        self.append(rows, batch_id, run_ts, cfg, order)
+        self.append(rows, run_ts, batch, cfg, order)
         self.compact()
         return self.read()
 
+    def retire(self) -> list[str]:
+        """Delete folders that only earlier manifests name; call it when no reader is older than that."""
+        state = self._state()
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        fs = hadoop.Path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+        def children(folder: str) -> list[str]:
+            path = hadoop.Path(folder)
+            return [s.getPath().toString() for s in fs.listStatus(path)] if fs.exists(path) else []
+        used = {(v, p) for p, v in state.parts.items()}
+        gone = [f for f in children(f"{self.root}/manifest") if int(f.rpartition("=")[2]) < state.version]
+        gone += [f for f in children(f"{self.root}/deltas")
+                 if int(f.rpartition("=")[2]) < state.next_seq and int(f.rpartition("=")[2]) not in state.pending]
+        for version in children(f"{self.root}/base"):
+            v = int(version.rpartition("=")[2])
+            prefixes = [f for f in children(version) if "prefix=" in f.rpartition("/")[2]]
+            kept = [f for f in prefixes if (v, f.rpartition("=")[2]) in used]
+            if v <= state.version:
+                gone += [version] if not kept else [f for f in prefixes if f not in kept]
+        for folder in gone:
+            fs.delete(hadoop.Path(folder), True)
+        return gone
+
 
 def save_bucketed(postings: DataFrame, table: str, buckets: int) -> None:
     """Save as a catalog table bucketed and sorted by ``job_hash``.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,28 +20,41 @@ def stream_clean(raw: DataFrame, cfg: CleanConfig = CleanConfig(), skills: Mappi
     return tag_skills(clean_postings(raw, cfg, run_ts), skills)
 
 
-def stream_dedup(postings: DataFrame, watermark: str | None = None, delay: str = "14 days",
-                 spread: str | None = None, salts: int = 16) -> DataFrame:
-    """One row per URL for the whole stream, kept in the state store.
+def stream_dedup(postings: DataFrame, order: str = "seq") -> DataFrame:
+    """First row per URL for the whole stream, with all columns; run it in *update* mode.
 
-    Naming an event-time column bounds the state: a URL is then forgotten
-    ``delay`` after it was seen, and rows that late are dropped.
-
-    Naming a ``spread`` column guards against a hot URL: its copies are first
-    dropped per (URL, salt) on ``salts`` tasks, so at most that many of them ever
-    reach the task that owns the URL.  The price is a second, wider state.
+    A URL's row is the one with the smallest ``order`` of the first micro-batch that held
+    it, and comes out once, with that micro-batch.  The state is a grouped minimum: copies
+    of a hot URL are combined by the tasks that read them, so at most one row per task
+    reaches the task that owns the URL.  The state holds the first row of each URL; see
+    :func:`stream_dedup_within` for one that forgets.
+    """
+    columns = postings.columns
+    keyed = postings.withColumns({"url": F.coalesce("url", F.lit("")), "_at": F.current_timestamp()})
+    seen = keyed.groupBy(F.col("url").alias("_url")).agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in columns]), F.struct("_at", order)).alias("_first"),
+        F.min("_at").alias("_since"), F.max("_at").alias("_last"))
+    # All rows of a micro-batch carry its time: a URL is new in it if it has been seen at no other.
+    return seen.filter("_since = _last").select("_first.*")
+
+
+def stream_dedup_within(postings: DataFrame, watermark: str, delay: str = "14 days", salts: int = 16,
+                        spread: str = "seq") -> DataFrame:
+    """One row per URL, forgotten ``delay`` after it was seen; rows that late are dropped.
+
+    The state holds keys only.  Copies are first dropped per (URL, salt), the salt coming
+    from ``spread``, so at most ``salts`` of them reach the task that owns the URL.  Which copy
+    of one micro-batch stays is open.
     """
-    keyed = postings.withColumn("url", F.coalesce("url", F.lit("")))
-    if watermark is not None:
-        keyed = keyed.withWatermark(watermark, delay)
+    keyed = (postings.withColumn("url", F.coalesce("url", F.lit(""))).withWatermark(watermark, delay)
+             .withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts))))
+    return (keyed.dropDuplicatesWithinWatermark(["url", "_salt"]).drop("_salt")
+            .dropDuplicatesWithinWatermark(["url"]))
 
-    def drop(df: DataFrame, columns: list[str]) -> DataFrame:
-        return df.dropDuplicates(columns) if watermark is None else df.dropDuplicatesWithinWatermark(columns)
 
-    if spread is not None:
-        salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-        keyed = drop(salted, ["url", "_salt"]).drop("_salt")
-    return drop(keyed, ["url"])
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a stream wrote into its checkpoint when it first started."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()[0]
 
 
 def stream_upsert(postings: DataFrame, store: PostingStore, checkpoint: str, run_ts: Column | None = None,
@@ -49,12 +62,15 @@ def stream_upsert(postings: DataFrame, store: PostingStore, checkpoint: str, run
                   compact_every: int = 100) -> StreamingQuery:
     """Store each micro-batch once; stops when all present input is stored.
 
-    ``availableNow`` suits a scheduled run.  Call ``store.compact()`` after it; a
-    long run also compacts every so many batches, which bounds what a reader merges.
+    A micro-batch is named by the id that its checkpoint was given and its number there, so
+    a stream that starts again from a new checkpoint is a new source.  ``availableNow`` suits
+    a scheduled run.  Call ``store.compact()`` after it; a long run also compacts every so
+    many batches, which bounds what a reader merges.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if run_ts is None else run_ts
-        if store.append(batch, batch_id, now, cfg, order) >= compact_every:
+        source = checkpoint_id(batch.sparkSession, checkpoint)
+        if store.append(batch, now, (source, batch_id), cfg, order) >= compact_every:
             store.compact()
 
     return (postings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
