@@ -63,9 +63,11 @@ def constraint_guard(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFra
 
 
 def label_rejects(df: DataFrame, cfg: CleanConfig = CleanConfig(), run_ts: Column | None = None,
-                  key: str = "url", order: str = "seq") -> DataFrame:
+                  key: str = "url", order: str = "seq", lengths: bool = True) -> DataFrame:
     """All rows, cleaned, with ``reject_reason`` (NULL for rows to store).
 
+    Without ``lengths`` no row is too long.
+
     Later copies are found by the smallest ``order`` of each key: that is a grouped
     minimum with map-side combine, joined back on ``order`` and the key, so no task holds
     all rows of one hot key.  Rows that repeat both are one row that came twice: they
@@ -82,5 +84,6 @@ def label_rejects(df: DataFrame, cfg: CleanConfig = CleanConfig(), run_ts: Colum
     if cfg.strict_dates:
         reason = reason.when(F.col("date_posted") == "", F.lit("no_date"))
     same = cleaned[order].eqNullSafe(winners[order]) & (F.coalesce(cleaned[key], F.lit("")) == winners["_key"])
+    reason = reason.otherwise(constraint_violation(cfg) if lengths else F.lit(None).cast("string"))
     return (cleaned.join(winners, same, "left").drop(winners[order], winners["_key"])
-            .withColumn("reject_reason", reason.otherwise(constraint_violation(cfg))).drop("_first"))
+            .withColumn("reject_reason", reason).drop("_first"))

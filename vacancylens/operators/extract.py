@@ -154,18 +154,18 @@ def join_card_detail(cards: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def extract_postings(listings: DataFrame, detail_pages: DataFrame, run_ts: Column | None = None,
-                     cards: CardLayout = CardLayout(), details: DetailLayout = DetailLayout()) -> DataFrame:
+                     cards: CardLayout = CardLayout(), details: DetailLayout = DetailLayout(),
+                     limit: int | None = None) -> DataFrame:
     """Captured listing and detail pages -> raw postings.
 
-    A link counts once, on its first card; that card is then dropped if it is
-    too old.  Cards go through this before any detail page is joined.
+    A link counts once, on its first card; that card is then dropped if it is too old.  Of
+    several captures of a page the first counts.  Pages are read once, where they are
+    scanned: only extracted fields are ever shuffled.  ``seq`` is (page, position), which orders
+    arrivals whatever the numbers.
     """
-    found = card_fields(extract_cards(drop_blocked(listings), cards))
-    order = F.struct("page_id", "pos")
-    found = keep_first(found.withColumn("_order", order), ["url"], "_order")
-    first_capture = keep_first(detail_pages.select("page_id", "url", "html"), ["url"], "page_id")
-    full = join_card_detail(age_cut(found), detail_fields(extract_details(first_capture, details)))
-    # Arrival order as one number: cards of a page stand in 2^20 slots.
-    full = full.withColumn("seq", F.shiftleft("page_id", 20) + F.col("pos"))
+    found = card_fields(extract_cards(drop_blocked(listings), cards)).withColumn("seq", F.struct("page_id", "pos"))
+    found = age_cut(keep_first(found, ["url"], "seq"))
+    pages = keep_first(detail_fields(extract_details(detail_pages, details), limit), ["page_url"], "page_id")
     stamp = F.date_format(F.current_timestamp() if run_ts is None else run_ts, "yyyy-MM-dd HH:mm:ss")
-    return dedup_key(full).withColumn("scraped_at", stamp).select(*RAW_POSTING.fieldNames())
+    return (dedup_key(join_card_detail(found, pages)).withColumn("scraped_at", stamp)
+            .select(*RAW_POSTING.fieldNames()))

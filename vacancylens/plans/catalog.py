@@ -24,7 +24,7 @@ from ..sources import csv_files, readers
 from ..sources.store import PostingStore
 from ..streaming import ingest
 from . import fixtures as fx
-from .stages import build_pipeline, ingest_stages
+from .stages import build_pipeline, ingest_stages, store_stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,13 @@ PAGE_DETAIL = DetailLayout(fields={
     "description": FieldSpec("article", "blocks"), "requirements": FieldSpec("div.ad", "blocks"),
     "fallback_text": FieldSpec("nav ::text")})
 
+# A detail page of the same layout with every field of a posting.
+PAGE_POSTING = DetailLayout(fields={
+    "description": FieldSpec("article", "blocks"), "requirements": FieldSpec("div.ad", "blocks"),
+    "fallback_text": FieldSpec("nav ::text"), "experience": FieldSpec("article h1::text"),
+    "career_level": FieldSpec("article h1::text"), "salary": FieldSpec("span.salary::text"),
+    "keywords": FieldSpec("nav a::text")})
+
 
 def _ts(value: str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
@@ -237,6 +244,31 @@ def join_card_detail(spark, d):
     return extract.join_card_detail(cards, fields)
 
 
+def _extracted(spark, d):
+    pages = _pages(spark, d)
+    leads = pages.withColumn("url", F.expr(fx.DETAIL_URL))
+    return extract.extract_postings(pages, leads, _ts(FIRST_RUN), PAGE_CARDS, PAGE_POSTING)
+
+
+def extract_postings(spark, d):
+    return _digest(_extracted(spark, d).select("seq.page_id", "seq.pos", "*").drop("seq"), "description")
+
+
+def ingest_pages(spark, d):
+    """From captured pages through every stage and sink; the stored table and the rejected rows."""
+    folder = work_folder(spark, "ingest_pages")
+    store = PostingStore(spark, f"{folder}/store", digits=1)
+    build_pipeline(store_stages(store, folder, f"{folder}/csv", RUN_DATE, _ts(FIRST_RUN), ("pages", 0)))(
+        _extracted(spark, d))
+    stored = store.read().select("job_hash", "title", "job_type", "career_level", "keywords", "url", "skills",
+                                 "description", F.lit(None).cast("string").alias("reject_reason"))
+    rejected = (spark.read.parquet(f"{folder}/checked").filter(F.col("rejected").cast("boolean"))
+                .select(F.lit(None).cast("string").alias("job_hash"), "title", "job_type", "career_level", "keywords",
+                        "url", F.lit(None).cast("array<string>").alias("skills"), "description", "reject_reason"))
+    backed_up = csv_files.read_csv(spark, f"{folder}/csv/run_date={RUN_DATE}").select("url", F.lit(1).alias("in_csv"))
+    return _digest(stored.unionByName(rejected).join(backed_up, "url", "left"), "description")
+
+
 def cap_text(spark, d):
     capped = extract.cap_text(F.col("text"), DESCRIPTION_CAP)
     return fx.tables(spark, d, "documents")["documents"].select(
@@ -527,6 +559,8 @@ def _sequence() -> dict[str, Query]:
         "pick_career_level": pick_career_level,
         "pick_salary": _raw(pick_salary),
         "join_card_detail": join_card_detail,
+        "extract_postings": extract_postings,
+        "ingest_pages": ingest_pages,
         "cap_text": cap_text,
         "stamp_scraped": _raw(stamp_scraped),
         "flag_blocked": flag_blocked,

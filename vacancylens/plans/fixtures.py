@@ -19,6 +19,14 @@ CHECK = {
     "JOIN_FLAGS": "array_to_string(list_sort(list(DISTINCT l_returnflag)), ', ')",
 }
 
+def decode(expr: str) -> str:
+    """The character references of the test pages, decoded in SQL."""
+    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"),
+                         ("&amp;", "&")):
+        expr = f"replace({expr}, '{entity}', '{char}')"
+    return expr
+
+
 # An order is a posting, the brands of its lines are its skills.
 POSTINGS = """
 WITH agg AS (
@@ -67,6 +75,11 @@ JOIN events e ON e.event_id = d.doc_id
 """
 
 
+# A detail page stands where the first link of the page leads, so that some cards lead to it.
+DETAIL_URL = ("concat(regexp_extract(url, '^[a-z]+://[^/?#]*', 0), "
+              + decode("regexp_extract(html, '<li><a href=\"([^\"]*)\"', 1)") + ")")
+
+
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 

@@ -11,6 +11,7 @@ from ..config import (CHALLENGE_PHRASES, CLEANED_FIELDS, DATE_TEXT_WORDS, DESCRI
                       JUNK_PATTERNS, LEVEL_WORDS, MAX_LENGTHS, NON_JOB_TITLES, SKILLS, TOO_OLD_WORDS, TRAILING_PLACES)
 from . import catalog as C
 from . import fixtures as fx
+from .fixtures import decode
 
 FX = f"fx AS ({fx.POSTINGS.format(**fx.CHECK)})"
 ACTIVE = f"{FX}, act AS (SELECT * FROM fx WHERE status = 'active')"
@@ -29,13 +30,6 @@ def strip(expr: str) -> str:
     return rf"regexp_replace({expr}, '^\s+|\s+$', '', 'g')"
 
 
-def decode(expr: str) -> str:
-    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"),
-                         ("&amp;", "&")):
-        expr = f"replace({expr}, {quote(entity)}, {quote(char)})"
-    return expr
-
-
 def clean(expr: str) -> str:
     merged = rf"regexp_replace(coalesce({expr}, ''), '\s+', ' ', 'g')"
     return rf"trim(regexp_replace({merged}, '&\w+;', '', 'g'))"
@@ -91,8 +85,7 @@ LONG = ("long_raw AS (SELECT * REPLACE (CASE WHEN seq % 9 = 0 THEN repeat(compan
         "CASE WHEN seq % 13 = 0 THEN repeat(url, 5) ELSE salary END AS salary) FROM raw)")
 
 
-def cleaned(source: str = "raw") -> str:
-    missing = {"experience", "job_type", "keywords"}
+def cleaned(source: str = "raw", missing: tuple[str, ...] = ("experience", "job_type", "keywords")) -> str:
     columns = ", ".join(
         f"'' AS {c}" if c in missing else
         f"{scrub(clean(c)) if c == 'title' else location(clean(c)) if c == 'location' else clean(c)} AS {c}"
@@ -156,6 +149,30 @@ NAV = ("array_to_string(list_transform(regexp_extract_all(html, '<li><a href=\"[
        f"lambda x: {decode('x')}), ' ')")
 
 
+def picked(expr: str, words) -> str:
+    """``expr`` stripped if it holds one of the words, else ''."""
+    return f"CASE WHEN {any_of(f'lower({expr})', words)} THEN {strip(expr)} ELSE '' END"
+
+
+# Raw postings from the pages: a card is a link of the menu, its detail page stands where it leads.
+H1 = decode("regexp_extract(html, '<article><h1>([^<]*)<', 1)")
+PAGE_RAW = f"""{CARDS},
+  card AS (SELECT page_id, pos, title, regexp_extract(url, '^[a-z]+://[^/?#]*') || href AS url,
+    {picked('title', DATE_TEXT_WORDS)} AS date_posted FROM cards WHERE title <> '' AND href <> ''),
+  once AS (SELECT * FROM card QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id, pos) = 1),
+  young AS (SELECT * FROM once WHERE NOT {any_of('lower(date_posted)', TOO_OLD_WORDS)}),
+  lead AS (SELECT {fx.DETAIL_URL} AS url, {picked(H1, EXPERIENCE_WORDS)} AS experience,
+    {picked(H1, LEVEL_WORDS)} AS career_level, CASE WHEN {BODY} = '' THEN {NAV} ELSE {BODY} END AS description,
+    array_to_string(list_filter(list_transform(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1),
+      lambda x: {strip(decode('x'))}), lambda x: x <> ''), ', ') AS keywords
+    FROM pages QUALIFY row_number() OVER (PARTITION BY {fx.DETAIL_URL} ORDER BY page_id) = 1),
+  every_posting AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY page_id, pos) AS copy
+    FROM young JOIN lead USING (url)),
+  raw AS (SELECT row_number() OVER (ORDER BY page_id, pos) AS seq, page_id, pos, title, '' AS company, '' AS location,
+    experience, title AS job_type, 'Not Specified' AS salary, career_level, date_posted, keywords, description, url,
+    {quote(C.FIRST_RUN)} AS scraped_at FROM every_posting WHERE copy = 1)"""
+
+
 def share(part: str, whole: str) -> str:
     return f"round_even({part} * 100.0 / {whole}, 1)"
 
@@ -280,6 +297,21 @@ def oracle_sql() -> dict[str, str]:
             b AS (SELECT url, md5(CASE WHEN {BODY} = '' THEN {NAV} ELSE {BODY} END) AS digest
               FROM pages)
             SELECT page_id, title, url, digest FROM c JOIN b USING (url)""",
+        "extract_postings": f"WITH {PAGE_RAW} SELECT page_id, pos, title, company, location, experience, job_type, salary, "
+            "career_level, date_posted, keywords, md5(description) AS description, url, scraped_at FROM raw",
+        "ingest_pages": f"""WITH {PAGE_RAW}, {cleaned('raw', ())},
+            ok AS (SELECT *, {tags('title', 'description')} AS skills FROM cleaned
+              QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1),
+            hashed AS (SELECT *, md5(company || '_' || title || '_' || location) AS job_hash FROM ok),
+            ends AS (SELECT job_hash, min(seq) AS up, max(seq) AS down FROM hashed GROUP BY job_hash),
+            kept AS (SELECT job_hash, a.title, b.job_type, b.career_level, a.keywords, a.url, b.skills, b.description,
+              CAST(NULL AS VARCHAR) AS reject_reason
+              FROM ends JOIN hashed a USING (job_hash) JOIN hashed b USING (job_hash) WHERE a.seq = up AND b.seq = down),
+            lost AS (SELECT CAST(NULL AS VARCHAR) AS job_hash, title, job_type, career_level, keywords, url,
+              CAST(NULL AS VARCHAR) AS skills, description, 'non_job' AS reject_reason FROM every
+              WHERE seq NOT IN (SELECT seq FROM cleaned))
+            SELECT r.* REPLACE (md5(description) AS description), CASE WHEN reject_reason IS NULL THEN 1 END AS in_csv
+            FROM (SELECT * FROM kept UNION ALL SELECT * FROM lost) r""",
         "cap_text": f"SELECT doc_id, CAST(length(substr(text, 1, {DESCRIPTION_CAP})) AS INTEGER) AS n_kept, "
             f"md5(substr(text, 1, {DESCRIPTION_CAP})) AS digest FROM documents",
         "stamp_scraped": raw + "SELECT seq, CASE WHEN seq % 3 <> 0 THEN strftime(scraped_at, '%Y-%m-%d %H:%M:%S') "

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..config import SKILLS, CleanConfig
 from ..functions.skills import tag_skills
-from ..operators.clean import clean_postings
+from ..operators.clean import clean_postings, label_rejects
 from ..operators.dedup import dedup_url
+from ..sources.csv_files import csv_backup
+from ..sources.store import Batch, PostingStore
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -34,3 +37,30 @@ def ingest_stages(cfg: CleanConfig = CleanConfig(), skills: Mapping[str, str] =
         200: dedup_url,
         260: lambda df: tag_skills(df, skills),
     }
+
+
+def store_stages(store: PostingStore, folder: str, csv_folder: str, run_date: str, run_ts: Column,
+                 batch: Batch | None = None, cfg: CleanConfig = CleanConfig(),
+                 skills: Mapping[str, str] = SKILLS) -> dict[int, Stage]:
+    """The whole chain with its sinks: checked rows, CSV backup, tags, store.
+
+    Raw rows are cleaned, checked and written once, below ``folder``: what is not stored
+    stands in ``rejected=true`` with its reason, and the later stages read the rest.  Each run
+    needs a ``folder`` of its own that every executor can reach.
+    """
+    def check(df: DataFrame) -> DataFrame:
+        labelled = label_rejects(df, cfg, run_ts, lengths=cfg.enforce_lengths)
+        labelled = labelled.withColumn("rejected", F.col("reject_reason").isNotNull())
+        labelled.write.partitionBy("rejected").parquet(f"{folder}/checked")
+        kept = df.sparkSession.read.schema(labelled.schema).parquet(f"{folder}/checked")
+        return kept.filter("NOT rejected").drop("rejected", "reject_reason")
+
+    def back_up(df: DataFrame) -> DataFrame:
+        csv_backup(df, csv_folder, run_date)
+        return df
+
+    def keep(df: DataFrame) -> DataFrame:
+        store.append(df, run_ts, batch, cfg)
+        return df
+
+    return {100: check, 250: back_up, 260: lambda df: tag_skills(df, skills), 300: keep}
