@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from .common import Batches, in_arrow, pieces, read, text_or_empty, to_batch
 
 VOCABULARY = "word_bpe_49k.json"
-LEAF = 4096  # code points of the longest piece that is not halved
+LEAF = 8192  # code points of the longest piece that is not halved
 MARGIN = 32  # code points of a window on either side: more than the longest special token
-CACHED = 150_000  # parts in each of the cache's two generations
+CACHED = 250_000  # parts in each of the cache's two generations
 _RUN = re.compile("[^\x20\x09-\x0d]+")
 # Texts of these characters alone split where letters, digits and marks meet, and nowhere else.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -202,19 +202,22 @@ class Encoder:
             return self._piece(text, start, stop)
         return self._join(text, self.segments(text, start, cut), cut, self.segments(text, cut, stop), start, stop)
 
-    def spelled(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, the ids joined by blanks, and their decoding; parts of short texts must be learnt."""
-        if len(text) > self.leaf:
-            found = [own for _, own in self.segments(text) if own[0]]
-        else:
-            known = self.young
-            found = [own for p in self.parts(text) if (own := known[p])[0]]
-        return sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
+    def spelled(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """For each text the number of ids, the ids joined by blanks, and their decoding."""
+        short = [self.parts(t) if len(t) <= self.leaf else None for t in texts]
+        self.learn(set().union(*filter(None, short)))
+        out, known = [], self.young
+        for text, parts in zip(texts, short):
+            found = [known[p] for p in parts] if parts is not None else [own for _, own in self.segments(text)]
+            counts = [f[0] for f in found]
+            if 0 in counts:
+                found = [f for f in found if f[0]]
+            out.append((sum(counts), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])))
+        self.forget()
+        return out
 
     def ids(self, text: str) -> list[int]:
-        if len(text) <= self.leaf:
-            self.learn(set(self.parts(text)))
-        return [int(i) for i in self.spelled(text)[1].split()]
+        return [int(i) for i in self.spelled([text])[0][1].split()]
 
 
 @lru_cache(maxsize=2)
@@ -233,10 +236,9 @@ def encode_texts(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEA
     def task(batches: Batches) -> Batches:
         encoder = _encoder(vocabulary or default_vocabulary(), leaf)
         for batch in pieces(batches, 100):
-            ids = [encoder.ids(t) for t in batch.column(1).to_pylist()]
-            encoder.forget()
-            yield to_batch(schema, batch.column(0), ids,
-                           [encoder.library.decode(i, skip_special_tokens=False) for i in ids])
+            said = encoder.spelled(batch.column(1).to_pylist())
+            yield to_batch(schema, batch.column(0), [[int(i) for i in ids.split()] for _, ids, _ in said],
+                           [decoded for *_, decoded in said])
 
     return in_arrow(_plain(docs), task, "doc_id long, ids array<int>, decoded string")
 
@@ -252,10 +254,7 @@ def token_digests(docs: DataFrame, vocabulary: str | None = None, leaf: int = LE
     def task(batches: Batches) -> Batches:
         encoder = _encoder(vocabulary or default_vocabulary(), leaf)
         for batch in pieces(batches, 200):
-            texts = batch.column(1).to_pylist()
-            encoder.learn({p for t in texts if len(t) <= leaf for p in encoder.parts(t)})
-            said = [encoder.spelled(t) for t in texts]
-            encoder.forget()
+            said = encoder.spelled(batch.column(1).to_pylist())
             yield to_batch(schema, batch.column(0), [n for n, *_ in said], [digest(i) for _, i, _ in said],
                            [digest(d) for *_, d in said])
 
