@@ -265,6 +265,19 @@ def test_tree_concatenation_equals_the_library(library, leaf):
     check()
 
 
+@given(st.lists(st.sampled_from(ALPHABET), min_size=1, max_size=150).map("".join))
+@settings(max_examples=150, deadline=None)
+def test_joined_pieces_equal_the_library(text):
+    encoder = ENCODERS.setdefault(9, bpe.Encoder(bpe.default_vocabulary(), 9))
+    stops = encoder.cuts(text, 12)
+    parts = [text[a:b] for a, b in zip([0, *stops], stops)]
+    ids = encoder.library.encode(text, add_special_tokens=False).ids
+    assert encoder.joined([(p, encoder.tokens(p)) for p in parts])[1] == " ".join(map(str, ids))
+
+
+ENCODERS = {}
+
+
 @pytest.mark.parametrize("text", ["a" * 20_000, "!'" * 5000, "́" * 5000, "中文字符" * 3000, LONG])
 def test_long_unsplit_texts(library, text):
     assert bpe.Encoder(bpe.default_vocabulary(), 512).ids(text) == library.encode(text, add_special_tokens=False).ids
@@ -278,8 +291,11 @@ def test_encoding_equals_the_library(spark, library, docs, nothing):
         ids = library.encode(r.text or "", add_special_tokens=False).ids
         want.append((r.doc_id or 0, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
                      hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
-    got = [(r.doc_id or 0, *r[1:]) for r in bpe.token_digests(rows).collect()]
-    assert sorted(got) == sorted(want) and bpe.token_digests(nothing).count() == 0
+    for long in (bpe.LONG, 700):  # the second splits most texts over tasks
+        got = [(r.doc_id or 0, *r[1:]) for r in bpe.token_digests(rows, long=long, leaf=200 if long == 700 else bpe.LEAF)
+               .collect()]
+        assert sorted(got) == sorted(want)
+    assert bpe.token_digests(nothing).count() == 0
     whole = bpe.encode_texts(docs).collect()
     assert {(r.doc_id, tuple(r.ids), r.decoded) for r in whole if r.doc_id == 10} == {
         (10, tuple(library.encode("ok").ids), library.decode(library.encode("ok").ids))}

@@ -8,14 +8,14 @@ are spliced.  A byte-pair encoding is valid exactly if every two neighbouring to
 are, so agreement in one token on either side makes the splice equal the encoding of
 the whole.
 
-Pieces are encoded by the tokenizers library.  White space always ends a token, and in
+The pieces of very long texts are rows of their own, encoded by as many tasks; one task then
+joins them.  Pieces are encoded by the tokenizers library.  White space always ends a token, and in
 texts of common characters so does each change between letters, digits and marks; each
 distinct part is encoded once per worker and kept in a bounded cache.
 """
 
 from __future__ import annotations
 
-import hashlib
 import os
 import re
 import unicodedata
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import Batches, in_arrow, pieces, read, text_or_empty, to_batch
 
 VOCABULARY = "word_bpe_49k.json"
+LONG = 1 << 15  # code points of the longest text that one task encodes by itself
 LEAF = 8192  # code points of the longest piece that is not halved
 MARGIN = 32  # code points of a window on either side: more than the longest special token
 CACHED = 250_000  # parts in each of the cache's two generations
@@ -194,6 +195,44 @@ class Encoder:
                        for f in ("ids", "starts", "stops")))
         return own.starts[0] if own.ids else 0, self._spell(own.ids, 0, own)
 
+    def cuts(self, text: str, size: int, start: int = 0, stop: int | None = None) -> list[int]:
+        """Where halving ends pieces of at most ``size`` code points, if the text can be cut there."""
+        stop = len(text) if stop is None else stop
+        cut = _cut(text, start, stop) if stop - start > size else None
+        if cut is None:
+            return [stop]
+        return self.cuts(text, size, start, cut) + self.cuts(text, size, cut, stop)
+
+    def tokens(self, text: str) -> Tokens:
+        """The tokens of one piece."""
+        return self._flat(text, self.segments(text))
+
+    def _short_segments(self, own: Tokens, base: int, tokens: int = 256) -> list[tuple[int, Part]]:
+        """Tokens of a piece as segments; no character stands in two of them."""
+        out, at = [], 0
+        while at < len(own.ids):
+            stop = min(at + tokens, len(own.ids))
+            while stop < len(own.ids) and own.stops[stop - 1] > own.starts[stop]:
+                stop += 1
+            part = Tokens(own.ids[at:stop], [base + x for x in own.starts[at:stop]], [base + x for x in own.stops[at:stop]])
+            out.append((part.starts[0], self._spell(part.ids, 0, part)))
+            at = stop
+        return out
+
+    def joined(self, pieces: list[tuple[str, Tokens]]) -> tuple[int, str, str]:
+        """What :meth:`spelled` says of the text that encoded pieces make up, joined pair by pair."""
+        text = "".join(p for p, _ in pieces)
+        level, at = [], 0
+        for piece, own in pieces:
+            level.append((at, at + len(piece), self._short_segments(own, at)))
+            at += len(piece)
+        while len(level) > 1:
+            pairs = [level[i:i + 2] for i in range(0, len(level), 2)]
+            level = [(p[0][0], p[1][1], self._join(text, p[0][2], p[0][1], p[1][2], p[0][0], p[1][1])) if len(p) == 2
+                     else p[0] for p in pairs]
+        found = [own for _, own in level[0][2] if own[0]] if level else []
+        return sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
+
     def segments(self, text: str, start: int = 0, stop: int | None = None) -> list[tuple[int, Part]]:
         """The parts of text[start:stop] with where they begin, by halves."""
         stop = len(text) if stop is None else stop
@@ -225,44 +264,89 @@ def _encoder(vocabulary: str, leaf: int) -> Encoder:
     return Encoder(vocabulary, leaf)
 
 
-def encode_texts(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF) -> DataFrame:
-    """``doc_id, ids array<int>, decoded string`` of every row; a NULL text is empty.
+def _long_texts(texts: DataFrame, vocabulary: str | None, long: int, leaf: int) -> DataFrame:
+    """``key, n, ids, decoded`` of distinct long texts (``key``, ``text``).
 
-    Special tokens in a text are recognised as the library does by default.  Repeated rows
-    give repeated rows, an empty table gives none, other columns are ignored.
+    Each text is halved into pieces of at most ``long`` code points, which are encoded by
+    different tasks; the pieces of a text then meet in one task, in order.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+    piece_schema = pa.schema([("key", pa.string()), ("n", pa.int32()), ("piece", pa.string())])
+    coded_schema = pa.schema([*piece_schema, *((f, pa.list_(pa.int32())) for f in ("ids", "starts", "stops"))])
+    said_schema = pa.schema([("key", pa.string()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
+    name = vocabulary
+
+    def halve(batches: Batches) -> Batches:
+        encoder = _encoder(name or default_vocabulary(), leaf)
+        for batch in batches:
+            for key, text in zip(*(c.to_pylist() for c in batch.columns)):
+                stops = encoder.cuts(text, long)
+                for n, (a, b) in enumerate(zip([0, *stops], stops)):
+                    yield to_batch(piece_schema, [key], [n], [text[a:b]])
+
+    def encode(batches: Batches) -> Batches:
+        encoder = _encoder(name or default_vocabulary(), leaf)
+        for batch in pieces(batches, 16):
+            own = [encoder.tokens(t) for t in batch.column(2).to_pylist()]
+            encoder.forget()
+            yield to_batch(coded_schema, *batch.columns, *([getattr(o, f) for o in own] for f in ("ids", "starts", "stops")))
+
+    def join(batches: Batches) -> Batches:
+        encoder = _encoder(name or default_vocabulary(), leaf)
+        key, held = None, {}
+
+        def done() -> pa.RecordBatch:
+            count, ids, decoded = encoder.joined([held[n] for n in sorted(held)])
+            return to_batch(said_schema, [key], [count], [ids], [decoded])
+        for batch in pieces(batches, 16):
+            for own_key, n, piece, *own in zip(*(c.to_pylist() for c in batch.columns)):
+                if own_key != key and held:
+                    yield done()
+                    held = {}
+                key = own_key
+                held[n] = (piece, Tokens(*own))
+        if held:
+            yield done()
+
+    arrays = "ids array<int>, starts array<int>, stops array<int>"
+    cut = in_arrow(texts, halve, "key string, n int, piece string").repartition("key", "n")
+    coded = in_arrow(cut, encode, f"key string, n int, piece string, {arrays}")
+    return in_arrow(coded.repartition("key").sortWithinPartitions("key", "n"), join,
+                    "key string, n_tokens long, ids string, decoded string")
+
+
+def _encoded(docs: DataFrame, vocabulary: str | None, long: int, leaf: int) -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded`` of every row; ids as decimals joined by blanks."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
+    name = vocabulary
 
     def task(batches: Batches) -> Batches:
-        encoder = _encoder(vocabulary or default_vocabulary(), leaf)
-        for batch in pieces(batches, 100):
+        encoder = _encoder(name or default_vocabulary(), leaf)
+        for batch in pieces(batches, 200):
             said = encoder.spelled(batch.column(1).to_pylist())
-            yield to_batch(schema, batch.column(0), [[int(i) for i in ids.split()] for _, ids, _ in said],
-                           [decoded for *_, decoded in said])
-
-    return in_arrow(_plain(docs), task, "doc_id long, ids array<int>, decoded string")
+            yield to_batch(schema, batch.column(0), *(list(c) for c in zip(*said)))
 
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    short = in_arrow(plain.filter(F.length("text") <= long), task, "doc_id long, n_tokens long, ids string, decoded string")
+    rest = plain.filter(F.length("text") > long).withColumn("key", F.sha2("text", 256))
+    # Copies of a long text are encoded once.
+    known = _long_texts(rest.groupBy("key").agg(F.min("text").alias("text")), vocabulary, long, leaf)
+    return short.unionByName(rest.select("doc_id", "key").join(known, "key").drop("key"))
 
-def token_digests(docs: DataFrame, vocabulary: str | None = None, leaf: int = LEAF) -> DataFrame:
-    """The same encoding as digests: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
-                        ("decoded_sha256", pa.string())])
-
-    def digest(said: str) -> str:
-        return hashlib.sha256(said.encode()).hexdigest()
 
-    def task(batches: Batches) -> Batches:
-        encoder = _encoder(vocabulary or default_vocabulary(), leaf)
-        for batch in pieces(batches, 200):
-            said = encoder.spelled(batch.column(1).to_pylist())
-            yield to_batch(schema, batch.column(0), [n for n, *_ in said], [digest(i) for _, i, _ in said],
-                           [digest(d) for *_, d in said])
+def encode_texts(docs: DataFrame, vocabulary: str | None = None, long: int = LONG, leaf: int = LEAF) -> DataFrame:
+    """``doc_id, ids array<int>, decoded string`` of every row; a NULL text is empty.
 
-    return in_arrow(_plain(docs), task, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    Special tokens in a text are recognised as the library does by default.  Repeated rows
+    give repeated rows, an empty table gives none, other columns are ignored.
+    """
+    ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(F.split("ids", " ").cast("array<int>"))
+    return _encoded(docs, vocabulary, long, leaf).select("doc_id", ids.alias("ids"), "decoded")
 
 
-def _plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+def token_digests(docs: DataFrame, vocabulary: str | None = None, long: int = LONG, leaf: int = LEAF) -> DataFrame:
+    """The same encoding as digests: ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
+    return _encoded(docs, vocabulary, long, leaf).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
