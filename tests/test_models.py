@@ -50,6 +50,7 @@ def test_tfidf_matches_plain_python_and_the_vectors(spark, posted, max_terms):
 
 
 def test_role_clusters(spark, posted):
+    before = posted.count() and spark.sparkContext._jsc.getPersistentRDDs().size()
     model = K.RoleModel(posted, k=3)
     out = model.assign(posted).collect()
     assert len(out) == 91 and {r["cluster"] for r in out} <= {0, 1, 2}
@@ -61,8 +62,10 @@ def test_role_clusters(spark, posted):
     assert all(len(c) == 1 for c in by_group.values()) and len(set.union(*by_group.values())) == 3
     top = model.top_terms(posted, 2).collect()
     assert [(r["cluster"], r["rank"]) for r in top] == [(c, r) for c in range(3) for r in (1, 2)]
+    assert K.RoleModel(posted.limit(2), k=3).assign(posted.limit(2)).count() == 2  # few points are points too
     with pytest.raises(ValueError):
-        K.RoleModel(posted.limit(20), k=3)
+        K.RoleModel(posted.limit(0), k=3)
+    assert not spark.sparkContext._jsc.getPersistentRDDs().size() - before
 
 
 def test_weighted_fit_costs_what_the_full_fit_costs(spark, posted):
@@ -94,5 +97,7 @@ def test_company_segments(spark):
     got = out.collect()
     assert len(got) == 10 and {r["segment"] for r in got} <= {0, 1, 2} and min(r["total_jobs"] for r in got) == 3
     assert K.segment_plot_data(out).columns == ["company", "total_jobs", "first_level_jobs", "segment"]
-    with pytest.raises(ValueError):
-        K.company_segments(df.filter("company < 'c4'"), ["x", "y"])
+    few = K.company_segments(df.filter("company IN ('c2', 'c3')"), ["x", "y"]).collect()
+    assert len(few) == 2
+    found = K.company_segments(df)  # levels of the data
+    assert found.columns == out.columns and found.count() == 10

@@ -8,13 +8,13 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from vacancylens.functions.skills import skills_from_table
+from vacancylens.functions.skills import skills_from_table, tag_from_table
 from vacancylens.operators import analytics as A
-from vacancylens.operators import clean, dedup, upsert, views
+from vacancylens.operators import clean, dedup, extract, upsert, views
 from vacancylens.config import CleanConfig
 from vacancylens.plans.stages import build_pipeline
 from vacancylens.schema import POSTING, ensure_columns
-from vacancylens.sources.readers import scan_active
+from vacancylens.sources.readers import hash_slices, scan_active
 
 RUN1 = "2024-02-01 00:00:00"
 RUN2 = "2024-02-03 00:00:00"
@@ -117,11 +117,31 @@ def test_stages_run_in_key_order(spark):
     assert build_pipeline([])(df).first()["v"] == "a"
 
 
-def test_dictionary_table_is_bounded(spark):
+def test_dictionary_tables(spark):
     table = spark.createDataFrame([("A", "a"), ("B", "b")], "name string, pattern string")
     assert skills_from_table(table) == {"A": "a", "B": "b"}
-    with pytest.raises(ValueError):
-        skills_from_table(table, at_most=1)
+    phrases = spark.createDataFrame([("ML", "machine learning"), ("ML", "ml"), ("Go", "go"), ("None", ""), ("Been", None)],
+                                    "name string, phrase string")
+    rows = raw(spark, [job(1, title="ML and machine-learning", description="go"), job(2, title="learning machine goes"),
+                       job(3, title="Machine", description="Learning"), job(4, title=None, description=None)])
+    got = {r["seq"]: r["skills"] for r in tag_from_table(rows, phrases).collect()}
+    assert got == {1: ["Go", "ML"], 2: [], 3: ["ML"], 4: []}
+    assert {tuple(r["skills"]) for r in tag_from_table(rows, phrases.limit(0)).collect()} == {()}
+
+
+def test_age_cut_keeps_rows_without_a_date(spark):
+    df = spark.createDataFrame([("5 months ago",), ("2 days ago",), (None,), ("",)], "date_posted string")
+    assert [r[0] for r in extract.age_cut(df).collect()] == ["2 days ago", None, ""]
+
+
+@pytest.mark.parametrize("n", [1, 2, 16, 100])
+def test_hash_slices_take_every_key_once(spark, n):
+    keys = [None, "", "0", "00", "0fff", "7fff", "8000", "ffff", "ffffff", "FFFF", "g", "é"] + [f"{i:04x}" for i in range(0, 65536, 97)]
+    df = spark.createDataFrame([(k,) for k in keys], "job_hash string")
+    slices = hash_slices(n)
+    assert len(slices) == n
+    hits = df.select(sum(F.coalesce(F.expr(s), F.lit(False)).cast("int") for s in slices).alias("n"))
+    assert {r[0] for r in hits.collect()} == {1}
 
 
 POSTED = "job_hash string, location string, job_type string, skills array<string>, status string, company string"
@@ -228,8 +248,7 @@ def test_company_features_and_scaling(spark):
     got = {r["company"]: tuple(r)[1:] for r in A.company_features(df).collect()}
     assert got == {"c": (2, 1, 2), "d": (1, 0, 0)}
     assert [r["company"] for r in A.min_volume(A.company_features(df), 2).collect()] == ["c"]
-    with pytest.raises(ValueError):
-        A.career_levels(df, at_most=1)
+    assert sorted(map(tuple, A.level_counts(df).collect())) == [("c", "", 1), ("c", "x", 2)]
     n = spark.createDataFrame([(1, 7), (3, 7), (5, 7)], "v int, w int")
     scaled = [(round(r["v"], 6), r["w"]) for r in A.scale_features(n, ["v", "w"]).orderBy("v").collect()]
     assert scaled == [(-1.224745, 0.0), (0.0, 0.0), (1.224745, 0.0)]

@@ -29,13 +29,13 @@ def test_listing_and_detail_to_postings(spark):
                        CARD.format(n=1, title="Again", posted="1 day ago"),
                        '<div class="css-pkv5jc"><h2>no link</h2></div>'])
     site = "https://jobs.example.org"
-    listings = pages(spark, [(1, f"{site}/search?q=x", listing), (2, f"{site}/s", "<p>Just a moment...</p>" + listing)])
+    listings = pages(spark, [(1 << 50, f"{site}/search?q=x", listing), (2, f"{site}/s", "<p>Just a moment...</p>" + listing)])
     details = pages(spark, [(7, f"{site}/jobs/p/1?o=1", DETAIL), (8, f"{site}/jobs/p/2?o=1", DETAIL),
                             (9, f"{site}/jobs/p/1?o=1", "<p>captured again</p>")])
     run = F.lit("2024-02-01 00:00:00").cast("timestamp")
     out = [r.asDict() for r in extract.extract_postings(listings, details, run).collect()]
     assert out == [{
-        "seq": 1 << 20, "title": "Analyst & Co", "company": "Acme Co", "location": "Maadi, Cairo",
+        "seq": (1 << 50, 0), "title": "Analyst & Co", "company": "Acme Co", "location": "Maadi, Cairo",
         "experience": "3 - 5 Yrs", "job_type": "Full Time, Remote", "salary": "9000 EGP",
         "career_level": "Senior Management", "date_posted": "posted 2 days ago", "keywords": "sql, bi",
         "description": "Must know Python and SQL 5 years Git", "url": f"{site}/jobs/p/1?o=1",

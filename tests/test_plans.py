@@ -71,7 +71,7 @@ def test_rejects_join_on_the_unique_order(raw):
 def test_no_query_uses_a_cartesian_product_or_row_python(spark):
     folder = "/root/testdata/sf0.001"
     fits = {"role_clusters", "cluster_terms", "pca_2d", "company_segments", "segment_plot_data"}
-    writes = {n for n in catalog.queries() if n.startswith(("stream_", "csv_", "upsert_sink"))}
+    writes = {n for n in catalog.queries() if n.startswith(("stream_", "csv_", "upsert_sink", "ingest_pages"))}
     for name, query in catalog.queries().items():
         if name in fits | writes:
             continue
@@ -86,6 +86,14 @@ def test_tfidf_shuffles_only_the_vocabulary(table):
     assert "Exchange hashpartitioning" not in main
 
 
+def test_no_page_is_shuffled(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    plan = plan_of(extract.extract_postings(pages, pages, cards=catalog.PAGE_CARDS, details=catalog.PAGE_POSTING))
+    assert plan.count("MapInArrow") == 2
+    for shuffled in re.findall(r"Exchange[^\n]*\n[^\n]*", plan):
+        assert "html" not in shuffled
+
+
 def test_pages_are_read_once(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = plan_of(extract.card_fields(extract.extract_cards(pages)))

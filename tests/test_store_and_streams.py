@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from vacancylens.config import CleanConfig
 from vacancylens.functions.skills import tag_skills
 from vacancylens.operators import clean, dedup, upsert
 from vacancylens.operators.views import hiring_trends
@@ -48,15 +49,16 @@ def run(stream, folder, mode="append"):
 
 def test_csv_backup_appends_and_keeps_hard_texts(spark):
     folder = work_folder(spark, "csv")
-    hard = 'a "quoted", text\nwith a second line\r\nand é \\ '
-    df = feed(spark, 2).withColumn("description", F.lit(hard)).withColumn("extra", F.lit(1))
-    tagged = tag_skills(clean.stamp_scraped(df))
-    csv_files.csv_backup(tagged, folder, "2024-02-01")
+    hard = ['a "quoted", text\nwith a second line\r\nand é \\ ', "", None, "\\N", "\\\\N", "\\N ", '""', " ", "N", '"\\N"']
+    df = spark.createDataFrame([(i, "Role of data", "u", t) for i, t in enumerate(hard)],
+                               "seq long, title string, url string, description string").withColumn("extra", F.lit(1))
+    tagged = clean.stamp_scraped(df, ts())
+    csv_files.csv_backup(tagged, folder, "2024-02-01", rows_per_file=1)
     csv_files.csv_backup(tagged, folder, "2024-02-01")
     csv_files.csv_backup(tagged, folder, "2024-02-02")
     back = csv_files.read_csv(spark, f"{folder}/run_date=2024-02-01")
     assert back.columns == list(CSV_COLUMNS)
-    assert [r["description"] for r in back.collect()] == [hard] * 4
+    assert sorted(map(str, (r["description"] for r in back.collect()))) == sorted(map(str, hard * 2))
     first = spark.read.text(f"{folder}/run_date=2024-02-02").first()[0]
     assert first == ",".join(CSV_COLUMNS)
 
@@ -73,34 +75,86 @@ def test_csv_snapshot_overwrites(spark):
 def test_store_equals_the_plain_upsert(spark):
     rows = tag_skills(clean.clean_postings(feed(spark)))
     parts = [rows.filter(F.col("seq").between(a, a + 9)) for a in (0, 10, 20, 30)]
-    store = PostingStore(spark, work_folder(spark, "store"))
+    store = PostingStore(spark, work_folder(spark, "store"), digits=1)
     assert store.read().count() == 0 and store.compact() == -1
     want = None
     for i, part in enumerate(parts):
         now = ts(f"2024-02-0{i + 1} 00:00:00")
         want = upsert.upsert_postings(want, part, now)
-        assert store.append(part, i, now) == (i + 1 if i < 2 else i - 1)
-        store.append(part, i, now)  # a repeated batch does no harm
+        store.append(part, now, ("feed", i))
+        store.append(part, ts("2030-01-01 00:00:00"), ("feed", i))  # a repeated batch does no harm
         assert content(store.read()) == content(want)
         if i == 1:
-            assert store.compact() == 0 and content(store.read()) == content(want)
-    store.append(parts[0], 0, ts("2030-01-01 00:00:00"))  # older than the base: already merged
+            store.compact()
+            assert content(store.read()) == content(want)
+    store.append(parts[0], ts("2030-01-01 00:00:00"), ("feed", 0))  # merged long ago
     assert content(store.read()) == content(want)
-    assert store.compact() == 1 and store.compact() == 1
+    assert store.compact() == store.compact()
     assert content(store.read()) == content(want)
 
 
-def test_unlogged_folders_are_invisible(spark):
+def test_batch_names(spark):
+    """Numbers that start again, come out of order or without a name lose nothing."""
+    rows = tag_skills(clean.clean_postings(feed(spark, 20))).withColumn("title", F.concat("title", F.col("seq").cast("string")))
+    one = [rows.filter(F.col("seq") == i) for i in range(6)]
+    store = PostingStore(spark, work_folder(spark, "names"), digits=1)
+    store.upsert(one[0], ts(), ("a", 5))
+    store.upsert(one[1], ts(), ("b", 5))  # another source, the same number
+    store.upsert(one[2], ts(), ("a", 3))  # arrives after a later one was merged
+    store.append(one[3], ts())            # nameless batches are always stored
+    store.append(one[3], ts())
+    store.append(one[4], ts(), ("a", 4))
+    assert store.upsert(one[5], ts(), ("a", 3)).count() == 5  # the same batch again, whatever it holds
+    assert store._state().stored == {"a": ((3, 5),), "b": ((5, 5),)}
+
+
+def test_long_fields_are_stored_or_rejected_with_a_reason(spark):
+    rows = tag_skills(clean.clean_postings(feed(spark, 9))).withColumn(
+        "company", F.when(F.col("seq") < 3, F.repeat(F.lit("x"), F.lit(300))).otherwise(F.col("company")))
+    store = PostingStore(spark, work_folder(spark, "long"), digits=1)
+    assert store.upsert(rows, ts()).filter("length(company) = 300").count() == 3
+    strict = PostingStore(spark, work_folder(spark, "strict"), digits=1)
+    assert strict.upsert(rows, ts(), cfg=CleanConfig(enforce_lengths=True)).filter("length(company) = 300").count() == 0
+    lost = spark.read.parquet(f"{strict.root}/rejects")
+    assert [r[0] for r in lost.select("reject_reason").collect()] == ["too_long:company"] * 3
+
+
+def test_only_touched_prefixes_are_rewritten(spark):
+    rows = tag_skills(clean.clean_postings(feed(spark)))
+    store = PostingStore(spark, work_folder(spark, "prefixes"), digits=1)
+    table = store.upsert(rows, ts())
+    parts = dict(store._state().parts)
+    assert len(parts) > 2
+    before = {p: sorted(spark.read.parquet(f"{store.root}/base/version={v}/prefix={p}").inputFiles())
+              for p, v in parts.items()}
+    hashes = content(table.select("job_hash"))
+    one = table.limit(1).collect()[0]
+    again = rows.filter((F.col("title") == one["title"]) & (F.col("company") == one["company"]))
+    after = store.upsert(again, ts("2024-03-01 00:00:00"))
+    changed = {p for p, v in store._state().parts.items() if v != parts[p]}
+    assert changed == {one["job_hash"][:1]} and after.count() == table.count()
+    want = content(after)
+    gone = store.retire()
+    for p in set(parts) - changed:
+        now = spark.read.parquet(f"{store.root}/base/version={parts[p]}/prefix={p}").inputFiles()
+        assert sorted(now) == before[p]
+    assert content(store.read()) == want and any("manifest" in g for g in gone) and any("/base/" in g for g in gone)
+    assert content(store.upsert(again, ts("2024-03-02 00:00:00")).select("job_hash")) == hashes
+
+
+def test_unpublished_folders_are_invisible(spark):
     root = work_folder(spark, "torn")
     rows = tag_skills(clean.clean_postings(feed(spark, 5)))
-    store = PostingStore(spark, root)
-    store.append(rows, 0, ts())
+    store = PostingStore(spark, root, digits=1)
+    store.append(rows, ts())
     before = content(store.read())
-    rows.limit(1).write.parquet(f"{root}/deltas/batch_id=1")  # written, never logged
-    rows.limit(1).write.parquet(f"{root}/base/version=0")
+    rows.limit(1).write.parquet(f"{root}/deltas/seq=1/prefix=0")  # written, never published
+    rows.limit(1).write.parquet(f"{root}/base/version=1/prefix=0")
     assert content(store.read()) == before
     store.compact()
     assert content(store.read()) == before
+    store.append(rows, ts("2024-02-02 00:00:00"))
+    assert store.read().count() == len(before)
 
 
 def test_bucketed_target_is_not_shuffled(spark):
@@ -128,15 +182,24 @@ def test_stream_clean_equals_batch(spark):
     assert content(run(stream, folder)) == content(tag_skills(clean.clean_postings(df, run_ts=ts())))
 
 
-def test_stream_dedup_keeps_each_url_once(spark):
-    df = feed(spark)
-    want = sorted(r["url"] for r in dedup.dedup_url(df).select("url").collect())
-    timed = df.withColumn("at", F.to_timestamp("scraped_at"))
-    for name, source, options in (("plain", df, {}), ("salted", df, {"spread": "seq", "salts": 4}),
-                                  ("bounded", timed, {"watermark": "at"})):
-        folder = work_folder(spark, f"s_dedup_{name}")
-        out = run(ingest.stream_dedup(files(source, f"{folder}/in"), **options), folder)
-        assert sorted(r["url"] for r in out.select("url").collect()) == want, name
+def test_stream_dedup_keeps_the_first_row_of_each_url(spark):
+    df = feed(spark).repartition(4)
+    folder = work_folder(spark, "s_dedup_first")
+    stream = ingest.stream_dedup(files(df, f"{folder}/in"))
+    query = (stream.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state")
+             .foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{folder}/out/batch={n}"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    out = spark.read.schema(df.schema).parquet(f"{folder}/out")
+    assert content(out.select(df.columns)) == content(dedup.dedup_url(df).select(df.columns))
+
+
+def test_stream_dedup_within_a_watermark(spark):
+    df = feed(spark).withColumn("at", F.to_timestamp("scraped_at"))
+    folder = work_folder(spark, "s_dedup_within")
+    out = run(ingest.stream_dedup_within(files(df, f"{folder}/in"), "at", salts=4), folder)
+    assert sorted(r["url"] for r in out.select("url").collect()) == sorted(
+        r["url"] for r in dedup.dedup_url(df).select("url").collect())
 
 
 def test_stream_upsert_equals_one_batch(spark):
@@ -144,13 +207,19 @@ def test_stream_upsert_equals_one_batch(spark):
     want = upsert.upsert_postings(None, tag_skills(clean.clean_postings(df, run_ts=ts())), ts())
     for every in (100, 2):
         folder = work_folder(spark, "s_upsert")
-        store = PostingStore(spark, f"{folder}/store")
+        store = PostingStore(spark, f"{folder}/store", digits=1)
         stream = ingest.stream_clean(files(df, f"{folder}/in"), run_ts=ts())
         ingest.stream_upsert(stream, store, f"{folder}/state", ts(), compact_every=every).awaitTermination()
         assert content(store.read()) == content(want)
         ingest.stream_upsert(stream, store, f"{folder}/state", ts()).awaitTermination()  # nothing new
         store.compact()
         assert content(store.read()) == content(want)
+    # A new checkpoint numbers from 0 again and is another source: its rows are stored.
+    more = df.withColumn("title", F.concat(F.lit("Other "), "title"))
+    other = work_folder(spark, "s_upsert_more")
+    ingest.stream_upsert(ingest.stream_clean(files(more, f"{other}/in"), run_ts=ts()), store, f"{other}/state",
+                         ts()).awaitTermination()
+    assert store.read().count() == 2 * want.count()
 
 
 def test_stream_trend_equals_view(spark):

@@ -96,8 +96,6 @@ def cached_points(points: DataFrame) -> Iterator[DataFrame]:
     """The points of a fit, kept for its iterations and freed after it; adaptive execution sizes the tasks."""
     cached = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if cached.isEmpty():
-            raise ValueError("no points to cluster")
         yield cached
     finally:
         cached.unpersist()
@@ -108,9 +106,15 @@ def best_kmeans(points: DataFrame, k: int, seed: int = SEED, starts: int = N_STA
                 iterations: int = MAX_ITERATIONS) -> tuple[KMeansModel, list[float]]:
     """The model with the lowest cost out of several starts, and all costs.
 
+    Fewer different points than ``k`` make as many clusters; there must be two at least.
+
     The starts are independent Spark jobs on the same cached points, submitted
     side by side: one start alone leaves most of a cluster idle between steps.
     """
+    k = min(k, points.select(vector_to_array("features")).distinct().count())
+    if k < 2:
+        raise ValueError("clustering needs two different points")
+
     def fit(start: int) -> KMeansModel:
         kmeans = KMeans(k=k, seed=seed + start, maxIter=iterations, tol=TOLERANCE, featuresCol="features",
                         predictionCol="cluster")

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DESCRIPTION_CAP, CardLayout, DetailLayout, FieldSpec
 from ..functions import dates, links, text
-from ..functions.skills import skills_from_table, tag_skills
+from ..functions.skills import skills_from_table, tag_from_table, tag_skills
 from ..operators import analytics as A
 from ..operators import clean, clusters, dedup, extract, upsert, views
 from ..schema import ADDABLE_COLUMNS, ensure_columns
@@ -369,6 +369,13 @@ def skill_dictionary(spark, d):
     return tag_skills(raw, own).select("seq", "skills")
 
 
+def skill_table(spark, d):
+    """The same dictionary as a table of phrases, met by a join."""
+    phrases = fx.tables(spark, d, "nation")["nation"].select(F.col("n_name").alias("name"), F.col("n_name").alias("phrase"))
+    raw = fx.raw_postings(spark, d).withColumn("description", F.concat("location", F.lit(" "), "description"))
+    return tag_from_table(raw, phrases).select("seq", "skills")
+
+
 def ingest_batch(raw):
     return build_pipeline(ingest_stages(run_ts=_ts(FIRST_RUN)))(raw).select("seq", "title", "location", "url", "skills")
 
@@ -582,6 +589,7 @@ def _sequence() -> dict[str, Query]:
         "job_hash": _raw(job_hash),
         "tag_skills": _raw(lambda raw: tag_skills(raw).select("seq", "skills")),
         "skill_dictionary": skill_dictionary,
+        "skill_table": skill_table,
         "ingest_batch": _raw(ingest_batch),
         "upsert_postings": _raw(upsert_postings),
         **{name: _postings(view) for name, view in views.VIEWS.items()},

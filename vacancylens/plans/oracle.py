@@ -352,6 +352,8 @@ def oracle_sql() -> dict[str, str]:
         "tag_skills": raw + f"SELECT seq, {tags('title', 'description')} AS skills FROM raw",
         "skill_dictionary": raw + f"SELECT seq, coalesce(array_to_string({nations}, ', '), '') AS skills "
             "FROM raw CROSS JOIN nation n GROUP BY seq",
+        "skill_table": raw + f"SELECT seq, coalesce(array_to_string({nations}, ', '), '') AS skills "
+            "FROM raw CROSS JOIN nation n GROUP BY seq",
         "ingest_batch": f"WITH {TAGGED} SELECT seq, title, location, url, skills FROM tagged "
             "QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1",
         "upsert_postings": upserted,
