@@ -36,11 +36,16 @@ _BLOCKED_WORDS = ("casino-win casino-royal online-casino lucky-slots free-bets b
                   "cheap-pills buy-pills pills-store cheap-pharma adult-x adult-cams xxx-adult hot-adult "
                   "spam-farm link-farm spam-links seo-spam ads-track ad-track track-ads ads-click click-ads "
                   "popup-ads free-loans cheap-loans win-prizes free-prizes cheap-watches replica-watches "
-                  "crack-keys free-warez").split()
+                  "crack-keys free-warez porn-tube viagra-store pharmacy-deals ad-server click-farm").split()
 _ALLOWED_WORDS = ("harbour garden library museum weather science history kitchen village mountain theatre "
                   "orchard cathedral thistle nations therapy another thinking station rather there tradition "
                   "gathering botany union thread whether northern thesis other together question leather "
-                  "nation motion earth theory breath health smith worth").split()
+                  "nation motion earth theory breath health smith worth hearth father mother brother these those "
+                  "thesaurus winter athens thames cherries horses roses houses voices nurses bathes clothes "
+                  "breathes hatter latter that what theatrics thatch shatter thorns this though thought through "
+                  "thousand thunder thursday think things thirst north south youth news local bank "
+                  "university school college travel music recipes forum photos market city journal green river "
+                  "software research gallery sports health care insurance garden parks").split()
 _HOSTS = ("{}.example.com", "www.{}.example.org", "blog.{}.example.net", "m.{}.example.org")
 _PATHS = ("/en/{}", "/de/{}.html", "/fr/{}/", "/es/{}")
 
@@ -85,10 +90,11 @@ class UrlModel:
                                _grams(path, 2, self.sizes, len(self.weights))])
 
     def score(self, host: str, path: str) -> float:
-        """Probability that the url should be blocked."""
+        """Probability that the url should be blocked; 0 if there is nothing to judge."""
         f = np.unique(self.features(host, path))
-        z = self.bias + (self.weights[f].sum() / np.sqrt(len(f)) if len(f) else 0.0)
-        return float(1.0 / (1.0 + np.exp(-z)))
+        if not len(f):
+            return 0.0
+        return float(1.0 / (1.0 + np.exp(-self.bias - self.weights[f].sum() / np.sqrt(len(f)))))
 
 
 def train(table: Sequence[tuple[str, str, int]], buckets: int = 1 << 16, sizes: tuple[int, ...] = (3, 4, 5),
@@ -134,7 +140,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule] = RULES,
     The longest rule that fits a host, or a host above it, and the start of the path
     decides; all other urls are decided by a logistic regression trained on ``table``.
     Rows are judged one by one: repeated rows get equal verdicts, a NULL url has an empty
-    host and path and the score of the model's bias, other columns are ignored, an empty
+    host and path and score 0, other columns are ignored, an empty
     table gives no rows.  The model travels in the task: 512 kB, fixed by its buckets.
     """
     model = train(labelled_urls() if table is None else table)
