@@ -8,8 +8,9 @@ digest of their words, each finds the smallest document it starts in, and the wi
 that a smaller document owns merge to maximal repeats.
 
 Probes and windows travel in packed rows, a few bytes each, dealt by ranges of their hash.
-A passage that a third of all documents share costs a few bytes per document; no pairs of
-documents are ever made.
+What the entries of one task decide among themselves does not travel: of a passage that a
+third of all documents share, each task sends the smallest and largest document and the
+few it cannot decide.  No pairs of documents are ever made.
 """
 
 from __future__ import annotations
@@ -133,15 +134,17 @@ def _unpack(data: bytes, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             _from_planes(data, n, 0, keep, np.uint64))
 
 
-_PACKED = pa.schema([("part", pa.int32()), ("packed", pa.binary())])
-_PACKED_DDL = "part int, packed binary"
+# Open entries go to the task of their hash range; decided ones are meant for a group of documents.
+OPEN, DECIDED = 0, 1
+_PACKED = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("packed", pa.binary())])
+_PACKED_DDL = "kind int, part int, packed binary"
 
 
 class _Packer:
     """Gathers entries and gives them out as one packed row per part."""
 
-    def __init__(self, keep: int):
-        self.keep, self.held, self.n = keep, [], 0
+    def __init__(self, keep: int, kind: int):
+        self.keep, self.kind, self.held, self.n = keep, kind, [], 0
 
     def add(self, parts: np.ndarray, docs: np.ndarray, places: np.ndarray, keys: np.ndarray | None = None):
         self.held.append((parts, docs, places, keys))
@@ -163,16 +166,20 @@ class _Packer:
         for start in range(0, len(first), 512):
             spans = list(zip(first[start:start + 512], [*first[start + 1:start + 512],
                                                         first[start + 512] if start + 512 < len(first) else len(parts)]))
-            yield to_batch(_PACKED, parts[[a for a, _ in spans]].astype(np.int32),
+            yield to_batch(_PACKED, np.full(len(spans), self.kind, np.int32), parts[[a for a, _ in spans]].astype(np.int32),
                            [_pack(docs[a:b], places[a:b], None if keys is None else keys[a:b], self.keep)
                             for a, b in spans])
 
 
-def _by_part(batches: Batches, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """All entries of one part after the other, from rows sorted by part."""
+def _by_part(batches: Batches, keep: int, decided: list[pa.RecordBatch]) -> Iterator[tuple]:
+    """All open entries of one part after the other, from rows sorted by part; others go to ``decided``."""
     part, held = None, []
     for batch in batches:
-        for p, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+        open_ = np.asarray(batch.column(0)) == OPEN
+        if not open_.all():
+            decided.append(batch.filter(pa.array(~open_)))
+            batch = batch.filter(pa.array(open_))
+        for p, packed in zip(batch.column(1).to_pylist(), batch.column(2)):
             if p != part and held:
                 yield tuple(np.concatenate(c) for c in zip(*held))
                 held = []
@@ -200,10 +207,51 @@ def _text_batches(batches: Batches, at: int) -> Iterator[tuple[pa.RecordBatch, l
             start = stop
 
 
-def _probes(docs: DataFrame, ranges: int) -> DataFrame:
+def _same(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by (key, document), where each key begins in it, and how often it occurs."""
+    order = np.lexsort((docs, keys))
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    return order, first, np.diff(np.append(first, len(keys)))
+
+
+def _meetings(keys: np.ndarray, docs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries meet, among these, a block that matters to them, and which others must hear of.
+
+    A larger document learns of the blocks it shares with a smaller one; the smaller one of
+    its blocks that a larger one shares.  Others must hear of what is undecided, and of the
+    smallest block and the largest document of each key.
+    """
+    order, first, sizes = _same(keys, docs)
+    met, tell = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+    if not len(keys):
+        return met, tell
+    own, block = docs[order], places[order] % BLOCK == 0
+    at = np.minimum.reduceat(np.where(block, np.arange(len(order)), len(order)), first)
+    owner = np.append(own, np.iinfo(np.int64).max)[at]
+    largest = first + sizes - 1
+    hit = (own > np.repeat(owner, sizes)) | (block & (own < np.repeat(own[largest], sizes)))
+    said = ~hit
+    said[largest] = True
+    said[at[at < len(order)]] = True
+    met[order], tell[order] = hit, said
+    return met, tell
+
+
+def _probes(docs: DataFrame, ranges: int, groups: int) -> DataFrame:
     """Rolling windows of 25 words by range of their hash; those at multiples of 25 are reference blocks."""
     def task(batches: Batches) -> Batches:
-        packer = _Packer(_KEY_BYTES)
+        held, n = [], 0
+
+        def give() -> Batches:
+            probe, ids, places = (np.concatenate(c) for c in zip(*held))
+            met, tell = _meetings(probe, ids, places)
+            here, away = _Packer(0, DECIDED), _Packer(_KEY_BYTES, OPEN)
+            here.add(_group_of(ids[met], groups), ids[met], places[met])
+            away.add((probe[tell] % np.uint64(ranges)).astype(np.int32), ids[tell], places[tell],
+                     probe[tell] // np.uint64(ranges))
+            yield from here.give()
+            yield from away.give()
         for batch, _, hashes, counts in _text_batches(batches, 1):
             ids = np.asarray(batch.column(0)).astype(np.int64)
             ends = np.cumsum(counts)
@@ -212,45 +260,42 @@ def _probes(docs: DataFrame, ranges: int) -> DataFrame:
             place = np.arange(len(probe)) - (ends - counts)[of]
             # Documents without a window of 50 words repeat nothing.
             good = (place + BLOCK <= counts[of]) & (counts[of] >= WINDOW)
-            probe = probe[good]
-            packer.add((probe % np.uint64(ranges)).astype(np.int32), ids[of[good]], place[good],
-                       probe // np.uint64(ranges))
-            if packer.full():
-                yield from packer.give()
-        yield from packer.give()
+            held.append((probe[good], ids[of[good]], place[good]))
+            n += int(good.sum())
+            if n >= _FLUSH:
+                yield from give()
+                held, n = [], 0
+        if held:
+            yield from give()
 
     return in_arrow(docs.select("doc_id", "text"), task, _PACKED_DDL)
 
 
-def _hits(probes: DataFrame, groups: int) -> DataFrame:
-    """Places where a probe of one document meets a reference block of another that matters to it.
+def _dealt(entries: DataFrame) -> DataFrame:
+    return entries.repartition("kind", "part").sortWithinPartitions("kind", "part")
 
-    A larger document learns of the blocks it shares with a smaller one; the smaller one
-    of its blocks that a larger one shares.
-    """
+
+def _hits(probes: DataFrame, groups: int) -> DataFrame:
+    """Places where a probe of one document meets a reference block of another that matters to it."""
     def task(batches: Batches) -> Batches:
-        packer, table = _Packer(0), np.zeros(1 << (8 * _KEY_BYTES), bool)
-        for docs, places, keys in _by_part(batches, _KEY_BYTES):
+        packer, table = _Packer(0, DECIDED), np.zeros(1 << (8 * _KEY_BYTES), bool)
+        decided: list[pa.RecordBatch] = []
+        for docs, places, keys in _by_part(batches, _KEY_BYTES, decided):
             blocks = keys[places % BLOCK == 0]
             table[blocks] = True
-            met = np.flatnonzero(table[keys])
+            some = np.flatnonzero(table[keys])
             table[blocks] = False
-            met = met[np.argsort(keys[met], kind="stable")]
-            docs, places, keys = docs[met], places[met], keys[met]
-            if not len(keys):
-                continue
-            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            sizes = np.diff(np.append(first, len(keys)))
-            block = places % BLOCK == 0
-            owner = np.repeat(np.minimum.reduceat(np.where(block, docs, np.iinfo(np.int64).max), first), sizes)
-            last = np.repeat(np.maximum.reduceat(docs, first), sizes)
-            tell = (docs > owner) | (block & (docs < last))
-            packer.add(_group_of(docs[tell], groups), docs[tell], places[tell])
+            docs, places, keys = docs[some], places[some], keys[some]
+            met, _ = _meetings(keys, docs, places)
+            packer.add(_group_of(docs[met], groups), docs[met], places[met])
             if packer.full():
                 yield from packer.give()
+            yield from decided
+            decided.clear()
         yield from packer.give()
+        yield from decided
 
-    return in_arrow(probes.repartition("part").sortWithinPartitions("part"), task, _PACKED_DDL)
+    return in_arrow(_dealt(probes), task, _PACKED_DDL).select("part", "packed")
 
 
 def _entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -279,11 +324,21 @@ def _per_group(texts: DataFrame, packed: DataFrame, work: Callable[[pa.Table, pa
     return texts.groupBy("part").cogroup(packed.groupBy("part")).applyInArrow(one, schema)
 
 
-def _candidates(texts: DataFrame, hits: DataFrame, ranges: int) -> DataFrame:
+def _owned_here(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries share their key with a smaller document among these, and one smallest entry of each key."""
+    order, first, sizes = _same(keys, docs)
+    lost, least = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+    if len(keys):
+        lost[order] = docs[order] > np.repeat(docs[order][first], sizes)
+        least[order[first]] = True
+    return lost, least | ~lost
+
+
+def _candidates(texts: DataFrame, hits: DataFrame, ranges: int, groups: int) -> DataFrame:
     """Digests of the windows of 50 words that hold a hit, by range of the digest."""
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         docs, places = _entries(right)
-        packer, out = _Packer(_DIGEST_BYTES), []
+        held: list[tuple] = []
         for doc, text in zip(left.column("doc_id").to_pylist(), left.column("text")):
             if doc is None:
                 continue
@@ -295,13 +350,16 @@ def _candidates(texts: DataFrame, hits: DataFrame, ranges: int) -> DataFrame:
             own = own[own + BLOCK <= len(digest) + WINDOW - 1]
             starts = np.flatnonzero(_marked(len(digest), np.maximum(0, own + BLOCK - WINDOW),
                                             np.minimum(len(digest), own + 1)))
-            digest = digest[starts]
-            packer.add((digest % np.uint64(ranges)).astype(np.int32), np.full(len(starts), doc, np.int64), starts,
-                       _mixed(digest + np.uint64(1)))
-            if packer.full():
-                out += packer.give()
-        out += packer.give()
-        return pa.Table.from_batches(out, _PACKED)
+            held.append((digest[starts], np.full(len(starts), doc, np.int64), starts))
+        if not held:
+            return pa.Table.from_batches([], _PACKED)
+        digest, ids, starts = (np.concatenate(c) for c in zip(*held))
+        lost, tell = _owned_here(digest, ids)
+        here, away = _Packer(0, DECIDED), _Packer(_DIGEST_BYTES, OPEN)
+        here.add(_group_of(ids[lost], groups), ids[lost], starts[lost])
+        away.add((digest[tell] % np.uint64(ranges)).astype(np.int32), ids[tell], starts[tell],
+                 _mixed(digest[tell] + np.uint64(1)))
+        return pa.Table.from_batches([*here.give(), *away.give()], _PACKED)
 
     return _per_group(texts, hits, work, _PACKED_DDL)
 
@@ -309,19 +367,18 @@ def _candidates(texts: DataFrame, hits: DataFrame, ranges: int) -> DataFrame:
 def _owned(candidates: DataFrame, groups: int) -> DataFrame:
     """Windows that start in a document with a smaller id as well."""
     def task(batches: Batches) -> Batches:
-        packer = _Packer(0)
-        for docs, places, keys in _by_part(batches, _DIGEST_BYTES):
-            order = np.argsort(keys, kind="stable")
-            docs, places, keys = docs[order], places[order], keys[order]
-            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            owner = np.repeat(np.minimum.reduceat(docs, first), np.diff(np.append(first, len(keys))))
-            lost = docs > owner
+        packer, decided = _Packer(0, DECIDED), []
+        for docs, places, keys in _by_part(batches, _DIGEST_BYTES, decided):
+            lost, _ = _owned_here(keys, docs)
             packer.add(_group_of(docs[lost], groups), docs[lost], places[lost])
             if packer.full():
                 yield from packer.give()
+            yield from decided
+            decided.clear()
         yield from packer.give()
+        yield from decided
 
-    return in_arrow(candidates.repartition("part").sortWithinPartitions("part"), task, _PACKED_DDL)
+    return in_arrow(_dealt(candidates), task, _PACKED_DDL).select("part", "packed")
 
 
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
@@ -368,10 +425,10 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     # Ranges and groups follow the input, so that what one task holds does not.
     ranges = max(2048, (size["bytes"] or 0) // 6 // RANGE_ENTRIES)
     groups = max(2048, size["n"] // GROUP_DOCS)
-    hits = _hits(_probes(rows.filter("doc_id IS NOT NULL"), ranges), groups)
+    hits = _hits(_probes(rows.filter("doc_id IS NOT NULL"), ranges, groups), groups)
     # Both uses of the texts ask for the same exchange, which Spark makes once.
     texts = _grouped(rows, groups)
-    return _without(texts, _owned(_candidates(texts, hits, ranges), groups))
+    return _without(texts, _owned(_candidates(texts, hits, ranges, groups), groups))
 
 
 def _grouped(rows: DataFrame, groups: int) -> DataFrame:
