@@ -272,7 +272,7 @@ def test_joined_pieces_equal_the_library(text):
     stops = encoder.cuts(text, 12)
     parts = [text[a:b] for a, b in zip([0, *stops], stops)]
     ids = encoder.library.encode(text, add_special_tokens=False).ids
-    assert encoder.joined([(p, encoder.tokens(p)) for p in parts])[1] == " ".join(map(str, ids))
+    assert encoder.joined([(p, encoder.segments(p)) for p in parts])[1] == " ".join(map(str, ids))
 
 
 ENCODERS = {}

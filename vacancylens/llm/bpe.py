@@ -17,6 +17,7 @@ distinct part is encoded once per worker and kept in a bounded cache.
 from __future__ import annotations
 
 import os
+import pickle
 import re
 import unicodedata
 from bisect import bisect_left, bisect_right
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import Batches, in_arrow, pieces, read, text_or_empty, to_batch
 
 VOCABULARY = "word_bpe_49k.json"
-LONG = 1 << 15  # code points of the longest text that one task encodes by itself
+LONG = 1 << 17  # code points of the longest text that one task encodes by itself, in about a tenth of a second
 LEAF = 8192  # code points of the longest piece that is not halved
 MARGIN = 32  # code points of a window on either side: more than the longest special token
 CACHED = 250_000  # parts in each of the cache's two generations
@@ -65,6 +66,12 @@ Part = tuple[int, str, str, int, Tokens | None]
 _base = itemgetter(0)
 
 
+def _shifted(part: Part, by: int) -> Part:
+    """A part as it counts in a text that begins ``by`` code points earlier."""
+    *said, own = part
+    return part if own is None else (*said, Tokens(own.ids, [a + by for a in own.starts], [b + by for b in own.stops]))
+
+
 def _cut(text: str, start: int, stop: int) -> int | None:
     """A place near the middle where no character composes with the one before; None without one."""
     middle = (start + stop) // 2
@@ -203,28 +210,12 @@ class Encoder:
             return [stop]
         return self.cuts(text, size, start, cut) + self.cuts(text, size, cut, stop)
 
-    def tokens(self, text: str) -> Tokens:
-        """The tokens of one piece."""
-        return self._flat(text, self.segments(text))
-
-    def _short_segments(self, own: Tokens, base: int, tokens: int = 256) -> list[tuple[int, Part]]:
-        """Tokens of a piece as segments; no character stands in two of them."""
-        out, at = [], 0
-        while at < len(own.ids):
-            stop = min(at + tokens, len(own.ids))
-            while stop < len(own.ids) and own.stops[stop - 1] > own.starts[stop]:
-                stop += 1
-            part = Tokens(own.ids[at:stop], [base + x for x in own.starts[at:stop]], [base + x for x in own.stops[at:stop]])
-            out.append((part.starts[0], self._spell(part.ids, 0, part)))
-            at = stop
-        return out
-
-    def joined(self, pieces: list[tuple[str, Tokens]]) -> tuple[int, str, str]:
-        """What :meth:`spelled` says of the text that encoded pieces make up, joined pair by pair."""
+    def joined(self, pieces: list[tuple[str, list[tuple[int, Part]]]]) -> tuple[int, str, str]:
+        """What :meth:`spelled` says of the text that pieces and their segments make up, joined pair by pair."""
         text = "".join(p for p, _ in pieces)
         level, at = [], 0
         for piece, own in pieces:
-            level.append((at, at + len(piece), self._short_segments(own, at)))
+            level.append((at, at + len(piece), [(at + base, _shifted(part, at)) for base, part in own]))
             at += len(piece)
         while len(level) > 1:
             pairs = [level[i:i + 2] for i in range(0, len(level), 2)]
@@ -271,7 +262,7 @@ def _long_texts(texts: DataFrame, vocabulary: str | None, long: int, leaf: int)
     different tasks; the pieces of a text then meet in one task, in order.
     """
     piece_schema = pa.schema([("key", pa.string()), ("n", pa.int32()), ("piece", pa.string())])
-    coded_schema = pa.schema([*piece_schema, *((f, pa.list_(pa.int32())) for f in ("ids", "starts", "stops"))])
+    coded_schema = pa.schema([*piece_schema, ("segments", pa.binary())])
     said_schema = pa.schema([("key", pa.string()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
     name = vocabulary
 
@@ -286,9 +277,9 @@ def _long_texts(texts: DataFrame, vocabulary: str | None, long: int, leaf: int)
     def encode(batches: Batches) -> Batches:
         encoder = _encoder(name or default_vocabulary(), leaf)
         for batch in pieces(batches, 16):
-            own = [encoder.tokens(t) for t in batch.column(2).to_pylist()]
+            own = [pickle.dumps(encoder.segments(t)) for t in batch.column(2).to_pylist()]
             encoder.forget()
-            yield to_batch(coded_schema, *batch.columns, *([getattr(o, f) for o in own] for f in ("ids", "starts", "stops")))
+            yield to_batch(coded_schema, *batch.columns, own)
 
     def join(batches: Batches) -> Batches:
         encoder = _encoder(name or default_vocabulary(), leaf)
@@ -298,18 +289,17 @@ def _long_texts(texts: DataFrame, vocabulary: str | None, long: int, leaf: int)
             count, ids, decoded = encoder.joined([held[n] for n in sorted(held)])
             return to_batch(said_schema, [key], [count], [ids], [decoded])
         for batch in pieces(batches, 16):
-            for own_key, n, piece, *own in zip(*(c.to_pylist() for c in batch.columns)):
+            for own_key, n, piece, own in zip(*(c.to_pylist() for c in batch.columns)):
                 if own_key != key and held:
                     yield done()
                     held = {}
                 key = own_key
-                held[n] = (piece, Tokens(*own))
+                held[n] = (piece, pickle.loads(own))
         if held:
             yield done()
 
-    arrays = "ids array<int>, starts array<int>, stops array<int>"
     cut = in_arrow(texts, halve, "key string, n int, piece string").repartition("key", "n")
-    coded = in_arrow(cut, encode, f"key string, n int, piece string, {arrays}")
+    coded = in_arrow(cut, encode, "key string, n int, piece string, segments binary")
     return in_arrow(coded.repartition("key").sortWithinPartitions("key", "n"), join,
                     "key string, n_tokens long, ids string, decoded string")
 
