@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, in_arrow, kept_table, pieces, read, to_batch
+from .common import Batches, in_arrow, kept_table, read, to_batch
 from .components import components
 
 STEP = 16        # coordinates added between two looks at the bound
@@ -202,8 +202,14 @@ def _tiled(nodes: DataFrame, axes: np.ndarray, dim: int, threshold: float, rows:
     ranges = -(-n // rows)
     inner = led.approxQuantile("lead", [k / ranges for k in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
     cuts = np.array(sorted(inner))
-    ranged = led.withColumn("range", F.aggregate(F.array(*[F.lit(float(c)) for c in cuts]), F.lit(0), lambda s, c: s + (
-        F.col("lead") >= c).cast("int")) if len(cuts) else F.lit(0))
+    ranged_schema = pa.schema([*list(lead_schema)[:3], ("range", pa.int32()), ("lead", pa.float64())])
+
+    def ranging(batches: Batches) -> Batches:
+        for batch in batches:
+            lead = np.asarray(batch.column(3))
+            yield to_batch(ranged_schema, *batch.columns[:3], np.searchsorted(cuts, lead, "right").astype(np.int32), lead)
+
+    ranged = in_arrow(led, ranging, "node long, size long, vec binary, range int, lead double")
     found = sorted(ranged.groupBy("range").agg(F.count("*"), F.min("lead"), F.max("lead")).collect())
     # Tiles: a range, or parts of one that holds more rows than a tile should.
     low, high, of_range = [], [], {}
@@ -218,7 +224,7 @@ def _tiled(nodes: DataFrame, axes: np.ndarray, dim: int, threshold: float, rows:
                         ("size", pa.int64()), ("vec", pa.binary())])
 
     def deal(batches: Batches) -> Batches:
-        for batch in pieces(batches, 256):
+        for batch in batches:
             ids = np.asarray(batch.column(0))
             first, parts = (np.array([of_range[r][k] for r in batch.column(3).to_pylist()], np.int64) for k in (0, 1))
             block = first + ids % np.maximum(parts, 1)
