@@ -175,6 +175,8 @@ def test_language_id_on_edge_cases(docs, nothing):
     assert len(got) == len(ROWS) and language_id.predict(nothing, model).count() == 0
     assert {r.doc_id for r in got if r.lang_pred == "und"} == {3, 4, 5, 8, None}
     assert all((r.score == 0 and r.ambiguous) if r.lang_pred == "und" else 0 <= r.score <= 1 for r in got)
+    kept = language_id.keep_identified(docs)  # whose columns include "score"
+    assert kept.schema.names == docs.schema.names and not {r.doc_id for r in kept.collect()} & {3, 4, 5, 8}
     untaught = language_id.predict(docs, language_id.train(nothing.select("text", "lang")))
     assert {r.lang_pred for r in untaught.collect()} == {"und"}
 

@@ -182,8 +182,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows whose language is told, with all columns of ``docs``; texts without letters or verdict go."""
     model = train(docs.filter(~held_out()).select("text", "lang"))
-    others = [c for c in docs.columns if c != "doc_id"]
-    return predict(docs, model, others).filter(f"NOT ambiguous AND lang_pred <> '{UNDECIDED}'").select(*docs.columns)
+    # The rows travel under names of their own, whatever columns they have.
+    carried = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)])
+    judged = predict(carried, model, [f"_{i}" for i in range(len(docs.columns))])
+    return judged.filter(f"NOT ambiguous AND lang_pred <> '{UNDECIDED}'").select(
+        *[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
