@@ -423,8 +423,8 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).first()
     # Ranges and groups follow the input, so that what one task holds does not.
-    ranges = max(2048, (size["bytes"] or 0) // 6 // RANGE_ENTRIES)
-    groups = max(2048, size["n"] // GROUP_DOCS)
+    ranges = max(1024, (size["bytes"] or 0) // 6 // RANGE_ENTRIES)
+    groups = max(640, size["n"] // GROUP_DOCS)
     hits = _hits(_probes(rows.filter("doc_id IS NOT NULL"), ranges, groups), groups)
     # Both uses of the texts ask for the same exchange, which Spark makes once.
     texts = _grouped(rows, groups)
