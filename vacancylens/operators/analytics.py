@@ -160,9 +160,10 @@ def skill_cooccurrence(active: DataFrame, top: int = 15) -> DataFrame:
     pairs = left.select("n", "i", "skill_1", F.posexplode("s").alias("j", "skill_2")).filter("i <> j")
     counts = pairs.groupBy("skill_1", "skill_2").agg(F.sum("n").alias("n"))
     # Every cell once with weight 0: the frame of the dense top x top result.
-    frame = (ranked.withColumn("_top", _top_list(ranked, "skill"))
-             .select(F.col("skill").alias("skill_1"), F.explode("_top").alias("skill_2"),
-                     F.lit(0).cast("bigint").alias("n")))
+    # It is made from the list the postings were reduced by, so the ranking runs once.
+    frame = (active.sparkSession.range(1).select(_top_list(ranked, "skill").alias("_top"))
+             .select("_top", F.explode("_top").alias("skill_1"))
+             .select("skill_1", F.explode("_top").alias("skill_2"), F.lit(0).cast("bigint").alias("n")))
     dense = counts.unionByName(frame).groupBy("skill_1", "skill_2").agg(F.sum("n").alias("n"))
     # A skill listed twice in a posting pairs with itself in both directions.
     return dense.orderBy("skill_1", "skill_2")
