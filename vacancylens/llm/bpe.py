@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Batches, in_arrow, pieces, read, text_or_empty, to_batch
+from .common import Batches, in_arrow, kept_table, pieces, read, text_or_empty, to_batch
 
 VOCABULARY = "word_bpe_49k.json"
 LONG = 1 << 17  # code points of the longest text that one task encodes by itself, in about a tenth of a second
@@ -317,7 +317,7 @@ def _encoded(docs: DataFrame, vocabulary: str | None, long: int, leaf: int) -> D
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     short = in_arrow(plain.filter(F.length("text") <= long), task, "doc_id long, n_tokens long, ids string, decoded string")
-    rest = plain.filter(F.length("text") > long).withColumn("key", F.sha2("text", 256))
+    rest = kept_table(plain.filter(F.length("text") > long).withColumn("key", F.sha2("text", 256)), "bpe-long")
     # Copies of a long text are encoded once.
     known = _long_texts(rest.groupBy("key").agg(F.min("text").alias("text")), vocabulary, long, leaf)
     return short.unionByName(rest.select("doc_id", "key").join(known, "key").drop("key"))
