@@ -31,30 +31,106 @@ class Rule:
 RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
          Rule("block", "net", "/es/"), Rule("block", "net", "/fr/"))
 
-# The small labelled table: invented hosts of kinds to block (1) and to allow (0).
-_BLOCKED_WORDS = ("casino-win casino-royal online-casino lucky-slots free-bets bets-online sport-bets poker-win "
-                  "cheap-pills buy-pills pills-store cheap-pharma adult-x adult-cams xxx-adult hot-adult "
-                  "spam-farm link-farm spam-links seo-spam ads-track ad-track track-ads ads-click click-ads "
-                  "popup-ads free-loans cheap-loans win-prizes free-prizes cheap-watches replica-watches "
-                  "crack-keys free-warez porn-tube viagra-store pharmacy-deals ad-server click-farm").split()
-_ALLOWED_WORDS = ("harbour garden library museum weather science history kitchen village mountain theatre "
-                  "orchard cathedral thistle nations therapy another thinking station rather there tradition "
-                  "gathering botany union thread whether northern thesis other together question leather "
-                  "nation motion earth theory breath health smith worth hearth father mother brother these those "
-                  "thesaurus winter athens thames cherries horses roses houses voices nurses bathes clothes "
-                  "breathes hatter latter that what theatrics thatch shatter thorns this though thought through "
-                  "thousand thunder thursday think things thirst north south youth news local bank "
-                  "university school college travel music recipes forum photos market city journal green river "
-                  "software research gallery sports health care insurance garden parks").split()
-_HOSTS = ("{}.example.com", "www.{}.example.org", "blog.{}.example.net", "m.{}.example.org")
-_PATHS = ("/en/{}", "/de/{}.html", "/fr/{}/", "/es/{}")
+# The small labelled table: site names by kind, to block (1) and to allow (0).  It is written from what such
+# sites are called, without looking at any table this library is run on.
+_BLOCKED_NAMES = """
+casino-bonus grand-casino vegas-slots slot-machines-live roulette-king blackjack-table jackpot-city betting-tips-vip
+sportsbook-odds bingo-cash poker-room-pro lottery-winners gambling-club baccarat-online instant-payout
+viagra-online cialis-generic cheap-meds-shop diet-pills-now weight-loss-miracle pharmacy-without-prescription
+steroids-for-sale xanax-order tramadol-express male-enhancement hair-growth-secret
+xxx-videos porn-hd sex-chat-live naked-girls adult-dating hot-singles escorts-tonight webcam-strip milf-tubes
+hentai-gallery nude-teens erotic-cams
+click-tracker ad-network-serve banner-exchange popunder-media traffic-boost pixel-sync adserving-cdn
+retarget-clicks pay-per-click-bid affiliate-offers
+buy-backlinks seo-rank-fast link-exchange-hub bulk-email-blast guest-posts-cheap article-spinner-tool
+payday-loan-fast instant-credit-approval no-credit-check-cash debt-wiped forex-signals-profit binary-options-trade
+crypto-doubler bitcoin-giveaway get-rich-quick easy-money-home
+replica-rolex fake-designer-bags discount-handbags-outlet knockoff-sneakers louis-outlet-sale
+warez-download keygen-serials cracked-software torrent-movies-free nulled-scripts full-version-crack
+account-verify-login secure-update-billing paypal-confirm wallet-recover-support password-reset-alert
+you-won-iphone free-gift-card-claim survey-rewards prize-draw-winner lucky-visitor
+virus-scan-alert pc-cleaner-download driver-updater-free codec-installer toolbar-install
+""".split()
+_ALLOWED_NAMES = """
+city-library county-museum national-archive art-gallery history-society science-centre botanical-garden zoo-friends
+daily-news evening-post morning-herald weekly-review local-radio regional-tv press-agency
+primary-school high-school university-press teacher-training adult-education student-union maths-lessons
+research-institute physics-department marine-biology climate-data astronomy-club chemistry-notes
+family-doctor dental-practice children-hospital village-pharmacy nursing-care mental-health-advice blood-donors
+home-recipes bread-bakery vegetable-soup coffee-roasters cheese-market wine-growers kitchen-stories
+mountain-hiking cycling-routes city-hotel train-timetable airport-transfer camping-lakes travel-diary ferry-port
+football-league swimming-club tennis-results chess-federation rowing-team running-calendar
+town-council police-department ministry-of-finance tax-office weather-service fire-brigade court-records
+church-choir parish-newsletter charity-fund animal-shelter food-bank neighbours-forum
+jazz-festival symphony-orchestra guitar-lessons film-critics poetry-journal theatre-tickets book-reviews
+open-source-software programming-guide database-manual linux-users web-standards code-examples electronics-repair
+furniture-maker bicycle-shop garden-tools wool-and-yarn shoe-repair toy-store paper-supplies hardware-depot
+savings-bank insurance-advice accounting-office law-firm building-contractor engineering-works plumbing-service
+bird-watching rose-growers bee-keeping model-railway stamp-collectors knitting-patterns photo-album
+""".split()
+# Most sites are named after none of these kinds: ordinary nouns, one site each.
+_ALLOWED_NAMES += """
+anchor apron apple autumn balcony barley basket beacon beaver bottle branch bridge broom bucket button cabin candle
+canvas carpet castle cellar cherry chimney circle clover copper cotton cradle curtain daisy desert dolphin donkey
+dragonfly drawer eagle elbow engine envelope evening falcon feather fender fiddle forest fountain galaxy ginger glacier
+granite hammer harvest hedgehog helmet hollow horizon island ivory jacket jungle kettle ladder lantern laurel lemon
+lizard magnet mantle maple marble meadow melon mirror monument mustard needle nutmeg oasis olive onion orchard oyster
+paddle pasture pebble pepper pigeon pillow planet plaster plough pocket prairie pumpkin quarry rabbit rainbow ribbon
+robin saddle saffron salmon sandal shadow shovel silver spider spruce squirrel stable starling stove summit sunrise
+swallow table tailor teapot timber tractor tulip tunnel turnip umbrella valley velvet violet wagon walnut whistle willow
+window winter wizard workshop yellow zebra agenda chapter college committee conference congress embassy estate
+faculty federation heritage institute journey ledger legacy magazine methods mission nature network
+ parade partner pioneer province quarterly registry republic society standard survey technology
+tradition treaty tribune tutor vision volunteer yearbook
+""".split()
+# What names of a kind are made of, each joined to a few of the words that any site may carry.
+_BLOCKED_KINDS = """
+casino slots roulette blackjack jackpot betting sportsbook bingo poker lottery gambling baccarat odds viagra cialis
+meds pills prescription steroids xanax tramadol enhancement xxx porn sex naked escorts milf hentai nude erotic webcam
+hotsingles clicktracker adnetwork popunder retarget adserving affiliate banners backlinks seolinks bulkemail
+linkexchange spinner payday instantcash debtfree forex binaryoptions doubler airdrop replica fake knockoff outlet warez
+keygen cracked torrent nulled serials verifylogin unlockbilling giveaway prizes rewards virusalert pccleaner codec
+""".split()
+_ALLOWED_KINDS = """
+library museum archive gallery history science botanical garden news press radio school university teacher lessons
+research physics biology climate astronomy chemistry doctor dental hospital pharmacy nursing recipes bakery soup coffee
+cheese kitchen hiking cycling hotel train airport camping travel ferry football swimming tennis chess rowing council
+police finance weather court choir parish charity shelter festival orchestra guitar film poetry theatre books software
+programming database linux electronics furniture bicycle shoes wool paper bank insurance accounting lawyers engineering
+plumbing birds roses bees railway stamps knitting photography village farm friends health history-of market
+""".split()
+_COMMON = "world my best euro hub group portal place point central first team plus star net24 blue".split()
+# At least three labels each, so that a name is never the second; the same shapes on both sides.
+_HOSTS = ("www.{}.com", "{}.co.uk", "www.{}.org", "{}.com.au", "{}.wordpress.com", "shop.{}.net", "{}.org.nz",
+          "m.{}.fr", "{}.co.in", "en.{}.eu", "{}.com.br")
+_PATHS = ("/", "/index.html", "/about", "/page/2", "/2019/04/17/", "/item/48213", "/en/home", "/p/7", "/list.php",
+          "/main/archive/", "/contact.html", "/view/a81c", "/category/12")
+_BLOCKED_PATHS = """
+/bonus/claim-now /signup/free-spins /live-odds.html /order/no-prescription /buy/generic-pills /watch/hd-xxx
+/cams/live-girls /click/redirect /banner/728x90.js /pixel.gif /offer/limited-time /apply/instant-approval
+/download/keygen.exe /crack/serial-number /verify/account-login /winner/claim-prize /deal/90-percent-off /go/affiliate
+""".split()
+_ALLOWED_PATHS = """
+/articles/spring-flowers /lessons/unit-4.html /events/summer-concert /opening-hours /recipes/apple-cake
+/reports/annual-review.pdf /docs/getting-started /news/council-meeting /history/the-old-bridge /staff/directory
+/timetable/weekdays /blog/our-trip-to-the-coast /products/oak-table /wiki/Photosynthesis /gallery/winter
+/publications/2016/paper.pdf /membership /faq/delivery
+""".split()
+
+
+def _names(listed: Sequence[str], kinds: Sequence[str]) -> list[str]:
+    """The listed names, and each word of a kind before and after words of any site."""
+    made = [f"{k}-{_COMMON[(i + 5 * j) % len(_COMMON)]}" if (i + j) % 2 else f"{_COMMON[(i + 5 * j) % len(_COMMON)]}-{k}"
+            for i, k in enumerate(kinds) for j in range(4)]
+    return [*listed, *made]
 
 
 def labelled_urls() -> list[tuple[str, str, int]]:
-    """(host, path, label) rows: each word in each kind of host, so that only the word tells."""
-    return [(host.format(word), path.format(37 * i + 101 * k), label)
-            for label, words in ((1, _BLOCKED_WORDS), (0, _ALLOWED_WORDS))
-            for i, word in enumerate(words) for k, (host, path) in enumerate(zip(_HOSTS, _PATHS))]
+    """(host, path, label) rows: each name in one host, with a path that tells nothing and one that does."""
+    return [(_HOSTS[i % len(_HOSTS)].format(name), path, label)
+            for label, names, own in ((1, _names(_BLOCKED_NAMES, _BLOCKED_KINDS), _BLOCKED_PATHS),
+                                      (0, _names(_ALLOWED_NAMES, _ALLOWED_KINDS), _ALLOWED_PATHS))
+            for i, name in enumerate(names) for path in (_PATHS[i % len(_PATHS)], own[i % len(own)])]
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
