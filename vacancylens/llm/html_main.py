@@ -25,6 +25,8 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>
                   r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
+# Names that say how the page is laid out or filed, not what the element is: no-sidebar, page--has-menu, tag-social.
+_LAYOUT = re.compile(r"(?:^|[-_])(?:no|not|has|have|with|without)[-_]|^(?:category|tag|tagged|post_tag|format)[-_]")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe xmp".split())
@@ -49,6 +51,9 @@ _DROP_WORDS = frozenset("ad ads adv advert adverts advertisement advertising spo
                         "notice notices gdpr popup modal overlay newsletter subscribe signup comment comments disqus "
                         "replies respond share sharing social related recommended pagination pager toolbar "
                         "widget".split())
+# Of these, what has a text of its own that may be longer than the article.
+_OWN_WORDS = frozenset("comment comments disqus replies respond related recommended cookie cookies consent gdpr "
+                       "popup modal overlay newsletter".split())
 # Elements that recurrence may delete inside an article; outside of it any may go.
 _CONTAINERS = frozenset("div section ul ol dl table figure details fieldset center".split())
 _ROOTS = frozenset("html body article main".split())
@@ -107,7 +112,8 @@ def events(page: str) -> list[tuple]:
         words = ()
         if rest and ("=" in rest):
             words = tuple((a[0].lower(), w) for a in _ATTRIBUTE.findall(rest)
-                          for w in _WORD.findall((a[1] or a[2] or a[3]).lower()))
+                          for name in (a[1] or a[2] or a[3]).lower().split()
+                          for w in ((name,) if _LAYOUT.search(name) else _WORD.findall(name)))
         out.append((OPEN, tag, words))
         if tag in _VOID:
             out.append((CLOSE, tag))
@@ -158,16 +164,75 @@ def _boilerplate(tag: str, words: tuple, inside: bool) -> bool:
     return any(w in _DROP_ROLES if k == "role" else w in _DROP_WORDS for k, w in words)
 
 
+def _by_name(tag: str, words: tuple) -> bool:
+    """Whether only class, id or a form tag tells that an element is boilerplate."""
+    return ((tag not in _DROP_TAGS or tag == "form") and _boilerplate(tag, words, True)
+            and not any(k == "role" and w in _DROP_ROLES and w != "form" for k, w in words))
+
+
+def _spared(page: list[tuple]) -> set[int]:
+    """Places of the elements that class, id or a form tag calls boilerplate, but that hold the page's main part.
+
+    That is a ``main``, or the longest article or half of the text of all articles, unless
+    the element stands in an article itself; or more than half of the page's text (nine
+    tenths for comments and the like, and on pages with an article or main).  Text of links
+    does not count.
+    """
+    named: list[tuple] = []
+    all_articles: list[int] = []
+    # Of each open element: place, named, article, hard, chars, holds main, articles' chars, articles' most, inside.
+    stack: list[list] = [[-1, False, False, False, 0, False, 0, -1, 0]]
+    hard = links = inside = 0
+    found_main = False
+    for i, event in enumerate(page):
+        if event[0] == OPEN:
+            tag, words = event[1], event[2]
+            by_name = _by_name(tag, words)
+            is_hard = not by_name and tag != "header" and _boilerplate(tag, words, True)
+            article = tag == "article" and not by_name
+            stack.append([i, by_name, article, is_hard, 0, tag == "main" or ("role", "main") in words, 0, -1, inside])
+            hard += is_hard
+            links += tag == "a"
+            inside += article
+        elif event[0] == TEXT:
+            if not hard and not links:
+                stack[-1][4] += len("".join(event[1].split()))
+        else:
+            at, by_name, article, is_hard, chars, has_main, total, most, within = stack.pop()
+            links -= event[1] == "a"
+            hard -= is_hard
+            inside -= article
+            if hard or is_hard:
+                continue
+            if by_name:
+                named.append((at, chars, has_main, total, most, within, any(w in _OWN_WORDS for _, w in page[at][2])))
+            if article and not within:
+                total, most = total + chars, max(most, chars)
+                all_articles.append(chars)
+            found_main |= has_main
+            over = stack[-1]
+            over[4] += chars
+            over[5] |= has_main
+            over[6] += total
+            over[7] = max(over[7], most)
+    whole = stack[0][4]
+    rooted = found_main or bool(all_articles)
+    return {at for at, chars, has_main, total, most, within, own in named
+            if has_main or (most >= 0 and not within and (most == max(all_articles) or 2 * total >= sum(all_articles)))
+            or chars > whole * (0.9 if own or rooted else 0.5)}
+
+
 def _kept(page: list[tuple]) -> Iterator[tuple[int, tuple, bool]]:
     """Events that boilerplate rules leave, with whether they stand in the article (or main part).
 
     A block that is left out leaves a BREAK.
     """
     # The article is where the text is; without one the main part; without that the body.
+    spared = _spared(page)
     roots, dropped = set(), 0
-    for event in page:
+    for i, event in enumerate(page):
         if event[0] == OPEN:
-            if dropped or _boilerplate(event[1], event[2], True):
+            if dropped or (_boilerplate(event[1], event[2], True) and i not in spared):
                 dropped += 1
             elif event[1] in ("article", "main") or ("role", "main") in event[2]:
                 roots.add("article" if event[1] == "article" else "main")
@@ -177,7 +242,7 @@ def _kept(page: list[tuple]) -> Iterator[tuple[int, tuple, bool]]:
     stack, inside, dropped = [], 0, 0
     for i, event in enumerate(page):
         if event[0] == OPEN:
-            if dropped or _boilerplate(event[1], event[2], inside > 0):
+            if dropped or (_boilerplate(event[1], event[2], inside > 0) and i not in spared):
                 dropped += 1
                 if dropped == 1 and event[1] not in _UNSEEN:
                     yield i, (BREAK, event[1]), root is None or inside > 0
