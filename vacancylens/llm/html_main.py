@@ -1,8 +1,8 @@
 """Main text of pages by site template removal.
 
 Every element subtree of a page is hashed.  Spark counts, per host, on how many
-different pages each hash stands; a subtree that recurs across many of them is part of
-the site's template and is deleted.  Paragraphs and headings inside the article are
+different pages each hash stands; a subtree that recurs on half of them is part of the
+site's template and is deleted, and so is, outside an article, a container on three pages.  Paragraphs and headings inside the article are
 never judged by recurrence, so a line that many articles share stays.  Menus, adverts,
 forms and the like that change from page to page are told by their tag, role or class.
 """
@@ -261,9 +261,23 @@ def _kept(page: list[tuple]) -> Iterator[tuple[int, tuple, bool]]:
             yield i, event, root is None or inside > 0
 
 
-def main_text(page: list[tuple], template: frozenset | set = frozenset()) -> str:
-    """The article's blocks in page order, joined by blanks; subtrees of the template are left out."""
-    hashed = digests(page) if template else {}
+def main_text(page: list[tuple], template: frozenset | set = frozenset(),
+              few: frozenset | set = frozenset()) -> str:
+    """The article's blocks in page order, joined by blanks; subtrees of the template are left out.
+
+    ``few`` has subtrees that stand on some pages only: of these, containers outside an
+    article go, unless that takes more than half of the text.  A page that is nothing but template
+    keeps its text.
+    """
+    hashed = digests(page) if template or few else {}
+    said = _said(page, hashed, template, frozenset())
+    if not said and template:
+        return _said(page, hashed, frozenset(), frozenset())
+    less = _said(page, hashed, template, few) if few else said
+    return less if 2 * len(less) >= len(said) else said
+
+
+def _said(page: list[tuple], hashed: dict[int, int], template: frozenset | set, few: frozenset | set) -> str:
     has_root = any(e[0] == OPEN and (e[1] in ("article", "main") or ("role", "main") in e[2]) for e in page)
     blocks, current, gone = [], [], 0
     for i, event, wanted in _kept(page):
@@ -277,48 +291,71 @@ def main_text(page: list[tuple], template: frozenset | set = frozenset()) -> str
         if event[1] not in _INLINE and current:
             blocks.append("".join(current))
             current = []
-        if event[0] == OPEN and hashed.get(i) in template and event[1] not in _ROOTS \
-                and (event[1] in _CONTAINERS or not (wanted and has_root)):
-            gone = 1
+        if event[0] == OPEN and event[1] not in _ROOTS:
+            body = wanted and has_root
+            digest = hashed.get(i)
+            if (digest in template and (event[1] in _CONTAINERS or not body)) or (
+                    digest in few and event[1] in _CONTAINERS and not body):
+                gone = 1
     blocks.append("".join(current))
     joined = [" ".join(html.unescape(b).split()) for b in blocks]
     return " ".join(b for b in joined if b)
 
 
-def site_templates(pages: DataFrame, share: float = 0.5, least: int = 8) -> DataFrame:
-    """``host, template``: hashes of the subtrees that recur on a host.
+# Main texts of so many words that differ in numbers only are near copies.
+_NEAR_WORDS = 20
+
+
+def _plain(pages: DataFrame) -> DataFrame:
+    """``page_id, url, html, host, copy``: equal pages of a host have equal copies."""
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+                        text_or_empty("html").alias("html"), host_of(F.col("url")).alias("host")).withColumn(
+                            "copy", F.xxhash64("host", "html"))
 
-    A subtree recurs if it stands on at least ``least`` different pages of its host and on
-    ``share`` of them.  Copies of a page count once.  A host's list is bounded by the
-    subtrees of an average page divided by ``share``.  Pages without a host have none.
+
+def site_templates(pages: DataFrame, share: float = 0.5, least: int = 3) -> DataFrame:
+    """``copy, template, few``: of each different page with a host, the hashes of its subtrees that recur there.
+
+    A subtree recurs if it stands on at least ``least`` different pages of its host;
+    ``template`` has those on ``share`` of them, ``few`` the others.  Copies of a page count
+    once, and so do pages whose main texts, of 20 words at least, differ in numbers only.
+    A list is bounded by the subtrees of its page, whatever the host.
     """
-    schema = pa.schema([("host", pa.string()), ("subtree", pa.int64()), ("page", pa.int64())])
+    schema = pa.schema([("site", pa.int64()), ("subtree", pa.int64()), ("copy", pa.int64()), ("main", pa.int64())])
     whole = 0  # stands for the page itself
 
     def task(batches: Batches) -> Batches:
         for batch in pieces(batches, 500):
-            hosts, subtrees, own = [], [], []
-            for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            sites, subtrees, copies, mains = [], [], [], []
+            for site, copy, text in zip(*(c.to_pylist() for c in batch.columns)):
                 parsed = events(text)
                 found = {d for i, d in digests(parsed).items() if parsed[i][1] not in _INLINE
                          and parsed[i][1] not in _ROOTS and parsed[i][1] not in ("head", "title", "meta")}
-                copy = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
                 found.add(whole)
-                hosts += [host] * len(found)
+                words = re.sub(r"\d+", "", main_text(parsed)).split()
+                main = copy
+                if len(words) >= _NEAR_WORDS:
+                    main = xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")) - (1 << 63)
+                sites += [site] * len(found)
                 subtrees += found
-                own += [copy] * len(found)
-            yield to_batch(schema, hosts, subtrees, own)
-
-    plain = pages.select(host_of(F.col("url")).alias("host"), text_or_empty("html").alias("html")).filter("host <> ''")
-    seen = in_arrow(plain, task, "host string, subtree long, page long").distinct()
-    counted = kept_table(seen.groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(F.col("n") >= least),
-                         "site-subtrees")
-    totals = counted.filter(F.col("subtree") == whole).select("host", F.col("n").alias("_pages"))
-    return (counted.filter(F.col("subtree") != whole).join(totals, "host").filter(F.col("n") >= F.col("_pages") * share)
-            .groupBy("host").agg(F.collect_list("subtree").alias("template")))
-
-
-def extract_main(pages: DataFrame, share: float = 0.5, least: int = 8) -> DataFrame:
+                copies += [copy] * len(found)
+                mains += [main] * len(found)
+            yield to_batch(schema, sites, subtrees, copies, mains)
+
+    plain = _plain(pages).filter("host <> ''").select(F.xxhash64("host").alias("site"), "copy", "html")
+    seen = kept_table(in_arrow(plain, task, "site long, subtree long, copy long, main long").distinct(), "site-subtrees")
+    counted = (seen.select("site", "subtree", "main").distinct().groupBy("site", "subtree")
+               .agg(F.count("*").alias("n")).filter(F.col("n") >= least))
+    counted = kept_table(counted, "site-counts")
+    totals = counted.filter(F.col("subtree") == whole).select("site", F.col("n").alias("_pages"))
+    recurring = counted.filter(F.col("subtree") != whole).join(totals, "site").select(
+        "site", "subtree", (F.col("n") >= F.col("_pages") * share).alias("most"))
+    return (seen.join(recurring, ["site", "subtree"]).groupBy("copy")
+            .agg(F.collect_list(F.when(F.col("most"), F.col("subtree"))).alias("template"),
+                 F.collect_list(F.when(~F.col("most"), F.col("subtree"))).alias("few")))
+
+
+def extract_main(pages: DataFrame, share: float = 0.5, least: int = 3) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page row.
 
     A NULL or empty page has an empty text.  Repeated rows give equal rows, other columns
@@ -328,14 +365,13 @@ def extract_main(pages: DataFrame, share: float = 0.5, least: int = 8) -> DataFr
 
     def task(batches: Batches) -> Batches:
         for batch in pieces(batches, 500):
-            ids, urls, texts, templates = (c.to_pylist() for c in batch.columns)
-            said = [main_text(events(t), set(gone or ())) for t, gone in zip(texts, templates)]
+            ids, urls, texts, templates, few = (c.to_pylist() for c in batch.columns)
+            said = [main_text(events(t), set(gone or ()), set(some or ()))
+                    for t, gone, some in zip(texts, templates, few)]
             yield to_batch(schema, ids, urls, said, [len(s) for s in said])
 
     templates = kept_table(site_templates(pages, share, least), "site-templates")
-    plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                         text_or_empty("html").alias("html"), host_of(F.col("url")).alias("host"))
-    joined = plain.join(templates, "host", "left").select("page_id", "url", "html", "template")
+    joined = _plain(pages).join(templates, "copy", "left").select("page_id", "url", "html", "template", "few")
     return in_arrow(joined, task, "page_id long, url string, text string, n_chars long")
 
 
