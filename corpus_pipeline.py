@@ -22,7 +22,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of texts whose SimHashes of 3-word shingles differ in 3 bits at most.
+
+    That catches few near copies: of 400 documents (median 244 words), 64% with one word
+    replaced, 43% with two, 11% with 2% of the words and 2% with 5%.
+    """
     return simhash.keep_one_of_each(docs)
 
 

@@ -48,13 +48,13 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``doc_id, fp``; a fingerprint is a signed long of the same bits."""
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def task(batches: Batches) -> Batches:
         for batch in batches:
-            fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
+            fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield to_batch(schema, batch.column(0), fps)
 
     return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), task,
@@ -121,22 +121,22 @@ def forest(fps: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
     return out
 
 
-def _links(crowd: DataFrame) -> DataFrame:
+def _links(crowd: DataFrame, distance: int) -> DataFrame:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def task(batches: Batches) -> Batches:
         for batch in batches:
             out = []
             for fps in batch.column(0):
-                out += forest(np.sort(np.asarray(fps.values)))
+                out += forest(np.sort(np.asarray(fps.values)), distance)
             if out:
                 yield to_batch(schema, *(list(c) for c in zip(*out)))
 
     return in_arrow(crowd, task, "a long, b long")
 
 
-def near_fingerprints(distinct: DataFrame, crowded: int = 2048) -> DataFrame:
-    """``a, b``: links that join all fingerprints (column ``fp``, each once) within three bits.
+def near_fingerprints(distinct: DataFrame, crowded: int = 2048, distance: int = DISTANCE) -> DataFrame:
+    """``a, b``: links that join all fingerprints (column ``fp``, each once) within ``distance`` bits, three at most.
 
     A key of up to ``crowded`` fingerprints is compared in one task.  Larger keys are refined
     level by level; after three levels a key leaves 8 free bits and holds 256 at most.
@@ -149,8 +149,8 @@ def near_fingerprints(distinct: DataFrame, crowded: int = 2048) -> DataFrame:
         counts = kept_table(rows.groupBy("path", "key").count().filter("count > 1"), f"simhash-keys{level}")
         last = level == 3
         small = rows.join(counts if last else counts.filter(F.col("count") <= crowded), ["path", "key"])
-        links = kept_table(_links(small.groupBy("path", "key").agg(F.collect_list("fp").alias("fps")).select("fps"))
-                           .distinct(), f"simhash-links{level}")
+        links = kept_table(_links(small.groupBy("path", "key").agg(F.collect_list("fp").alias("fps")).select("fps"),
+                                  distance).distinct(), f"simhash-links{level}")
         found = links if found is None else found.unionAll(links)
         large = counts.filter(F.col("count") > crowded)
         if last or large.isEmpty():
@@ -160,18 +160,20 @@ def near_fingerprints(distinct: DataFrame, crowded: int = 2048) -> DataFrame:
         rows, level = _refine(held, level).distinct(), level + 1
 
 
-def simhash_dedup(docs: DataFrame, crowded: int = 2048) -> DataFrame:
+def simhash_dedup(docs: DataFrame, crowded: int = 2048, distance: int = DISTANCE, shingle: int = 3) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
-    Fingerprints link at three or fewer differing bits; ``component_id`` is the smallest
+    Fingerprints of ``shingle`` words link at ``distance`` or fewer differing bits (three at most); ``component_id`` is the smallest
     doc_id reachable by links.  Equal fingerprints are one node, so copies cost nothing.  A
     NULL text counts as empty: such documents share fingerprint zero, which links like any
     other.  A NULL doc_id gets a row but is never the smallest unless it stands alone.
     Repeated rows are kept, other columns ignored, an empty table gives no rows.
     """
-    rows = kept_table(fingerprints(docs), "fingerprints")
+    if not 0 <= distance <= DISTANCE:
+        raise ValueError(f"distance is 0 to {DISTANCE}: the keys do not bring together what differs in more bits")
+    rows = kept_table(fingerprints(docs, shingle), "fingerprints")
     nodes = kept_table(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = kept_table(components(near_fingerprints(nodes.select("fp"), crowded), "simhash"), "simhash-roots")
+    roots = kept_table(components(near_fingerprints(nodes.select("fp"), crowded, distance), "simhash"), "simhash-roots")
     labelled = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
