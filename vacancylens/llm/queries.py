@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embedding_dedup, exact_dedup, html_main, language_id, mixing, simhash, substring_dedup, url_filter
+from . import (bpe, chat, embedding_dedup, exact_dedup, html_main, language_id, line_quality, mixing, simhash,
+               substring_dedup, url_filter)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +24,10 @@ def queries() -> dict[str, Query]:
         "op8_simhash_dedup": simhash.op8_simhash_dedup,
         "op9_html_extraction": html_main.op9_html_extraction,
         "op10_mixing": mixing.op10_mixing,
+        "op11_line_quality": line_quality.op11_line_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": chat.OP1_SQL, "op2_exact_dedup": exact_dedup.OP2_SQL}
+    return {"op1_chat_format": chat.OP1_SQL, "op2_exact_dedup": exact_dedup.OP2_SQL,
+            "op11_line_quality": line_quality.OP11_SQL}
