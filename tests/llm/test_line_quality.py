@@ -66,7 +66,7 @@ def test_rules_of_a_line(line, stays):
 
 
 def test_documents_losing_too_much_text_go(spark):
-    good = " ".join(f"Committee c{i} met on day d{i} and agreed on item{i}." for i in range(8))
+    good = " ".join(f"Committee c{i} met{i} on day d{i} and{i} agreed on item{i}." for i in range(8))
     bad = "A headline without an end\n" * 40
     rows = [(1, f"{good}\nHome | News | Sport\nAll rights reserved."), (2, f"{good}\n{bad}"), (3, None), (4, ""),
             (4, good), (None, good), (5, " \n\t\n")]
