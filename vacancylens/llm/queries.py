@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, chat, embedding_dedup, exact_dedup, html_main, language_id, line_quality, mixing, simhash,
-               substring_dedup, url_filter)
+               substring_dedup, url_filter, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op9_html_extraction": html_main.op9_html_extraction,
         "op10_mixing": mixing.op10_mixing,
         "op11_line_quality": line_quality.op11_line_quality,
+        "op12_embedding_whitening": whitening.op12_embedding_whitening,
     }
 
 
