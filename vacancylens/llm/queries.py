@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, chat, embedding_dedup, exact_dedup, html_main, language_id, line_quality, mixing, simhash,
-               substring_dedup, url_filter, whitening)
+               spelling, substring_dedup, url_filter, whitening)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,7 @@ def queries() -> dict[str, Query]:
         "op10_mixing": mixing.op10_mixing,
         "op11_line_quality": line_quality.op11_line_quality,
         "op12_embedding_whitening": whitening.op12_embedding_whitening,
+        "op13_spelling_variants": spelling.op13_spelling_variants,
     }
 
 
