@@ -1,4 +1,4 @@
-"""CSV files, the posting store, and streams against their batch twins."""
+"""CSV files, the posting table, and streams against their batch twins."""
 
 from pyspark.sql import functions as F
 
@@ -9,7 +9,7 @@ from vacancylens.operators.views import hiring_trends
 from vacancylens.schema import CSV_COLUMNS
 from vacancylens.session import work_folder
 from vacancylens.sources import csv_files
-from vacancylens.sources.store import PostingStore, save_bucketed
+from vacancylens.sources.table import PostingTable
 from vacancylens.streaming import ingest
 
 NOW = "2024-02-01 00:00:00"
@@ -72,32 +72,47 @@ def test_csv_snapshot_overwrites(spark):
     assert len(rows) == 2 and rows[0]["skills"] == "a, b" and rows[0]["salary"] is None
 
 
-def test_store_equals_the_plain_upsert(spark):
-    rows = tag_skills(clean.clean_postings(feed(spark)))
+def store_at(spark, name):
+    return PostingTable(spark, work_folder(spark, name), digits=1, buckets=3)
+
+
+def tagged(df):
+    return tag_skills(clean.clean_postings(df))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_table_equals_the_plain_upsert(spark):
+    rows = tagged(feed(spark))
     parts = [rows.filter(F.col("seq").between(a, a + 9)) for a in (0, 10, 20, 30)]
-    store = PostingStore(spark, work_folder(spark, "store"), digits=1)
-    assert store.read().count() == 0 and store.compact() == -1
+    store = store_at(spark, "store")
+    assert store.read().count() == 0 and store.compact() == 0
     want = None
     for i, part in enumerate(parts):
         now = ts(f"2024-02-0{i + 1} 00:00:00")
         want = upsert.upsert_postings(want, part, now)
-        store.append(part, now, ("feed", i))
-        store.append(part, ts("2030-01-01 00:00:00"), ("feed", i))  # a repeated batch does no harm
+        assert store.append(part, now, ("feed", i)) == i
+        assert store.append(part, ts("2030-01-01 00:00:00"), ("feed", i)) is None  # a repeated batch does no harm
         assert content(store.read()) == content(want)
         if i == 1:
-            store.compact()
+            assert store.compact() == 2
             assert content(store.read()) == content(want)
     store.append(parts[0], ts("2030-01-01 00:00:00"), ("feed", 0))  # merged long ago
     assert content(store.read()) == content(want)
-    assert store.compact() == store.compact()
+    assert store.compact() == 2 and store.compact() == 0
     assert content(store.read()) == content(want)
+    store.forget()
+    again = PostingTable(spark, store.root, digits=1, buckets=3)  # another session finds what is there
+    assert content(again.read()) == content(want)
 
 
 def test_batch_names(spark):
     """Numbers that start again, come out of order or without a name lose nothing."""
-    rows = tag_skills(clean.clean_postings(feed(spark, 20))).withColumn("title", F.concat("title", F.col("seq").cast("string")))
+    rows = tagged(feed(spark, 20)).withColumn("title", F.concat("title", F.col("seq").cast("string")))
     one = [rows.filter(F.col("seq") == i) for i in range(6)]
-    store = PostingStore(spark, work_folder(spark, "names"), digits=1)
+    store = store_at(spark, "names")
     store.upsert(one[0], ts(), ("a", 5))
     store.upsert(one[1], ts(), ("b", 5))  # another source, the same number
     store.upsert(one[2], ts(), ("a", 3))  # arrives after a later one was merged
@@ -105,74 +120,67 @@ def test_batch_names(spark):
     store.append(one[3], ts())
     store.append(one[4], ts(), ("a", 4))
     assert store.upsert(one[5], ts(), ("a", 3)).count() == 5  # the same batch again, whatever it holds
-    assert store._state().stored == {"a": ((3, 5),), "b": ((5, 5),)}
+    assert sorted(map(tuple, store.batches().filter("source IS NOT NULL").collect())) == [
+        (0, "a", 5), (1, "b", 5), (2, "a", 3), (5, "a", 4)]
 
 
 def test_long_fields_are_stored_or_rejected_with_a_reason(spark):
-    rows = tag_skills(clean.clean_postings(feed(spark, 9))).withColumn(
+    rows = tagged(feed(spark, 9)).withColumn(
         "company", F.when(F.col("seq") < 3, F.repeat(F.lit("x"), F.lit(300))).otherwise(F.col("company")))
-    store = PostingStore(spark, work_folder(spark, "long"), digits=1)
-    assert store.upsert(rows, ts()).filter("length(company) = 300").count() == 3
-    strict = PostingStore(spark, work_folder(spark, "strict"), digits=1)
+    assert store_at(spark, "long").upsert(rows, ts()).filter("length(company) = 300").count() == 3
+    strict = store_at(spark, "strict")
     assert strict.upsert(rows, ts(), cfg=CleanConfig(enforce_lengths=True)).filter("length(company) = 300").count() == 0
     lost = spark.read.parquet(f"{strict.root}/rejects")
     assert [r[0] for r in lost.select("reject_reason").collect()] == ["too_long:company"] * 3
 
 
 def test_only_touched_prefixes_are_rewritten(spark):
-    rows = tag_skills(clean.clean_postings(feed(spark)))
-    store = PostingStore(spark, work_folder(spark, "prefixes"), digits=1)
+    rows = tagged(feed(spark))
+    store = store_at(spark, "prefixes")
     table = store.upsert(rows, ts())
-    parts = dict(store._state().parts)
-    assert len(parts) > 2
-    before = {p: sorted(spark.read.parquet(f"{store.root}/base/version={v}/prefix={p}").inputFiles())
-              for p, v in parts.items()}
-    hashes = content(table.select("job_hash"))
+    before, hashes = set(store.base().inputFiles()), content(table.select("job_hash"))
     one = table.limit(1).collect()[0]
     again = rows.filter((F.col("title") == one["title"]) & (F.col("company") == one["company"]))
     after = store.upsert(again, ts("2024-03-01 00:00:00"))
-    changed = {p for p, v in store._state().parts.items() if v != parts[p]}
-    assert changed == {one["job_hash"][:1]} and after.count() == table.count()
-    want = content(after)
-    gone = store.retire()
-    for p in set(parts) - changed:
-        now = spark.read.parquet(f"{store.root}/base/version={parts[p]}/prefix={p}").inputFiles()
-        assert sorted(now) == before[p]
-    assert content(store.read()) == want and any("manifest" in g for g in gone) and any("/base/" in g for g in gone)
-    assert content(store.upsert(again, ts("2024-03-02 00:00:00")).select("job_hash")) == hashes
-
-
-def test_unpublished_folders_are_invisible(spark):
-    root = work_folder(spark, "torn")
-    rows = tag_skills(clean.clean_postings(feed(spark, 5)))
-    store = PostingStore(spark, root, digits=1)
-    store.append(rows, ts())
+    assert {f.split("prefix=")[1][0] for f in before ^ set(store.base().inputFiles())} == {one["job_hash"][:1]}
+    assert after.count() == table.count() and content(after.select("job_hash")) == hashes
+    assert after.filter("date_last_seen > date_first_seen").count() == 1
+
+
+def test_prefixes_can_be_merged_in_groups(spark):
+    rows = tagged(feed(spark))
+    store = PostingTable(spark, work_folder(spark, "groups"), digits=1, buckets=2, group=3)
+    for i in range(2):
+        store.append(rows.filter(F.col("seq") % 2 == i), ts(f"2024-02-0{i + 1} 00:00:00"))
+    want = content(store.read())
+    assert store.compact() == 2 and content(store.read()) == want
+
+
+def test_steps_that_died_are_repeated_without_harm(spark):
+    store, rows = store_at(spark, "torn"), tagged(feed(spark, 12))
+    store.append(rows.filter("seq < 8"), ts())
     before = content(store.read())
-    rows.limit(1).write.parquet(f"{root}/deltas/seq=1/prefix=0")  # written, never published
-    rows.limit(1).write.parquet(f"{root}/base/version=1/prefix=0")
+    rows.limit(1).select("title").write.parquet(f"{store.root}/deltas/seq=1")  # written, its batch never named
     assert content(store.read()) == before
+    store.append(rows.filter("seq >= 4"), ts("2024-02-02 00:00:00"), ("a", 0))  # takes that number
+    want = content(store.read())
     store.compact()
-    assert content(store.read()) == before
+    spark.createDataFrame([(-1,)], "seq long").coalesce(1).write.mode("overwrite").parquet(f"{store.root}/merged")
+    assert store.waiting().count() == 2  # as if the merge had died before it was noted
+    assert content(store.read()) == want
+    assert store.compact() == 2 and content(store.read()) == want
+
+
+def test_merging_shuffles_the_batch_only(spark):
+    store, rows = store_at(spark, "plan"), tagged(feed(spark))
+    store.upsert(rows, ts())
     store.append(rows, ts("2024-02-02 00:00:00"))
-    assert store.read().count() == len(before)
-
-
-def test_bucketed_target_is_not_shuffled(spark):
-    rows = tag_skills(clean.clean_postings(feed(spark)))
-    spark.sql("DROP TABLE IF EXISTS bucketed_postings")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        save_bucketed(upsert.upsert_postings(None, rows, ts()), "bucketed_postings", 8)
-        target = spark.table("bucketed_postings")
-        merged = upsert.upsert_postings(target, rows, ts())
-        plan = merged._jdf.queryExecution().executedPlan().toString()
-        join = plan[plan.index("SortMergeJoin"):]
-        side = join[:join.index("Bucketed: true")]
-        assert "Exchange" not in side.split("Scan parquet")[0]
-        assert merged.count() == target.count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.sql("DROP TABLE IF EXISTS bucketed_postings")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"  # put back
+    plan = plan_of(store.merged([1], ["0", "1", "2"]))
+    assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan
+    base = plan[plan.index("SortMergeJoin"):].split("FileScan")[1]
+    assert "Bucketed: true" in base and "PartitionFilters: [prefix" in base
+    assert "Exchange" not in plan[:plan.index("Bucketed: true")]
 
 
 def test_stream_clean_equals_batch(spark):
@@ -207,7 +215,7 @@ def test_stream_upsert_equals_one_batch(spark):
     want = upsert.upsert_postings(None, tag_skills(clean.clean_postings(df, run_ts=ts())), ts())
     for every in (100, 2):
         folder = work_folder(spark, "s_upsert")
-        store = PostingStore(spark, f"{folder}/store", digits=1)
+        store = PostingTable(spark, f"{folder}/store", digits=1, buckets=3)
         stream = ingest.stream_clean(files(df, f"{folder}/in"), run_ts=ts())
         ingest.stream_upsert(stream, store, f"{folder}/state", ts(), compact_every=every).awaitTermination()
         assert content(store.read()) == content(want)

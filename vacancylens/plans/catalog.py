@@ -21,7 +21,7 @@ from ..operators import clean, clusters, dedup, extract, upsert, views
 from ..schema import ADDABLE_COLUMNS, ensure_columns
 from ..session import work_folder
 from ..sources import csv_files, readers
-from ..sources.store import PostingStore
+from ..sources.table import PostingTable
 from ..streaming import ingest
 from . import fixtures as fx
 from .stages import build_pipeline, ingest_stages, store_stages
@@ -138,7 +138,7 @@ def read_pages(spark, d):
 def upsert_sink(spark, d):
     """Two sources that both number from 0, some rows with very long fields, and a batch that comes twice."""
     tagged = _tagged(_with_long_fields(fx.raw_postings(spark, d)))
-    store = PostingStore(spark, work_folder(spark, "upsert_sink"), digits=1)
+    store = PostingTable(spark, work_folder(spark, "upsert_sink"), digits=1, buckets=8)
     store.append(tagged.filter("seq % 2 = 0"), _ts(FIRST_RUN), ("first", 0))
     store.compact()
     store.append(tagged.filter("seq % 2 = 1"), _ts(SECOND_RUN), ("second", 0))
@@ -257,7 +257,7 @@ def extract_postings(spark, d):
 def ingest_pages(spark, d):
     """From captured pages through every stage and sink; the stored table and the rejected rows."""
     folder = work_folder(spark, "ingest_pages")
-    store = PostingStore(spark, f"{folder}/store", digits=1)
+    store = PostingTable(spark, f"{folder}/store", digits=1, buckets=8)
     build_pipeline(store_stages(store, folder, f"{folder}/csv", RUN_DATE, _ts(FIRST_RUN), ("pages", 0)))(
         _extracted(spark, d))
     stored = store.read().select("job_hash", "title", "job_type", "career_level", "keywords", "url", "skills",
@@ -528,7 +528,7 @@ def stream_dedup(spark, d):
 
 def stream_upsert(spark, d):
     folder = work_folder(spark, "stream_upsert")
-    store = PostingStore(spark, f"{folder}/store", digits=1)
+    store = PostingTable(spark, f"{folder}/store", digits=1, buckets=8)
     _fed(_with_long_fields(fx.raw_postings(spark, d)), folder, "seq", lambda raw: ingest.stream_upsert(
         ingest.stream_clean(raw, run_ts=_ts(FIRST_RUN)), store, f"{folder}/state", _ts(FIRST_RUN)))
     store.compact()

@@ -12,7 +12,7 @@ from ..functions.skills import tag_skills
 from ..operators.clean import clean_postings, label_rejects
 from ..operators.dedup import dedup_url
 from ..sources.csv_files import csv_backup
-from ..sources.store import Batch, PostingStore
+from ..sources.table import Batch, PostingTable
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -39,7 +39,7 @@ def ingest_stages(cfg: CleanConfig = CleanConfig(), skills: Mapping[str, str] =
     }
 
 
-def store_stages(store: PostingStore, folder: str, csv_folder: str, run_date: str, run_ts: Column,
+def store_stages(store: PostingTable, folder: str, csv_folder: str, run_date: str, run_ts: Column,
                  batch: Batch | None = None, cfg: CleanConfig = CleanConfig(),
                  skills: Mapping[str, str] = SKILLS) -> dict[int, Stage]:
     """The whole chain with its sinks: checked rows, CSV backup, tags, store.

@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import lru_cache
 from pathlib import Path
 
@@ -48,6 +50,22 @@ def build_session(app: str = "vacancylens", master: str | None = None, input_byt
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for the writes inside; what was set before comes back."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 @lru_cache(maxsize=8)
 def _ship(application_id: str) -> None:
     package = Path(__file__).resolve().parent

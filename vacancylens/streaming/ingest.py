@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import SKILLS, CleanConfig
 from ..functions.skills import tag_skills
 from ..operators.clean import clean_postings
-from ..sources.store import PostingStore
+from ..sources.table import PostingTable
 
 
 def stream_clean(raw: DataFrame, cfg: CleanConfig = CleanConfig(), skills: Mapping[str, str] = SKILLS,
@@ -57,7 +57,7 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()[0]
 
 
-def stream_upsert(postings: DataFrame, store: PostingStore, checkpoint: str, run_ts: Column | None = None,
+def stream_upsert(postings: DataFrame, store: PostingTable, checkpoint: str, run_ts: Column | None = None,
                   cfg: CleanConfig = CleanConfig(), order: str = "seq",
                   compact_every: int = 100) -> StreamingQuery:
     """Store each micro-batch once; stops when all present input is stored.
@@ -70,7 +70,8 @@ def stream_upsert(postings: DataFrame, store: PostingStore, checkpoint: str, run
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if run_ts is None else run_ts
         source = checkpoint_id(batch.sparkSession, checkpoint)
-        if store.append(batch, now, (source, batch_id), cfg, order) >= compact_every:
+        store.append(batch, now, (source, batch_id), cfg, order)
+        if (batch_id + 1) % compact_every == 0:
             store.compact()
 
     return (postings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
