@@ -1,5 +1,8 @@
 """CSV files, the posting table, and streams against their batch twins."""
 
+from datetime import datetime, timedelta
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from vacancylens.config import CleanConfig
@@ -193,15 +196,45 @@ def test_stream_clean_equals_batch(spark):
 def test_stream_dedup_keeps_the_first_row_of_each_url(spark):
     df = feed(spark).repartition(4)
     folder = work_folder(spark, "s_dedup_first")
-    stream = ingest.stream_dedup(files(df, f"{folder}/in"))
-    query = (stream.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state")
-             .foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{folder}/out/batch={n}"))
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    out = spark.read.schema(df.schema).parquet(f"{folder}/out")
+    out = run(ingest.stream_dedup(files(df, f"{folder}/in", 2)), folder)
     assert content(out.select(df.columns)) == content(dedup.dedup_url(df).select(df.columns))
 
 
+def test_stream_dedup_remembers_urls_only(spark):
+    sizes = {}
+    for chars in (10, 20_000):
+        df = feed(spark).withColumn("description", F.array_join(F.transform(
+            F.sequence(F.lit(1), F.lit(chars // 10)), lambda i: F.substring(F.md5(F.concat("url", i.cast("string"))), 1, 10)), ""))
+        folder = work_folder(spark, "s_dedup_state")
+        assert run(ingest.stream_dedup(files(df, f"{folder}/in", 1)), folder).count() == 11
+        sizes[chars] = sum(p.stat().st_size for p in Path(f"{folder}/state/state").rglob("*") if p.is_file())
+    assert sizes[20_000] < sizes[10] + 11 * 200  # 11 descriptions of 20,000 characters would show
+
+
+def test_stream_dedup_forgets_by_a_timer(spark):
+    def day(n, url, seq):
+        return seq, url, datetime(2024, 1, n)
+    schema = "seq long, url string, at timestamp"
+    folder = work_folder(spark, "s_dedup_timer")
+    for rows in ([day(1, "a", 1), day(1, "b", 2), day(1, None, 3)], [day(2, "a", 4), day(9, "c", 5), day(2, None, 6)],
+                 [day(9, "a", 7), day(9, "c", 8), day(1, "late", 9)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        out = run(ingest.stream_dedup(stream, watermark="at", delay="1 day", forget=timedelta(days=3)), folder)
+    # a comes again a week later; c is still known; "late" lies before the watermark.
+    assert sorted(r["seq"] for r in out.collect()) == [1, 2, 3, 5, 7]
+
+
+def test_copies_of_a_hot_url_are_thinned_before_the_shuffle(spark):
+    rows = spark.range(1000).select((1000 - F.col("id")).alias("seq"), F.lit("hot").alias("url")).coalesce(1)
+    kept = ingest.thin(rows, "url", "seq").collect()
+    assert len(kept) <= 3 and min(r["seq"] for r in kept) == 1
+    pair = spark.createDataFrame([((2, 1), "u"), ((1, 9), "u"), (None, "v"), ((1, 1), "v")],
+                                 "seq struct<a: long, b: long>, url string").coalesce(1)
+    assert sorted((r["url"], r["seq"] and tuple(r["seq"])) for r in ingest.thin(pair, "url", "seq").collect()) == [
+        ("u", (1, 9)), ("v", None)]
+
+
 def test_stream_dedup_within_a_watermark(spark):
     df = feed(spark).withColumn("at", F.to_timestamp("scraped_at"))
     folder = work_folder(spark, "s_dedup_within")

@@ -53,3 +53,31 @@ def needs(pattern: str) -> list[Need] | None:
         return None
     found = [_needs_of(a) for a in flat.split("|")]
     return None if None in found else found
+
+
+GRAM = 3  # letters of a substring that texts are looked up by
+
+
+@dataclass(frozen=True)
+class Probe:
+    """What a text must show before an expression is tried on it."""
+
+    kind: str
+    """``word``: a whole word, ``gram``: a few letters in a row, ``always``: nothing."""
+    value: str = ""
+    decides: bool = False
+    """Showing it is enough; the expression need not run."""
+
+
+def probes(pattern: str) -> list[Probe]:
+    """One probe per alternative of ``pattern``; a text that shows none of them cannot match."""
+    alternatives = needs(pattern)
+    if alternatives is None:
+        return [Probe("always")]
+    found = []
+    for need in alternatives:
+        if need.words:
+            found.append(Probe("word", max(need.words, key=len), need.exact))
+        else:
+            found.append(Probe("gram", need.substring[:GRAM]))
+    return list(dict.fromkeys(found))

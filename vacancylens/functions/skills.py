@@ -9,13 +9,16 @@ present, or, where an expression names no whole word, a plain substring.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SKILLS
-from .patterns import needs
+from ..session import ship_package
+from .patterns import GRAM, needs, probes
+
 
 def _match(text: Column, words: Column, pattern: str) -> Column:
     run = text.rlike(f"(?U){pattern}")
@@ -44,13 +47,17 @@ def _match(text: Column, words: Column, pattern: str) -> Column:
     return hit
 
 
+def _text() -> Column:
+    """Title and description as expressions see them."""
+    return F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))))
+
+
 def tag_skills(df: DataFrame, skills: Mapping[str, str] = SKILLS, out: str = "skills") -> DataFrame:
     """Add the array of skills found in title and description, in dictionary order."""
     vocabulary = sorted({w for p in skills.values() for n in needs(p) or () for w in n.words})
-    text = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))))
     words = F.filter(F.split("_text", r"(?U)\W+"), lambda w: w.isin(*vocabulary))
     tags = [F.when(_match(F.col("_text"), F.col("_words"), p), F.lit(name)) for name, p in skills.items()]
-    return (df.withColumn("_text", text).withColumn("_words", words)
+    return (df.withColumn("_text", _text()).withColumn("_words", words)
             .withColumn(out, F.array_compact(F.array(*tags))).drop("_text", "_words"))
 
 
@@ -67,8 +74,7 @@ def tag_from_table(df: DataFrame, table: DataFrame, key: str = "seq", out: str =
     join on the phrase's first word, so neither the plan nor the driver holds the dictionary.
     Names come in alphabetical order.  ``key`` identifies the rows of ``df``.
     """
-    words = F.split(F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit("")))),
-                    r"(?U)\W+")
+    words = F.split(_text(), r"(?U)\W+")
     phrases = (table.select("name", F.array_remove(F.split(F.lower("phrase"), r"(?U)\W+"), "").alias("_phrase"))
                .filter(F.size("_phrase") > 0).withColumn("_first", F.col("_phrase")[0]))
     said = df.select(key, words.alias("_words"))
@@ -83,3 +89,49 @@ def tag_from_table(df: DataFrame, table: DataFrame, key: str = "seq", out: str =
             .groupBy(key).agg(F.array_sort(F.collect_set("name")).alias("_tags")))
     return (df.join(tags, key, "left")
             .withColumn(out, F.coalesce("_tags", F.array().cast("array<string>"))).drop("_tags"))
+
+
+def pattern_probes(table: DataFrame, name: str = "name", pattern: str = "pattern") -> DataFrame:
+    """``name, pattern, kind, probe, decides``: what a text must show for each expression of a dictionary."""
+    ship_package(table.sparkSession)
+    schema = pa.schema([("name", pa.string()), ("pattern", pa.string()), ("kind", pa.string()), ("probe", pa.string()),
+                        ("decides", pa.bool_())])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(n, p, found.kind, found.value, found.decides)
+                    for n, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for found in probes(p)]
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
+
+    rows = table.select(F.col(name).alias("name"), F.col(pattern).alias("pattern")).filter(
+        "name IS NOT NULL AND pattern IS NOT NULL")
+    return rows.mapInArrow(task, "name string, pattern string, kind string, probe string, decides boolean")
+
+
+def tag_from_patterns(df: DataFrame, table: DataFrame, key: str = "seq", out: str = "skills") -> DataFrame:
+    """Tag from a dictionary table of regular expressions (``name``, ``pattern``), of any length.
+
+    Each expression is reduced to what a text must show: a word, or a few letters in a row.
+    Texts meet expressions by an equality join on that, and only then is the expression of the row
+    run.  Neither the plan nor the driver holds the dictionary.  An expression that asks for
+    nothing readable is tried on every text; keep those few.  Names come in alphabetical order; rows
+    without name or pattern are ignored.  ``key`` identifies the rows of ``df``.
+    """
+    wanted = pattern_probes(table)
+    said = df.select(F.col(key).alias("_key"), _text().alias("_text"))
+    # Letters in a row are only listed if an expression is looked up by them.
+    grams = wanted.agg(F.array_sort(F.collect_set(F.when(F.col("kind") == "gram", F.length("probe"))))).scalar()
+
+    def shown(kind: str, values: Column) -> Column:
+        return F.transform(F.array_distinct(values), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("probe")))
+
+    in_a_row = F.flatten(F.transform("_grams", lambda n: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1))), lambda i: F.substring("_text", i, n))))
+    shows = F.concat(shown("word", F.split("_text", r"(?U)\W+")), shown("gram", in_a_row),
+                     shown("always", F.array(F.lit(""))))
+    met = (said.withColumn("_grams", grams).select("_key", F.explode(shows).alias("_shown")).select("_key", "_shown.*")
+           .join(wanted, ["kind", "probe"]).groupBy("_key", "name", "pattern").agg(F.bool_or("decides").alias("decides")))
+    hits = (met.join(said, "_key").filter(F.col("decides") | F.regexp_like("_text", F.concat(F.lit("(?U)"), "pattern")))
+            .groupBy("_key").agg(F.array_sort(F.collect_set("name")).alias("_tags")))
+    return (df.join(hits, F.col(key) == F.col("_key"), "left").drop("_key")
+            .withColumn(out, F.coalesce("_tags", F.array().cast("array<string>"))).drop("_tags"))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..config import SKILLS, CleanConfig
 from ..functions.skills import tag_skills
 from ..operators.clean import clean_postings
+from ..session import ship_package
+from ..sources.live_views import LiveViews
 from ..sources.table import PostingTable
 
 
@@ -20,22 +24,71 @@ def stream_clean(raw: DataFrame, cfg: CleanConfig = CleanConfig(), skills: Mappi
     return tag_skills(clean_postings(raw, cfg, run_ts), skills)
 
 
-def stream_dedup(postings: DataFrame, order: str = "seq") -> DataFrame:
-    """First row per URL for the whole stream, with all columns; run it in *update* mode.
+def _rank(value: object) -> tuple:
+    """Sort key of an order value: NULL first, structs by their fields."""
+    if value is None:
+        return (False,)
+    return True, tuple(value.values()) if isinstance(value, dict) else value
 
-    A URL's row is the one with the smallest ``order`` of the first micro-batch that held
-    it, and comes out once, with that micro-batch.  The state is a grouped minimum: copies
-    of a hot URL are combined by the tasks that read them, so at most one row per task
-    reaches the task that owns the URL.  The state holds the first row of each URL; see
-    :func:`stream_dedup_within` for one that forgets.
+
+def thin(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The smallest ``order`` of each key of every Arrow batch.
+
+    Stateless: a key that fills a third of a stream leaves each batch once, before anything is shuffled.
+    """
+    ship_package(df.sparkSession)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best: dict[object, tuple] = {}
+            for i, (name, value) in enumerate(zip(batch.column(key).to_pylist(), batch.column(order).to_pylist())):
+                rank = _rank(value)
+                if name not in best or rank < best[name][0]:
+                    best[name] = rank, i
+            yield batch if len(best) == batch.num_rows else batch.take(pa.array(sorted(i for _, i in best.values())))
+
+    return df.mapInArrow(task, df.schema)
+
+
+class FirstRow(StatefulProcessor):
+    """Lets the first row of a key through and remembers that it was there, nothing else of it."""
+
+    def __init__(self, order: str, at: str | None, forget: int):
+        self.order, self.at, self.forget = order, at, forget
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.seen = handle, handle.getValueState("seen", "there boolean")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+        first = min(rows, key=lambda r: (r[self.order] is not None, r[self.order]))
+        if not self.seen.exists():
+            self.seen.update((True,))
+            if self.at is not None and first[self.at] is not None:
+                self.handle.registerTimer(int(first[self.at].timestamp() * 1000) + self.forget)
+            yield first
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def stream_dedup(postings: DataFrame, order: str = "seq", watermark: str | None = None, delay: str = "1 day",
+                 forget: timedelta = timedelta(days=14)) -> DataFrame:
+    """First row per URL for the whole stream, with all columns; *append* mode.
+
+    A URL's row is the one with the smallest ``order`` of the first micro-batch that held it.  The
+    state of a URL is the URL, whatever its rows hold.  Copies of a hot URL are thinned out by the
+    tasks that read them.  With a ``watermark`` column (a timestamp) rows more than ``delay`` late
+    are dropped, and a URL is forgotten ``forget`` after its first row: one that comes later is new.
     """
-    columns = postings.columns
-    keyed = postings.withColumns({"url": F.coalesce("url", F.lit("")), "_at": F.current_timestamp()})
-    seen = keyed.groupBy(F.col("url").alias("_url")).agg(
-        F.min_by(F.struct(*[F.col(f"`{c}`") for c in columns]), F.struct("_at", order)).alias("_first"),
-        F.min("_at").alias("_since"), F.max("_at").alias("_last"))
-    # All rows of a micro-batch carry its time: a URL is new in it if it has been seen at no other.
-    return seen.filter("_since = _last").select("_first.*")
+    keyed = thin(postings.withColumn("url", F.coalesce("url", F.lit(""))), "url", order)
+    if watermark is not None:
+        keyed = keyed.withWatermark(watermark, delay)
+    first = FirstRow(order, watermark, int(forget.total_seconds() * 1000))
+    return keyed.groupBy("url").transformWithState(first, keyed.schema, "Append", "None" if watermark is None else "EventTime")
 
 
 def stream_dedup_within(postings: DataFrame, watermark: str, delay: str = "14 days", salts: int = 16,
@@ -57,15 +110,15 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()[0]
 
 
-def stream_upsert(postings: DataFrame, store: PostingTable, checkpoint: str, run_ts: Column | None = None,
-                  cfg: CleanConfig = CleanConfig(), order: str = "seq",
-                  compact_every: int = 100) -> StreamingQuery:
+def stream_upsert(postings: DataFrame, store: PostingTable | LiveViews, checkpoint: str, run_ts: Column | None = None,
+                  cfg: CleanConfig = CleanConfig(), order: str = "seq", compact_every: int = 100) -> StreamingQuery:
     """Store each micro-batch once; stops when all present input is stored.
 
     A micro-batch is named by the id that its checkpoint was given and its number there, so
     a stream that starts again from a new checkpoint is a new source.  ``availableNow`` suits
     a scheduled run.  Call ``store.compact()`` after it; a long run also compacts every so
-    many batches, which bounds what a reader merges.
+    many batches, which bounds what a reader merges.  With ``LiveViews`` as the store its views are
+    current after every micro-batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if run_ts is None else run_ts
