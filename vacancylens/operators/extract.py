@@ -50,47 +50,49 @@ def _in_batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordB
         yield build(chunk)
 
 
-def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, H.Element]]:
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Page, url, parsed html, and whatever columns follow."""
     for batch in batches:
-        for page_id, url, html in zip(*[c.to_pylist() for c in batch.columns]):
-            yield page_id, url, H.parse(html)
+        for page_id, url, html, *more in zip(*[c.to_pylist() for c in batch.columns]):
+            yield page_id, url, H.parse(html), *more
 
 
-def extract_cards(pages: DataFrame, layout: CardLayout = CardLayout()) -> DataFrame:
+def extract_cards(pages: DataFrame, layout: CardLayout = CardLayout(), *carried: str) -> DataFrame:
     """One row per card: page, position on it, and a list of texts per field.
 
-    The fallback selector applies to pages where the primary one finds nothing.
+    The fallback selector applies to pages where the primary one finds nothing.  ``carried``
+    names columns of longs that the cards take over from their page.
     """
     ship_package(pages.sparkSession)
     names = list(layout.fields)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("pos", pa.int32()),
-                        *[(n, pa.list_(pa.string())) for n in names]])
+                        *[(n, pa.list_(pa.string())) for n in names], *[(c, pa.int64()) for c in carried]])
 
     def rows(batches):
-        for page_id, url, root in _pages(batches):
+        for page_id, url, root, *more in _pages(batches):
             found = H.select(root, layout.primary) or H.select(root, layout.fallback)
             for pos, card in enumerate(found):
-                yield (page_id, url, pos, *[_take(card, layout.fields[n]) for n in names])
+                yield (page_id, url, pos, *[_take(card, layout.fields[n]) for n in names], *more)
 
-    return pages.select("page_id", "url", "html").mapInArrow(
-        lambda batches: _in_batches(rows(batches), schema),
-        "page_id long, url string, pos int, " + ", ".join(f"`{n}` array<string>" for n in names))
+    return pages.select("page_id", "url", "html", *carried).mapInArrow(
+        lambda batches: _in_batches(rows(batches), schema), "page_id long, url string, pos int, " + ", ".join(
+            [f"`{n}` array<string>" for n in names] + [f"`{c}` long" for c in carried]))
 
 
-def extract_details(pages: DataFrame, layout: DetailLayout = DetailLayout()) -> DataFrame:
-    """One row per page with a list of texts per field."""
+def extract_details(pages: DataFrame, layout: DetailLayout = DetailLayout(), *carried: str) -> DataFrame:
+    """One row per page with a list of texts per field, and the ``carried`` columns of longs."""
     ship_package(pages.sparkSession)
     names = list(layout.fields)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()),
-                        *[(n, pa.list_(pa.string())) for n in names]])
+                        *[(n, pa.list_(pa.string())) for n in names], *[(c, pa.int64()) for c in carried]])
 
     def rows(batches):
-        for page_id, url, root in _pages(batches):
-            yield (page_id, url, *[_take(root, layout.fields[n]) for n in names])
+        for page_id, url, root, *more in _pages(batches):
+            yield (page_id, url, *[_take(root, layout.fields[n]) for n in names], *more)
 
-    return pages.select("page_id", "url", "html").mapInArrow(
-        lambda batches: _in_batches(rows(batches), schema),
-        "page_id long, url string, " + ", ".join(f"`{n}` array<string>" for n in names))
+    return pages.select("page_id", "url", "html", *carried).mapInArrow(
+        lambda batches: _in_batches(rows(batches), schema), "page_id long, url string, " + ", ".join(
+            [f"`{n}` array<string>" for n in names] + [f"`{c}` long" for c in carried]))
 
 
 def is_blocked(html: Column) -> Column:
@@ -103,7 +105,7 @@ def drop_blocked(pages: DataFrame) -> DataFrame:
     return pages.filter(~F.coalesce(is_blocked(F.col("html")), F.lit(False)))
 
 
-def card_fields(cards: DataFrame) -> DataFrame:
+def card_fields(cards: DataFrame, *carried: str) -> DataFrame:
     """Lists of texts -> card columns, cards without title or link dropped."""
     posted = text.pick_text(F.col("all_text"), DATE_TEXT_WORDS)
     return require_fields(cards.select(
@@ -113,7 +115,7 @@ def card_fields(cards: DataFrame) -> DataFrame:
         text.strip_company(text.first_text(F.col("company"))).alias("company"),
         text.location_prefix(text.first_text(F.col("location"))).alias("location"),
         text.join_tags(F.col("job_type")).alias("job_type"),
-        posted.alias("date_posted"))).withColumn("url", resolve_url(F.col("href"), F.col("page_url")))
+        posted.alias("date_posted"), *carried)).withColumn("url", resolve_url(F.col("href"), F.col("page_url")))
 
 
 def require_fields(cards: DataFrame) -> DataFrame:
@@ -131,7 +133,7 @@ def cap_text(c: Column, limit: int | None = None) -> Column:
     return c if limit is None else F.substring(c, 1, limit)
 
 
-def detail_fields(details: DataFrame, limit: int | None = None) -> DataFrame:
+def detail_fields(details: DataFrame, limit: int | None = None, *carried: str) -> DataFrame:
     """Lists of texts -> detail columns; a ``limit`` cuts descriptions to so many characters."""
     return details.select(
         "page_id", F.col("url").alias("page_url"),
@@ -140,7 +142,7 @@ def detail_fields(details: DataFrame, limit: int | None = None) -> DataFrame:
         text.pick_salary(F.col("salary"), DEFAULT_SALARY).alias("salary"),
         text.join_tags(F.col("keywords")).alias("keywords"),
         cap_text(text.full_text(F.col("description"), F.col("requirements"), F.col("fallback_text")), limit)
-        .alias("description"))
+        .alias("description"), *carried)
 
 
 def join_card_detail(cards: DataFrame, details: DataFrame) -> DataFrame:

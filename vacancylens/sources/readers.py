@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import CAPTURED_PAGE, SCAN_COLUMNS, ensure_columns
 
@@ -49,9 +50,15 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CAPTURED_PAGE).parquet(path)
 
 
-def stream_pages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Captured pages as they arrive in a folder."""
-    reader = spark.readStream.schema(CAPTURED_PAGE)
+def stream_pages(spark: SparkSession, path: str, files_per_batch: int | None = None,
+                 at: str | None = None) -> DataFrame:
+    """Captured pages as they arrive in a folder, with the time of their capture in ``captured_at``.
+
+    ``at`` names the timestamp column that holds it; without one it is the time the file was written.
+    """
+    schema = CAPTURED_PAGE if at is None else T.StructType([*CAPTURED_PAGE.fields, T.StructField(at, T.TimestampType())])
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*CAPTURED_PAGE.fieldNames(), F.col(
+        "_metadata.file_modification_time" if at is None else at).alias("captured_at"))
