@@ -15,14 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DESCRIPTION_CAP, CardLayout, DetailLayout, FieldSpec
 from ..functions import dates, links, text
-from ..functions.skills import skills_from_table, tag_from_table, tag_skills
+from ..functions.skills import skills_from_table, tag_from_patterns, tag_from_table, tag_skills
 from ..operators import analytics as A
 from ..operators import clean, clusters, dedup, extract, upsert, views
 from ..schema import ADDABLE_COLUMNS, ensure_columns
 from ..session import work_folder
 from ..sources import csv_files, readers
+from ..sources.live_views import LiveViews
 from ..sources.table import PostingTable
 from ..streaming import ingest
+from ..streaming.pages import settle_postings, stream_candidates
 from . import fixtures as fx
 from .stages import build_pipeline, ingest_stages, store_stages
 
@@ -147,6 +149,17 @@ def upsert_sink(spark, d):
     return _digest(store.read(), "description")
 
 
+def live_views(spark, d):
+    """The counting views after three upserts, the last of which says again what half of the rows said."""
+    tagged = _tagged(_with_long_fields(fx.raw_postings(spark, d)))
+    live = LiveViews(PostingTable(spark, work_folder(spark, "live_views"), digits=1, buckets=8))
+    live.append(tagged.filter("seq % 2 = 0"), _ts(FIRST_RUN), ("first", 0))
+    live.append(tagged.filter("seq % 2 = 1"), _ts(SECOND_RUN), ("second", 0))
+    live.compact()
+    live.append(tagged.filter("seq % 4 = 1"), _ts(SECOND_RUN), ("second", 1))
+    return live.counts()
+
+
 def preview(active):
     return A.preview(active, [F.desc("date_first_seen"), "title"]).select("title", "company", "date_first_seen")
 
@@ -254,6 +267,22 @@ def extract_postings(spark, d):
     return _digest(_extracted(spark, d).select("seq.page_id", "seq.pos", "*").drop("seq"), "description")
 
 
+def stream_pages(spark, d):
+    """Listing and detail pages as two streams that arrive in shuffled, opposite orders."""
+    folder = work_folder(spark, "stream_pages")
+    pages = _pages(spark, d).withColumn("captured_at", F.timestamp_millis(F.col("page_id") + 1_700_000_000_000))
+    leads = pages.withColumn("url", F.expr(fx.DETAIL_URL))
+    turn = F.pmod(F.xxhash64("page_id"), F.lit(ARRIVALS))
+    for i in range(ARRIVALS):
+        pages.filter(turn == i).write.mode("append").parquet(f"{folder}/listings")
+        leads.filter(turn == ARRIVALS - 1 - i).write.mode("append").parquet(f"{folder}/leads")
+        found = stream_candidates(*[readers.stream_pages(spark, f"{folder}/{side}", at="captured_at")
+                                    for side in ("listings", "leads")], cards=PAGE_CARDS, details=PAGE_POSTING)
+        _started(found, folder).awaitTermination()
+    return _digest(settle_postings(_taken(spark, folder), _ts(FIRST_RUN)).select("seq.page_id", "seq.pos", "*").drop("seq"),
+                   "description")
+
+
 def ingest_pages(spark, d):
     """From captured pages through every stage and sink; the stored table and the rejected rows."""
     folder = work_folder(spark, "ingest_pages")
@@ -376,6 +405,19 @@ def skill_table(spark, d):
     return tag_from_table(raw, phrases).select("seq", "skills")
 
 
+# Nation names as a dictionary of expressions: as words, as letters in a row, with a class of letters.
+NATION_PATTERN = ("CASE n_nationkey % 3 WHEN 0 THEN concat('\\\\b', lower(n_name), '\\\\b') WHEN 1 THEN lower(n_name) "
+                  "ELSE concat('[', lower(left(n_name, 1)), ']', lower(substr(n_name, 2))) END")
+
+
+def skill_patterns(spark, d):
+    """A dictionary of expressions as a table, met by a join."""
+    table = fx.tables(spark, d, "nation")["nation"].select(
+        F.col("n_name").alias("name"), F.expr(NATION_PATTERN).alias("pattern"))
+    raw = fx.raw_postings(spark, d).withColumn("description", F.concat("location", F.lit(" "), "description"))
+    return tag_from_patterns(raw, table).select("seq", "skills")
+
+
 def ingest_batch(raw):
     return build_pipeline(ingest_stages(run_ts=_ts(FIRST_RUN)))(raw).select("seq", "title", "location", "url", "skills")
 
@@ -520,7 +562,7 @@ def stream_clean(spark, d):
 def stream_dedup(spark, d):
     folder = work_folder(spark, "stream_dedup")
     _fed(fx.raw_postings(spark, d), folder, "seq", lambda raw: _started(
-        ingest.stream_dedup(clean.clean_postings(raw, run_ts=_ts(FIRST_RUN))), folder, "update"))
+        ingest.stream_dedup(clean.clean_postings(raw, run_ts=_ts(FIRST_RUN))), folder))
     return _digest(_taken(spark, folder).select(
         "seq", "title", "company", "location", "experience", "job_type", "salary", "career_level",
         "date_posted", "keywords", "description", "url", "historical_date"), "description")
@@ -551,6 +593,7 @@ def _sequence() -> dict[str, Query]:
         "csv_snapshot": csv_snapshot,
         "read_pages": read_pages,
         "upsert_sink": upsert_sink,
+        "live_views": live_views,
         "preview": _active(preview),
         "schema_report": _active(A.schema_report),
         "extract_cards": extract_cards,
@@ -590,6 +633,7 @@ def _sequence() -> dict[str, Query]:
         "tag_skills": _raw(lambda raw: tag_skills(raw).select("seq", "skills")),
         "skill_dictionary": skill_dictionary,
         "skill_table": skill_table,
+        "skill_patterns": skill_patterns,
         "ingest_batch": _raw(ingest_batch),
         "upsert_postings": _raw(upsert_postings),
         **{name: _postings(view) for name, view in views.VIEWS.items()},
@@ -624,6 +668,7 @@ def _sequence() -> dict[str, Query]:
         "segment_plot_data": _active(segment_plot_data),
         "stream_clean": stream_clean,
         "stream_dedup": stream_dedup,
+        "stream_pages": stream_pages,
         "stream_upsert": stream_upsert,
         "stream_trend": stream_trend,
     }

@@ -121,6 +121,18 @@ def stored(first_run: str, second_run: str | None) -> str:
     FROM ranked GROUP BY job_hash"""
 
 
+def upserted_thrice() -> str:
+    """What views count of the table after even rows, odd rows, and every second odd row once more."""
+    fresh = ", ".join(f"max({c}) FILTER (WHERE down = 1) AS {c}" for c in ("job_type", "career_level", "skills"))
+    return f"""WITH {HASHED}, runs AS (SELECT *, seq % 2 AS run FROM hashed
+      UNION ALL SELECT *, 2 FROM hashed WHERE seq % 4 = 1),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY job_hash ORDER BY run, seq) AS up,
+      row_number() OVER (PARTITION BY job_hash ORDER BY run DESC, seq DESC) AS down FROM runs)
+    SELECT job_hash, max(company) FILTER (WHERE up = 1) AS company, max(location) FILTER (WHERE up = 1) AS location,
+      {fresh}, CASE WHEN min(run) = 0 THEN {quote(C.FIRST_RUN)} ELSE {quote(C.SECOND_RUN)} END AS date_first_seen
+    FROM ranked GROUP BY job_hash"""
+
+
 DAY = "CAST(CAST(date_first_seen AS DATE) AS VARCHAR)"
 SEEN = "strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
 SCAN = ("title, company, location, experience, job_type, salary, career_level, CAST(NULL AS VARCHAR) AS date_posted, "
@@ -269,6 +281,14 @@ def oracle_sql() -> dict[str, str]:
         "csv_snapshot": f"{act} SELECT {SCAN} FROM act",
         "read_pages": "SELECT page_id, url, CAST(length(html) AS INTEGER) AS n_chars, md5(html) AS digest FROM pages",
         "upsert_sink": upserted,
+        "live_views": f"""WITH t AS ({upserted_thrice()}),
+            e AS (SELECT 'v_hiring_trends' AS view, left(date_first_seen, 10) AS key FROM t
+              UNION ALL SELECT 'v_top_companies', company FROM t
+              UNION ALL SELECT 'v_skill_frequency', unnest(string_split(skills, ', ')) FROM t WHERE skills <> ''
+              UNION ALL SELECT 'v_job_type_breakdown', job_type FROM t WHERE job_type <> ''
+              UNION ALL SELECT 'v_career_level_distribution', career_level FROM t WHERE career_level <> ''
+              UNION ALL SELECT 'v_location_distribution', location FROM t WHERE location <> '')
+            SELECT view, key, count(*) AS n FROM e GROUP BY ALL""",
         "preview": f"{act} SELECT title, company, {SEEN.format(c='date_first_seen')} FROM act "
             "ORDER BY act.date_first_seen DESC, title LIMIT 5",
         "schema_report": _column_report(
@@ -299,6 +319,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT page_id, title, url, digest FROM c JOIN b USING (url)""",
         "extract_postings": f"WITH {PAGE_RAW} SELECT page_id, pos, title, company, location, experience, job_type, salary, "
             "career_level, date_posted, keywords, md5(description) AS description, url, scraped_at FROM raw",
+        "stream_pages": f"WITH {PAGE_RAW} SELECT page_id, pos, title, company, location, experience, job_type, salary, "
+            "career_level, date_posted, keywords, md5(description) AS description, url, scraped_at FROM raw",
         "ingest_pages": f"""WITH {PAGE_RAW}, {cleaned('raw', ())},
             ok AS (SELECT *, {tags('title', 'description')} AS skills FROM cleaned
               QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1),
@@ -354,6 +376,9 @@ def oracle_sql() -> dict[str, str]:
             "FROM raw CROSS JOIN nation n GROUP BY seq",
         "skill_table": raw + f"SELECT seq, coalesce(array_to_string({nations}, ', '), '') AS skills "
             "FROM raw CROSS JOIN nation n GROUP BY seq",
+        "skill_patterns": raw + "SELECT seq, coalesce(array_to_string(" + nations.replace(
+            r"'\b' || lower(n.n_name) || '\b'", r"CASE n_nationkey % 3 WHEN 0 THEN '\b' || lower(n.n_name) || '\b' ELSE "
+            "lower(n.n_name) END") + ", ', '), '') AS skills FROM raw CROSS JOIN nation n GROUP BY seq",
         "ingest_batch": f"WITH {TAGGED} SELECT seq, title, location, url, skills FROM tagged "
             "QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1",
         "upsert_postings": upserted,

@@ -77,7 +77,7 @@ class PostingTable:
         """Stored batches that are not merged yet."""
         return self.batches().join(self.spark.read.schema(_MERGED).parquet(f"{self.root}/merged"), "seq", "left_anti")
 
-    def _waiting(self) -> list[int]:
+    def waiting_numbers(self) -> list[int]:
         return sorted(r[0] for r in self.waiting().select("seq").distinct().collect())  # few, once per merge
 
     def base(self) -> DataFrame:
@@ -89,11 +89,12 @@ class PostingTable:
         return (self.spark.read.schema(f"{_COLUMNS}, seq long").option("basePath", f"{self.root}/deltas")
                 .parquet(*[f"{self.root}/deltas/seq={n}" for n in numbers]))
 
-    def _folded(self, numbers: list[int]) -> DataFrame:
+    def folded(self, numbers: list[int]) -> DataFrame:
+        """Some deltas as one batch."""
         rows = self.deltas(numbers)
         return fold(rows, "seq") if len(numbers) > 1 else rows.select(*POSTING.fieldNames())
 
-    def _prefix(self) -> Column:
+    def prefix(self) -> Column:
         return F.substring("job_hash", 1, self.digits)
 
     # --- writing -------------------------------------------------------------
@@ -121,28 +122,28 @@ class PostingTable:
 
     def merged(self, numbers: list[int], prefixes: list[str] | None = None) -> DataFrame:
         """The rows of some prefixes (all: None) with the named deltas merged in."""
-        batch, base = self._folded(numbers), self.base()
+        batch, base = self.folded(numbers), self.base()
         if prefixes is not None:
-            batch, base = batch.filter(self._prefix().isin(prefixes)), base.filter(F.col("prefix").isin(prefixes))
+            batch, base = batch.filter(self.prefix().isin(prefixes)), base.filter(F.col("prefix").isin(prefixes))
         return merge(base.drop("prefix"), batch)
 
     def read(self) -> DataFrame:
         """The current table, waiting batches merged in."""
-        numbers = self._waiting()
+        numbers = self.waiting_numbers()
         return self.merged(numbers) if numbers else self.base().drop("prefix")
 
     def compact(self) -> int:
         """Merge the waiting batches into the prefixes they touch; returns how many there were."""
-        numbers = self._waiting()
+        numbers = self.waiting_numbers()
         if not numbers:
             return 0
-        touched = sorted(r[0] for r in self.deltas(numbers).select(self._prefix()).distinct().collect())
+        touched = sorted(r[0] for r in self.deltas(numbers).select(self.prefix()).distinct().collect())
         step = self.group or len(touched) or 1
         for i in range(0, len(touched), step):  # at most 16 ** digits prefixes
             rows = self.merged(numbers, touched[i:i + step])
             with settings(self.spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
                 # The join leaves one task per bucket, so each prefix gets one file per bucket.
-                rows.withColumn("prefix", self._prefix()).write.mode("overwrite").insertInto(self.name)
+                rows.withColumn("prefix", self.prefix()).write.mode("overwrite").insertInto(self.name)
         (self.spark.createDataFrame([(n,) for n in numbers], _MERGED).coalesce(1)
          .write.mode("append").parquet(f"{self.root}/merged"))
         return len(numbers)
