@@ -14,14 +14,20 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, Batches, in_arrow, kept_table, pieces, read, text_or_empty, to_batch
+from ..session import settings
+from .common import WHITE, Batches, in_arrow, kept_table, read, text_or_empty, to_batch
 
 _DROP = WHITE.encode()
 _NODE_BYTES = 600
 
+# Texts travel in small batches: next to the tries, what a worker and its JVM hold is a few of these.
+SMALL = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 20)}
+
 
 class _Node:
     __slots__ = ("edges", "owner")
@@ -107,12 +113,12 @@ _OWNER = pa.schema([("text_sha256", pa.string()), ("keep_id", pa.int64()), ("kee
                     ("group_size", pa.int64()), ("keep_rows", pa.int64())])
 
 
-def _in_batches(rows: Iterator[tuple], schema: pa.Schema, make: Callable, limit: int = 8 << 20) -> Batches:
+def _in_batches(rows: Iterator[tuple], schema: pa.Schema, make: Callable, limit: int = 1 << 20) -> Batches:
     out, held = [], 0
     for key, owner in rows:
         out.append(make(key, owner))
         held += len(key)
-        if held > limit or len(out) >= 20_000:
+        if held > limit or len(out) >= 2_000:
             yield to_batch(schema, *(list(c) for c in zip(*out)))
             out, held = [], 0
     if out:
@@ -120,8 +126,16 @@ def _in_batches(rows: Iterator[tuple], schema: pa.Schema, make: Callable, limit:
 
 
 def _partial(key: bytes, owner: tuple) -> tuple:
-    return (len(key), xxhash.xxh64_intdigest(key) - (1 << 63), key, -owner[0], None if owner[1] else owner[2],
-            owner[3], owner[4])
+    """A text leaves its task compressed: the shuffle and the sort hold less than half of it."""
+    return (len(key), xxhash.xxh64_intdigest(key) - (1 << 63), zstandard.compress(key, 1), -owner[0],
+            None if owner[1] else owner[2], owner[3], owner[4])
+
+
+def _rows(batches: Batches) -> Iterator[tuple]:
+    """Rows one by one; no more than one text is a Python object."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in batch.columns)
 
 
 def _final(key: bytes, owner: tuple) -> tuple:
@@ -139,11 +153,10 @@ def owners(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
         trie = Trie(_better)
 
         def rows() -> Iterator[tuple]:
-            for batch in pieces(batches, 1000):
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    trie.add(text.encode().translate(None, _DROP), (-len(text), doc is None, doc or 0, 1, 1))
-                    while trie.bytes > budget:  # what was spilled is settled by the next trie
-                        yield from trie.take(trie.largest())
+            for doc, text in _rows(batches):
+                trie.add(text.encode().translate(None, _DROP), (-len(text), doc is None, doc or 0, 1, 1))
+                while trie.bytes > budget:  # what was spilled is settled by the next trie
+                    yield from trie.take(trie.largest())
             while trie.sizes:
                 yield from trie.take(next(iter(trie.sizes)))
         yield from _in_batches(rows(), _PARTIAL, _partial)
@@ -153,14 +166,13 @@ def owners(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
 
         def rows() -> Iterator[tuple]:
             dealt = None
-            for batch in pieces(batches, 1000):
-                for *place, norm, chars, doc, n, alike in zip(*(c.to_pylist() for c in batch.columns)):
-                    if place != dealt and trie.bytes > budget:
-                        # Rows come sorted by length and hash: everything inserted so far is final.
-                        while trie.sizes and trie.bytes > budget // 2:
-                            yield from trie.take(trie.largest())
-                    dealt = place
-                    trie.add(norm, (-chars, doc is None, doc or 0, n, alike))
+            for *place, norm, chars, doc, n, alike in _rows(batches):
+                if place != dealt and trie.bytes > budget:
+                    # Rows come sorted by length and hash: everything inserted so far is final.
+                    while trie.sizes and trie.bytes > budget // 2:
+                        yield from trie.take(trie.largest())
+                dealt = place
+                trie.add(zstandard.decompress(norm), (-chars, doc is None, doc or 0, n, alike))
             while trie.sizes:
                 yield from trie.take(next(iter(trie.sizes)))
         yield from _in_batches(rows(), _OWNER, _final)
@@ -172,6 +184,11 @@ def owners(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
                                    "keep_rows long")
 
 
+def _settled(docs: DataFrame, budget: int) -> DataFrame:
+    with settings(docs.sparkSession, SMALL):
+        return kept_table(owners(docs, budget), "owners")
+
+
 def exact_dedup(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
@@ -181,7 +198,7 @@ def exact_dedup(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
     for several equal texts, the longest stays.  Other columns are ignored; an empty table
     gives no rows.
     """
-    settled = kept_table(owners(docs, budget), "owners")
+    settled = _settled(docs, budget)
     # Rows that repeat id, text and length are counted, joined once and dealt out again.
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("_t"))
             .select("doc_id", F.length("_t").cast("long").alias("_chars"),
@@ -196,20 +213,26 @@ def exact_dedup(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
 
 
 def keep_distinct(docs: DataFrame, budget: int = 12 << 20) -> DataFrame:
-    """The rows that :func:`exact_dedup` keeps, with all columns of ``docs``."""
-    settled = kept_table(owners(docs, budget), "owners")
-    keyed = docs.withColumn("_chars", F.length(text_or_empty()).cast("long")).withColumn(
-        "_sha", F.sha2(F.translate(text_or_empty(), WHITE, ""), 256))
+    """The rows that :func:`exact_dedup` keeps, with all columns of ``docs``, whatever their names.
+
+    NULL ids are an id like any other.  Of rows that repeat id, text and length one is kept; which
+    one is open where their other columns differ.
+    """
+    settled = _settled(docs, budget)
+    # Columns travel as one struct, so that none can clash with a key.
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                        F.length(text_or_empty()).cast("long").alias("chars"),
+                        F.sha2(F.translate(text_or_empty(), WHITE, ""), 256).alias("sha"))
 
     def stay(own: DataFrame) -> DataFrame:
         # All three keys deal the rows, so the copies of one text spread over the tasks.
-        return keyed.join(own, (keyed["_sha"] == own["text_sha256"]) & (keyed["_chars"] == own["keep_chars"])
-                          & keyed["doc_id"].eqNullSafe(own["keep_id"]), "left_semi")
+        return keyed.join(own, (keyed["sha"] == own["text_sha256"]) & (keyed["chars"] == own["keep_chars"])
+                          & keyed["id"].eqNullSafe(own["keep_id"]), "left_semi")
     once = stay(settled.filter("keep_rows = 1"))
     repeated = settled.filter("keep_rows > 1")
     if not repeated.isEmpty():
-        once = once.unionByName(stay(repeated).dropDuplicates(["_sha"]))
-    return once.select(*docs.columns)
+        once = once.unionByName(stay(repeated).dropDuplicates(["sha"]))
+    return once.select("row.*")
 
 
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
