@@ -200,15 +200,19 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them; rows that repeat id, source and size are taken alike."""
-    counts = kept_table(mix(docs).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("_copies"))
-                        .filter("_copies > 0"), "mix-copies")
-    sized = docs.withColumn("_size", size_of())
-    match = (sized["doc_id"].eqNullSafe(counts["doc_id"]) & sized["source"].eqNullSafe(counts["source"])
-             & (sized["_size"] == counts["size"]))
-    return (sized.join(counts, match).select(*[sized[c] for c in docs.columns], "_copies")
-            .select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_i"))
-            .select(*docs.columns))
+    """The rows of ``docs`` as often as the mix takes them, with all columns, whatever their names.
+
+    Rows that repeat id, source and size are taken alike; NULL ids and sources match each other.
+    """
+    counts = kept_table(mix(docs).groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+                        .filter("copies > 0"), "mix-copies")
+    # Columns travel as one struct, so that none can clash with a key.
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                        F.col("source").cast("string").alias("from"), size_of().alias("words"))
+    match = (sized["id"].eqNullSafe(counts["doc_id"]) & sized["from"].eqNullSafe(counts["source"])
+             & (sized["words"] == counts["size"]))
+    return (sized.join(counts, match).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("i"))
+            .select("row.*"))
 
 
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
