@@ -63,9 +63,12 @@ def test_folding_combines_before_the_shuffle(raw):
     assert plan.count("Exchange") == 1 and plan.count("partial_min_by") == 1
 
 
-def test_rejects_join_on_the_unique_order(raw):
+def test_rejects_find_copies_on_two_columns(raw):
     plan = plan_of(clean.label_rejects(raw))
     assert "Window" not in plan and "partial_min" in plan
+    # What is shuffled or broadcast for the flag never holds a description.
+    for line, below in re.findall(r"((?:Broadcast)?Exchange[^\n]*)\n([^\n]*)", plan):
+        assert "description" not in below
 
 
 def test_no_query_uses_a_cartesian_product_or_row_python(spark):

@@ -52,6 +52,24 @@ def clean_postings(df: DataFrame, cfg: CleanConfig = CleanConfig(),
     return add_posting_date(stamp_scraped(apply_defaults(jobs, cfg), run_ts), cfg, run_ts)
 
 
+def title_key(title: Column) -> Column:
+    """A title as lists of titles are compared: letter case and outer white space aside."""
+    return F.lower(F.trim(title))
+
+
+def drop_listed_titles(df: DataFrame, titles: DataFrame, title: str = "title") -> DataFrame:
+    """Rows whose title does not stand in ``titles`` (column ``title``), a table of any length.
+
+    The list first meets the distinct titles of the rows: neither the list nor the rows are
+    shuffled for the other.  What they share is short as a rule, and adaptive execution
+    broadcasts it if its size allows; if not, the rows are joined on the title.  A NULL title is on no list.
+    """
+    listed = titles.select(title_key(F.col("title")).alias("_listed")).filter("_listed IS NOT NULL").distinct()
+    shared = (df.select(title_key(F.col(title)).alias("_title")).filter("_title IS NOT NULL").distinct()
+              .join(listed, F.col("_title") == F.col("_listed"), "left_semi"))
+    return df.join(shared, title_key(df[title]) == F.col("_title"), "left_anti")
+
+
 def constraint_violation(cfg: CleanConfig = CleanConfig()) -> Column:
     """Name of the first column that is too long to store, else NULL."""
     return F.coalesce(*[F.when(F.length(c) > n, F.lit(f"too_long:{c}")) for c, n in cfg.max_lengths.items()])
@@ -68,22 +86,25 @@ def label_rejects(df: DataFrame, cfg: CleanConfig = CleanConfig(), run_ts: Colum
 
     Without ``lengths`` no row is too long.
 
-    Later copies are found by the smallest ``order`` of each key: that is a grouped
-    minimum with map-side combine, joined back on ``order`` and the key, so no task holds
-    all rows of one hot key.  Rows that repeat both are one row that came twice: they
+    Later copies are found on two columns: the smallest ``order`` of each key is a grouped minimum,
+    and rows of the key that are not it are the copies.  Only their (order, key) meets the whole rows
+    again, so rows are not shuffled where copies are few enough to broadcast, and are dealt
+    by both columns where they are not.  Rows that repeat both are one row that came twice: they
     get the same label.
     """
     cleaned = add_posting_date(stamp_scraped(apply_defaults(clean_fields(df, cfg), cfg), run_ts), cfg, run_ts)
     is_job = ~text.non_job(F.col("title"), cfg)
-    # The winners only need the title and the key: the scan stays narrow.
-    winners = (ensure_columns(df, ADDABLE_RAW)
-               .select(order, F.coalesce(key, F.lit("")).alias(key), text.scrub_title(text.clean_text(F.col("title")), cfg).alias("title"))
-               .filter(is_job).groupBy(key).agg(F.min(order).alias(order))
-               .select(order, F.col(key).alias("_key"), F.lit(True).alias("_first")))
-    reason = F.when(~is_job, F.lit("non_job")).when(F.col("_first").isNull(), F.lit("duplicate"))
+    # Copies only need the title and the key: the scan stays narrow.
+    jobs = (ensure_columns(df, ADDABLE_RAW)
+            .select(order, F.coalesce(key, F.lit("")).alias("_key"), text.scrub_title(text.clean_text(F.col("title")), cfg).alias("title"))
+            .filter(is_job).select(F.col(order).alias("_order"), "_key"))
+    winners = jobs.groupBy("_key").agg(F.min("_order").alias("_least"))
+    copies = (jobs.join(winners, "_key").filter(~F.col("_order").eqNullSafe(F.col("_least")))
+              .select("_order", "_key").distinct().withColumn("_copy", F.lit(True)))
+    reason = F.when(~is_job, F.lit("non_job")).when(F.col("_copy").isNotNull(), F.lit("duplicate"))
     if cfg.strict_dates:
         reason = reason.when(F.col("date_posted") == "", F.lit("no_date"))
-    same = cleaned[order].eqNullSafe(winners[order]) & (F.coalesce(cleaned[key], F.lit("")) == winners["_key"])
+    same = cleaned[order].eqNullSafe(copies["_order"]) & (F.coalesce(cleaned[key], F.lit("")) == copies["_key"])
     reason = reason.otherwise(constraint_violation(cfg) if lengths else F.lit(None).cast("string"))
-    return (cleaned.join(winners, same, "left").drop(winners[order], winners["_key"])
-            .withColumn("reject_reason", reason).drop("_first"))
+    return (cleaned.join(copies, same, "left").drop("_order", "_key")
+            .withColumn("reject_reason", reason).drop("_copy"))

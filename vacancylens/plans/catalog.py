@@ -17,7 +17,8 @@ from ..config import DESCRIPTION_CAP, CardLayout, DetailLayout, FieldSpec
 from ..functions import dates, links, text
 from ..functions.skills import skills_from_table, tag_from_patterns, tag_from_table, tag_skills
 from ..operators import analytics as A
-from ..operators import clean, clusters, dedup, extract, upsert, views
+from ..operators import bitmaps, clean, clusters, dedup, extract, sketches, upsert, views
+from ..operators.sparse_pca import sparse_pca
 from ..schema import ADDABLE_COLUMNS, ensure_columns
 from ..session import work_folder
 from ..sources import csv_files, readers
@@ -25,6 +26,7 @@ from ..sources.live_views import LiveViews
 from ..sources.table import PostingTable
 from ..streaming import ingest
 from ..streaming.pages import settle_postings, stream_candidates
+from . import fits
 from . import fixtures as fx
 from .stages import build_pipeline, ingest_stages, store_stages
 
@@ -85,7 +87,7 @@ def _raw(f: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    return readers.read_pages(spark, f"{d}/pages.parquet")
+    return fx.spread(readers.read_pages(spark, f"{d}/pages.parquet"))
 
 
 def _tagged(raw: DataFrame) -> DataFrame:
@@ -443,23 +445,6 @@ def scale_features(active):
 
 # The results of a fit are not unique; what is returned are properties that every right fit has.
 
-def _distances(points: DataFrame, centres: DataFrame, key: str, own: str) -> DataFrame:
-    """(key, nearest): whether the centre of a point's own cluster is as near as any other.
-
-    ``points`` (key, own, term, x) and ``centres`` (cluster, term, x) leave out zeros.
-    """
-    norms = centres.groupBy("cluster").agg(F.sum(F.col("x") * F.col("x")).alias("c2"))
-    assigned = points.select(key, own).distinct()
-    dots = (points.join(centres.select("cluster", "term", F.col("x").alias("c")), "term")
-            .groupBy(key, "cluster").agg(F.sum(F.col("x") * F.col("c")).alias("dot")))
-    every = assigned.withColumn("cluster", F.explode(norms.agg(F.sort_array(F.collect_list("cluster"))).scalar()))
-    # |x - c|^2 without the part that all centres share.
-    far = (every.join(norms, "cluster").join(dots, [key, "cluster"], "left")
-           .withColumn("far", F.col("c2") - 2 * F.coalesce("dot", F.lit(0.0))))
-    return far.groupBy(key).agg((F.min(F.when(F.col(own) == F.col("cluster"), F.col("far"))) <=
-                                 F.min("far") + 1e-6).alias("nearest"))
-
-
 def _centres(model: clusters.RoleModel, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, t, float(x)) for i, c in enumerate(model.model.clusterCenters())
                                   for (t, _), x in zip(model.terms, c) if x], "cluster int, term string, x double")
@@ -468,51 +453,112 @@ def _centres(model: clusters.RoleModel, spark: SparkSession) -> DataFrame:
 def _role_points(active: DataFrame) -> tuple[clusters.RoleModel, DataFrame]:
     model = clusters.RoleModel(active, ROLE_CLUSTERS, MAX_TERMS)
     weights = clusters.tfidf_skills(active, max_terms=MAX_TERMS).withColumnRenamed("weight", "x")
-    return model, model.assign(active).select("job_hash", F.col("cluster").alias("own")).join(weights, "job_hash")
+    points = model.assign(active).select("job_hash", F.col("cluster").alias("own")).join(weights, "job_hash")
+    return model, kept_in(work_folder(active.sparkSession, "role_points"), points)
 
 
 def role_clusters(postings):
-    """Every posting with skills, and whether it was given to the nearest centre."""
+    """Every posting with skills, whether it was given to the nearest centre, and what the clusters are worth."""
     model, points = _role_points(postings.filter("status = 'active'"))
-    return _distances(points, _centres(model, postings.sparkSession), "job_hash", "own")
+    near = fits.distances(points, _centres(model, postings.sparkSession), "job_hash", "own")
+    return fits.with_figures(near, fits.clustering(points, "job_hash", "own"))
 
 
 def cluster_terms(postings):
-    """The heaviest terms of the centres, and how far each weight is off the mean of the members."""
+    """The heaviest terms of the centres, how far each weight is off the mean of the members, and whether they are the heaviest."""
     active = postings.filter("status = 'active'")
     model, points = _role_points(active)
     sizes = model.assign(active).groupBy("cluster").agg(F.count("*").alias("n"))
-    sums = points.groupBy(F.col("own").alias("cluster"), "term").agg(F.sum("x").alias("s"))
-    return (model.top_terms(active, TERMS_EACH).join(sizes, "cluster").join(sums, ["cluster", "term"], "left")
-            .select("cluster", "rank", (F.round(F.coalesce("s", F.lit(0.0)) / F.col("n") - F.col("weight"), 6) + 0.0)
-                    .alias("off")))
+    means = (points.groupBy(F.col("own").alias("cluster"), "term").agg(F.sum("x").alias("s")).join(sizes, "cluster")
+             .select("cluster", "term", (F.col("s") / F.col("n")).alias("mean")))
+    listed = model.top_terms(active, TERMS_EACH)
+    return (listed.join(means, ["cluster", "term"], "left").join(fits.heaviest(listed, means), "cluster")
+            .select("cluster", "rank", (F.round(F.coalesce("mean", F.lit(0.0)) - F.col("weight"), 6) + 0.0).alias("off"),
+                    "heaviest"))
+
+
+def _weights(active: DataFrame) -> DataFrame:
+    return clusters.tfidf_skills(active, max_terms=MAX_TERMS).withColumnRenamed("weight", "x")
 
 
 def pca_2d(postings):
-    """Means (0) and order of the spreads of the two projected columns."""
+    """Means (0), order and width of the two projected columns."""
     active = postings.filter("status = 'active'")
     vectors = clusters.tfidf_vectors(active, clusters.read_terms(active, MAX_TERMS))
-    return clusters.pca_2d(vectors).agg(
-        F.count("*").alias("n"), (F.round(F.avg("pca_1"), 6) + 0.0).alias("mean_1"),
-        (F.round(F.avg("pca_2"), 6) + 0.0).alias("mean_2"),
-        (F.var_pop("pca_1") >= F.var_pop("pca_2")).alias("ordered"),
-        (F.round(F.covar_pop("pca_1", "pca_2"), 6) + 0.0).alias("shared"))
+    projected = kept_in(work_folder(active.sparkSession, "pca"), clusters.pca_2d(vectors).select("job_hash", "pca_1", "pca_2"))
+    return fits.projection(projected, _weights(active), "job_hash")
 
 
-def company_segments(active):
-    """Every company of some size, its postings, and whether its segment is the nearest."""
+def pca_sparse(postings):
+    """The same for the iteration that suits any vocabulary, over all its terms."""
+    active = postings.filter("status = 'active'")
+    terms = clusters.read_terms(active)
+    _, projected = sparse_pca(clusters.tfidf_vectors(active, terms), len(terms))
+    projected = kept_in(work_folder(active.sparkSession, "pca_sparse"), projected)
+    return fits.projection(projected, clusters.tfidf_skills(active).withColumnRenamed("weight", "x"), "job_hash")
+
+
+def _segments(active: DataFrame) -> tuple[DataFrame, DataFrame]:
     segments = clusters.company_segments(active, k=SEGMENTS)
+    segments = kept_in(work_folder(active.sparkSession, "segments"), segments)
     columns = [c for c in segments.columns if c not in ("company", "segment")]
     points = _melted(A.scale_features(segments.drop("segment"), columns), "x").withColumnRenamed("feature", "term").join(
         segments.select("company", F.col("segment").alias("own")), "company")
+    return segments, points
+
+
+def _judged(segments: DataFrame, points: DataFrame) -> DataFrame:
     centres = points.groupBy(F.col("own").alias("cluster"), "term").agg(F.avg("x").alias("x"))
-    return _distances(points, centres, "company", "own").join(segments.select("company", "total_jobs"), "company")
+    return fits.with_figures(fits.distances(points, centres, "company", "own"), fits.clustering(points, "company", "own"))
+
+
+def company_segments(active):
+    """Every company of some size, its postings, whether its segment is the nearest, and what the segments are worth."""
+    segments, points = _segments(active)
+    return _judged(segments, points).join(segments.select("company", "total_jobs"), "company")
 
 
 def segment_plot_data(active):
-    plot = clusters.segment_plot_data(clusters.company_segments(active, k=SEGMENTS))
-    return plot.select("company", "total_jobs", "first_level_jobs",
-                       F.col("segment").between(0, SEGMENTS - 1).alias("has_segment"))
+    """The plotted columns, and whether the plotted segment is the nearest."""
+    segments, points = _segments(active)
+    plot = clusters.segment_plot_data(segments)
+    judged = _judged(segments, points.drop("own").join(plot.select("company", F.col("segment").alias("own")), "company"))
+    return plot.select("company", "total_jobs", "first_level_jobs").join(
+        judged.select("company", "nearest", "n_clusters", "tighter"), "company")
+
+
+# --- summaries ---------------------------------------------------------------
+
+def load_summary_sketched(active):
+    """The load summary merged from one sketched row per day, next to the exact counts."""
+    days = kept_in(work_folder(active.sparkSession, "days"), sketches.daily_sketches(active))
+    exact = active.agg(F.countDistinct("company").alias("companies"), F.countDistinct("location").alias("locations"))
+    names = A.exploded_skills(active).agg(F.countDistinct("skill")).scalar()
+    figures = fits.with_figures(sketches.span_summary(days).select("jobs", *[
+        F.col(c).alias(f"about_{c}") for c in ("companies", "locations", "skills")], "first_seen", "last_seen"), exact)
+    figures = figures.withColumn("skills", names)
+    off = 4 * sketches.relative_error()
+    return figures.select("jobs", "companies", "locations", "skills", "first_seen", "last_seen", *[
+        (F.abs(F.col(f"about_{c}") - F.col(c)) <= 1 + off * F.col(c)).alias(f"{c}_near")
+        for c in ("companies", "locations", "skills")])
+
+
+def top_parts(spark, d):
+    """The parts that stand in most lines, of a column of many values, by counted candidates."""
+    lines = fx.tables(spark, d, "lineitem")["lineitem"].select(F.col("l_partkey").cast("string").alias("part"))
+    return sketches.proven_top(lines, "part", 20, out="lines", capacity=200)
+
+
+def skill_pairs(active):
+    """Co-occurrence of up to 200 skills by bitmaps."""
+    return bitmaps.skill_pairs(active, 200)
+
+
+def listed_titles(spark, d):
+    """Raw postings whose title is on no list, a table of titles made of the postings of every third company."""
+    raw = clean.clean_fields(fx.raw_postings(spark, d))
+    titles = raw.filter("company IN ('src0', 'src3', 'src6') AND seq % 4 < 3").select(F.upper("title").alias("title"))
+    return clean.drop_listed_titles(raw, titles).select("seq", "title")
 
 
 # --- streaming ---------------------------------------------------------------
@@ -660,6 +706,11 @@ def _sequence() -> dict[str, Query]:
         "role_clusters": _postings(role_clusters),
         "cluster_terms": _postings(cluster_terms),
         "pca_2d": _postings(pca_2d),
+        "pca_sparse": _postings(pca_sparse),
+        "load_summary_sketched": _active(load_summary_sketched),
+        "top_parts": top_parts,
+        "skill_pairs": _active(skill_pairs),
+        "listed_titles": listed_titles,
         "company_features": _active(lambda a: _melted(A.company_features(a), "n")),
         "level_counts": _active(A.level_counts),
         "min_volume": _active(lambda a: _melted(A.min_volume(A.company_features(a)), "n")),

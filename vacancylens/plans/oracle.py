@@ -228,6 +228,20 @@ TFIDF = rf"""{ACTIVE}, doc AS (SELECT job_hash, regexp_extract_all(lower(array_t
   w AS (SELECT job_hash, term, tf * idf AS x FROM tf JOIN voc USING (term))"""
 
 
+WEIGHTS = "x AS (SELECT job_hash AS key, job_hash, term, x / sqrt(sum(x * x) OVER (PARTITION BY job_hash)) AS x FROM w)"
+SCALED = ("x AS (SELECT company AS key, feature AS term, coalesce((n - avg(n) OVER v) / nullif(stddev_pop(n) OVER v, 0), 0) "
+          "AS x FROM feat WHERE total_jobs >= 3 WINDOW v AS (PARTITION BY feature))")
+TOTAL = ("total AS (SELECT round((sum(q) - sum(s * s) / any_value(n)) / any_value(n), 9) AS total FROM (SELECT term, sum(x) AS s, "
+         "sum(x * x) AS q FROM x GROUP BY term), (SELECT count(DISTINCT key) AS n FROM x))")
+
+
+def _projected(weights: str) -> str:
+    return f"""WITH {weights}, {WEIGHTS}, c AS (SELECT count(*) AS n FROM doc),
+      v AS (SELECT sum(x * x) / any_value(n) - pow(sum(x) / any_value(n), 2) AS v FROM x, c GROUP BY term)
+    SELECT any_value(n) AS n, CAST(0.0 AS DOUBLE) AS mean_1, CAST(0.0 AS DOUBLE) AS mean_2, true AS ordered,
+      CAST(0.0 AS DOUBLE) AS shared, round(sum(v), 9) AS total, round(max(v), 9) AS largest, true AS widest FROM v, c"""
+
+
 def _column_report(select: str) -> str:
     columns = [("title", "string"), ("company", "string"), ("location", "string"), ("experience", "string"),
                ("job_type", "string"), ("salary", "string"), ("career_level", "string"), ("date_posted", "string"),
@@ -447,16 +461,36 @@ def oracle_sql() -> dict[str, str]:
             "nullif(stddev_pop(n) OVER w, 0), 0), 9) + 0.0 AS z FROM feat WHERE total_jobs >= 3 "
             "WINDOW w AS (PARTITION BY feature)",
         # A fit is checked by what every right fit has, see the catalog.
-        "role_clusters": f"WITH {ACTIVE} SELECT job_hash, true AS nearest FROM act WHERE len(skills) > 0",
+        "role_clusters": f"WITH {TFIDF}, {WEIGHTS}, {TOTAL}, k AS (SELECT least({C.ROLE_CLUSTERS}, count(DISTINCT list_sort("
+            "tokens))) AS k FROM doc) SELECT DISTINCT job_hash, true AS nearest, k AS n_clusters, total, true AS tighter "
+            "FROM x, k, total",
         "cluster_terms": f"SELECT CAST(c.range AS INTEGER) AS cluster, CAST(r.range AS INTEGER) AS rank, "
-            f"CAST(0.0 AS DOUBLE) AS off FROM range({C.ROLE_CLUSTERS}) c CROSS JOIN range(1, {C.TERMS_EACH + 1}) r",
-        "pca_2d": f"WITH {ACTIVE} SELECT count(*) AS n, CAST(0.0 AS DOUBLE) AS mean_1, CAST(0.0 AS DOUBLE) AS mean_2, "
-            "true AS ordered, CAST(0.0 AS DOUBLE) AS shared FROM act WHERE len(skills) > 0",
-        "company_segments": f"WITH {FEATURES} SELECT company, true AS nearest, total_jobs FROM feat "
+            f"CAST(0.0 AS DOUBLE) AS off, true AS heaviest FROM range({C.ROLE_CLUSTERS}) c CROSS JOIN "
+            f"range(1, {C.TERMS_EACH + 1}) r",
+        "pca_2d": _projected(TFIDF),
+        "pca_sparse": _projected(TFIDF.replace("LIMIT 100", "")),
+        "company_segments": f"WITH {FEATURES}, {SCALED}, {TOTAL} SELECT company, true AS nearest, "
+            f"{C.SEGMENTS} AS n_clusters, total, true AS tighter, total_jobs FROM feat, total "
             "WHERE total_jobs >= 3 AND feature = 'total_jobs'",
         "segment_plot_data": f"WITH {FEATURES}, low AS (SELECT min(career_level) AS career_level FROM lv) "
-            "SELECT company, total_jobs, n AS first_level_jobs, true AS has_segment FROM feat, low "
-            "WHERE total_jobs >= 3 AND feature = 'level_' || low.career_level",
+            f"SELECT company, total_jobs, n AS first_level_jobs, true AS nearest, {C.SEGMENTS} AS n_clusters, true AS tighter "
+            "FROM feat, low WHERE total_jobs >= 3 AND feature = 'level_' || low.career_level",
+        "load_summary_sketched": f"{act} SELECT count(*) AS jobs, count(DISTINCT company) AS companies, "
+            "count(DISTINCT location) AS locations, (SELECT count(DISTINCT s) FROM (SELECT unnest(skills) AS s FROM act) "
+            f"WHERE trim(s) <> '') AS skills, {SEEN.format(c='min(date_first_seen)').split(' AS ')[0]} AS first_seen, "
+            f"{SEEN.format(c='max(date_first_seen)').split(' AS ')[0]} AS last_seen, true AS companies_near, "
+            "true AS locations_near, true AS skills_near FROM act",
+        "top_parts": "SELECT CAST(l_partkey AS VARCHAR) AS part, count(*) AS lines FROM lineitem GROUP BY part ORDER BY lines DESC, part "
+            "LIMIT 20",
+        "skill_pairs": act + """, m AS (SELECT job_hash, unnest(skills) AS s, unnest(range(len(skills))) AS i FROM (
+              SELECT row_number() OVER () AS job_hash, skills FROM act WHERE len(skills) >= 2)),
+            top AS (SELECT s FROM m GROUP BY s ORDER BY count(*) DESC, s LIMIT 200),
+            n AS (SELECT a.s AS skill_1, b.s AS skill_2, count(*) AS n FROM m a JOIN m b ON a.job_hash = b.job_hash
+              AND a.i <> b.i GROUP BY ALL)
+            SELECT a.s AS skill_1, b.s AS skill_2, coalesce(n, 0) AS n FROM top a CROSS JOIN top b
+            LEFT JOIN n ON skill_1 = a.s AND skill_2 = b.s""",
+        "listed_titles": f"WITH {CLEANED} SELECT seq, title FROM every WHERE lower(trim(title)) NOT IN (SELECT "
+            "lower(trim(title)) FROM every WHERE company IN ('src0', 'src3', 'src6') AND seq % 4 < 3)",
         "stream_clean": f"WITH {TAGGED} SELECT seq, title, location, historical_date, skills FROM tagged",
         "stream_dedup": f"WITH {CLEANED} SELECT seq, title, company, location, experience, job_type, salary, "
             "career_level, date_posted, keywords, md5(description) AS description, url, historical_date FROM cleaned "
