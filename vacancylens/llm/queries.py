@@ -32,4 +32,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_chat_format": chat.OP1_SQL, "op2_exact_dedup": exact_dedup.OP2_SQL,
-            "op11_line_quality": line_quality.OP11_SQL}
+            "op11_line_quality": line_quality.OP11_SQL, "op13_spelling_variants": spelling.OP13_SQL}

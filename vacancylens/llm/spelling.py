@@ -283,3 +283,32 @@ def spelling_variants(docs: DataFrame) -> DataFrame:
 
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(read(spark, folder, "documents"))
+
+
+# The crc32 of a run needs its bytes: runs hold letters of one and two bytes only.
+OP13_SQL = r"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) r(i))),
+runs AS (SELECT doc, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+    FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+spelt AS (SELECT run, n, flatten(list_transform(string_split(doc || ':' || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c) - 64] END)) AS bytes FROM runs),
+hashed AS (SELECT run, n, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295),
+    4294967295) AS h FROM spelt, crc),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 31 = 0 THEN
+    left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS MATERIALIZED (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (
+    SELECT word, CAST(unnest(range(1, length(word) + 1)) AS INT) AS i FROM v)),
+pairs AS (SELECT a.word, b.word AS near FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+    UNION SELECT cut.word, v.word FROM cut JOIN v ON rest = v.word UNION SELECT v.word, cut.word FROM cut JOIN v ON rest = v.word),
+best AS (SELECT p.word, near, v.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near FROM pairs p JOIN v ON near = v.word
+    QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, near) = 1),
+known AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * v.n THEN near END AS form,
+    CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS last FROM known UNION ALL SELECT walk.word, form FROM walk JOIN known ON last = known.word
+    WHERE form IS NOT NULL)
+SELECT k.word, k.form, walk.last AS root, k.n, k.n_near, k.form_n FROM known k JOIN walk USING (word)
+JOIN known e ON e.word = walk.last WHERE e.form IS NULL
+"""
