@@ -73,8 +73,8 @@ def test_rejects_find_copies_on_two_columns(raw):
 
 def test_no_query_uses_a_cartesian_product_or_row_python(spark):
     folder = "/root/testdata/sf0.001"
-    fits = {"role_clusters", "cluster_terms", "pca_2d", "company_segments", "segment_plot_data"}
-    writes = {n for n in catalog.queries() if n.startswith(("stream_", "csv_", "upsert_sink", "ingest_pages"))}
+    fits = {"role_clusters", "cluster_terms", "pca_2d", "pca_sparse", "company_segments", "segment_plot_data"}
+    writes = {n for n in catalog.queries() if n.startswith(("stream_", "csv_", "upsert_sink", "ingest_pages", "live_views"))}
     for name, query in catalog.queries().items():
         if name in fits | writes:
             continue

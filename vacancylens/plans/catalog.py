@@ -20,7 +20,7 @@ from ..operators import analytics as A
 from ..operators import bitmaps, clean, clusters, dedup, extract, sketches, upsert, views
 from ..operators.sparse_pca import sparse_pca
 from ..schema import ADDABLE_COLUMNS, ensure_columns
-from ..session import work_folder
+from ..session import settings, work_folder
 from ..sources import csv_files, readers
 from ..sources.live_views import LiveViews
 from ..sources.table import PostingTable
@@ -607,8 +607,9 @@ def stream_clean(spark, d):
 
 def stream_dedup(spark, d):
     folder = work_folder(spark, "stream_dedup")
-    _fed(fx.raw_postings(spark, d), folder, "seq", lambda raw: _started(
-        ingest.stream_dedup(clean.clean_postings(raw, run_ts=_ts(FIRST_RUN))), folder))
+    with settings(spark, ingest.KEYED_STATE):  # for sessions that build_session did not make
+        _fed(fx.raw_postings(spark, d), folder, "seq", lambda raw: _started(
+            ingest.stream_dedup(clean.clean_postings(raw, run_ts=_ts(FIRST_RUN))), folder))
     return _digest(_taken(spark, folder).select(
         "seq", "title", "company", "location", "experience", "job_type", "salary", "career_level",
         "date_posted", "keywords", "description", "url", "historical_date"), "description")

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..config import SKILLS, CleanConfig
 from ..functions.skills import tag_skills
 from ..operators.clean import clean_postings
-from ..session import ship_package
+from ..session import DEFAULTS, ship_package
 from ..sources.live_views import LiveViews
 from ..sources.table import PostingTable
 
@@ -24,6 +24,10 @@ def stream_clean(raw: DataFrame, cfg: CleanConfig = CleanConfig(), skills: Mappi
     return tag_skills(clean_postings(raw, cfg, run_ts), skills)
 
 
+# Keyed state needs this store; ``build_session`` sets it for all streams.
+KEYED_STATE = {key: DEFAULTS[key] for key in ("spark.sql.streaming.stateStore.providerClass",)}
+
+
 def _rank(value: object) -> tuple:
     """Sort key of an order value: NULL first, structs by their fields."""
     if value is None:
@@ -50,29 +54,31 @@ def thin(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.mapInArrow(task, df.schema)
 
 
-class FirstRow(StatefulProcessor):
-    """Lets the first row of a key through and remembers that it was there, nothing else of it."""
+def first_row(order: str, at: str | None, forget: int) -> StatefulProcessor:
+    """Lets the first row of a key through and remembers that it was there, nothing else of it.
 
-    def __init__(self, order: str, at: str | None, forget: int):
-        self.order, self.at, self.forget = order, at, forget
+    The class travels by value: the process that prepares the state may not have this package.
+    """
+    class FirstRow(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle, self.seen = handle, handle.getValueState("seen", "there boolean")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.seen = handle, handle.getValueState("seen", "there boolean")
+        def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
+            first = min(rows, key=lambda r: (r[order] is not None, r[order]))
+            if not self.seen.exists():
+                self.seen.update((True,))
+                if at is not None and first[at] is not None:
+                    self.handle.registerTimer(int(first[at].timestamp() * 1000) + forget)
+                yield first
 
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
-        first = min(rows, key=lambda r: (r[self.order] is not None, r[self.order]))
-        if not self.seen.exists():
-            self.seen.update((True,))
-            if self.at is not None and first[self.at] is not None:
-                self.handle.registerTimer(int(first[self.at].timestamp() * 1000) + self.forget)
-            yield first
+        def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
+            self.seen.clear()
+            return iter(())
 
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:
-        self.seen.clear()
-        return iter(())
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return FirstRow()
 
 
 def stream_dedup(postings: DataFrame, order: str = "seq", watermark: str | None = None, delay: str = "1 day",
@@ -83,11 +89,12 @@ def stream_dedup(postings: DataFrame, order: str = "seq", watermark: str | None
     state of a URL is the URL, whatever its rows hold.  Copies of a hot URL are thinned out by the
     tasks that read them.  With a ``watermark`` column (a timestamp) rows more than ``delay`` late
     are dropped, and a URL is forgotten ``forget`` after its first row: one that comes later is new.
+    The session needs the settings of ``KEYED_STATE``.
     """
     keyed = thin(postings.withColumn("url", F.coalesce("url", F.lit(""))), "url", order)
     if watermark is not None:
         keyed = keyed.withWatermark(watermark, delay)
-    first = FirstRow(order, watermark, int(forget.total_seconds() * 1000))
+    first = first_row(order, watermark, int(forget.total_seconds() * 1000))
     return keyed.groupBy("url").transformWithState(first, keyed.schema, "Append", "None" if watermark is None else "EventTime")
 
 
