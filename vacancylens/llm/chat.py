@@ -17,10 +17,10 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Batches, in_arrow, read, to_batch
+from .common import Batches, in_arrow, kept_table, read, to_batch
 
 Turn = tuple[str, str]
 Template = Callable[[Sequence[Turn]], str]
@@ -73,19 +73,20 @@ def _text_place(template: Template, before: Sequence[Turn], role: str) -> tuple[
     return (a[:at], a[at + 1:]) if a[at:at + 1] == "a" and a[at + 1:] == b[at + 1:] else None
 
 
-def render(turns: Sequence[Turn], template: Template, loss_roles: Iterable[str] = ()) -> Rendered:
-    """Render all prefixes, two outputs at a time, and locate every turn.
+def render_stretch(turns: Sequence[Turn], template: Template, loss_roles: Iterable[str], first: int,
+                   last: int) -> tuple[str, list[tuple], list[tuple[int, int]]]:
+    """Render the prefixes that end with turns ``first`` up to ``last``, two outputs at a time.
 
-    ``text_start`` and ``text_stop`` are found for turns of ``loss_roles`` only.
+    Returns the last output, a span per turn, and (turn, start) of every rewrite: the turn whose
+    output differs from the one before, and where.
     """
-    before, spans, first = template([]), [], None
-    for k in range(len(turns)):
+    before, spans, rewrites = template(turns[:first]), [], []
+    for k in range(first, last):
         after = template(turns[:k + 1])
         start = len(before)
         if not after.startswith(before):
             start = len(os.path.commonprefix([before, after]))
-            spans = [s for s in spans if s[3] <= start]
-            first = k if first is None else first
+            rewrites.append((k, start))
         role, place = turns[k][0], None
         if role in loss_roles:
             place = _text_place(template, turns[:k], role)
@@ -95,7 +96,27 @@ def render(turns: Sequence[Turn], template: Template, loss_roles: Iterable[str]
             inside = (len(place[0]), len(after) - len(place[1]))
         spans.append((k, role, start, len(after), *inside))
         before = after
-    return Rendered(before, spans, first)
+    return before, spans, rewrites
+
+
+def untouched(spans: Iterable[tuple], rewrites: Iterable[tuple[int, int]]) -> list[tuple]:
+    """The spans that no later turn rewrote; both come in order of turns."""
+    kept: list[tuple] = []
+    where = dict(rewrites)
+    for span in spans:
+        while kept and span[0] in where and kept[-1][3] > where[span[0]]:
+            kept.pop()
+        kept.append(span)
+    return kept
+
+
+def render(turns: Sequence[Turn], template: Template, loss_roles: Iterable[str] = ()) -> Rendered:
+    """Render all prefixes and locate every turn.
+
+    ``text_start`` and ``text_stop`` are found for turns of ``loss_roles`` only.
+    """
+    formatted, spans, rewrites = render_stretch(turns, template, loss_roles, 0, len(turns))
+    return Rendered(formatted, untouched(spans, rewrites), rewrites[0][0] if rewrites else None)
 
 
 def _conversations(batches: Batches) -> Iterator[tuple[int | None, list[Turn]]]:
@@ -113,44 +134,119 @@ def _conversations(batches: Batches) -> Iterator[tuple[int | None, list[Turn]]]:
         yield current, turns
 
 
+_SPAN = pa.list_(pa.struct([("turn", pa.int32()), ("role", pa.string()), *(
+    (n, pa.int64()) for n in ("start", "stop", "text_start", "text_stop"))]))
+_SPAN_NAMES = ("turn", "role", "start", "stop", "text_start", "text_stop")
+_FORMATTED = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("formatted", pa.string()), ("spans", _SPAN),
+                        ("rewrites_history", pa.bool_()), ("first_rewrite", pa.int32())])
+
+
+def _row(conv: int | None, n_turns: int, done: Rendered) -> tuple:
+    return (conv, n_turns, done.formatted, [dict(zip(_SPAN_NAMES, s)) for s in done.spans],
+            done.first_rewrite is not None, done.first_rewrite)
+
+
+def _flushed(rows: Iterator[tuple], schema: pa.Schema, size: Callable[[tuple], int]) -> Batches:
+    """Rows in batches of about 4 MB."""
+    out, held = [], 0
+    for row in rows:
+        out.append(row)
+        held += size(row)
+        if held > 4 << 20 or len(out) >= 1000:
+            yield to_batch(schema, *(list(c) for c in zip(*out)))
+            out, held = [], 0
+    if out:
+        yield to_batch(schema, *(list(c) for c in zip(*out)))
+
+
+def _formatted_long(turns: DataFrame, template: Template, roles: frozenset, stretch: int, stretches: int) -> DataFrame:
+    """Conversations whose prefixes are rendered by several tasks, ``stretch`` turns by each.
+
+    ``turns`` has ``conv_id, role, text``, the turn's place ``i`` and the number of turns ``n``.  A task
+    holds the conversation up to its last turn; the spans are joined by turn afterwards.
+    """
+    part = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("n_turns", pa.int64()), ("formatted", pa.string()),
+                      ("spans", _SPAN), ("rewrites", pa.list_(pa.struct([("turn", pa.int32()), ("start", pa.int64())])))])
+
+    def task(batches: Batches) -> Batches:
+        def rows() -> Iterator[tuple]:
+            at, held, n = None, [], 0
+
+            def done() -> tuple:
+                first = at[1] * stretch
+                text, spans, rewrites = render_stretch(held, template, roles, first, len(held))
+                return (*at, n, text if len(held) == n else None, [dict(zip(_SPAN_NAMES, s)) for s in spans],
+                        [dict(zip(("turn", "start"), r)) for r in rewrites])
+            for batch in batches:
+                for conv, place, size, role, text in zip(*(c.to_pylist() for c in batch.columns)):
+                    if at is not None and at != (conv, place):
+                        yield done()
+                        held = []
+                    at, n = (conv, place), size
+                    held.append((role, text))
+            if at is not None:
+                yield done()
+        yield from _flushed(rows(), part, lambda r: len(r[3] or "") + 100 * len(r[4]))
+
+    def join(batches: Batches) -> Batches:
+        def rows() -> Iterator[tuple]:
+            at, spans, rewrites, last = None, [], [], None
+            for batch in batches:
+                for row in batch.to_pylist():
+                    if at is not None and at[0] != row["conv_id"]:
+                        yield _row(*at, Rendered(last, untouched(spans, rewrites), rewrites[0][0] if rewrites else None))
+                        spans, rewrites = [], []
+                    at, last = (row["conv_id"], row["n_turns"]), row["formatted"]
+                    spans += [tuple(s[c] for c in _SPAN_NAMES) for s in row["spans"]]
+                    rewrites += [(r["turn"], r["start"]) for r in row["rewrites"]]
+            if at is not None:
+                yield _row(*at, Rendered(last, untouched(spans, rewrites), rewrites[0][0] if rewrites else None))
+        yield from _flushed(rows(), _FORMATTED, lambda r: len(r[2]) + 100 * len(r[3]))
+
+    # A turn is needed by the stretch it stands in and by all later ones.
+    needed = turns.select("conv_id", F.explode(F.sequence(F.floor(F.col("i") / stretch), F.floor(
+        (F.col("n") - 1) / stretch))).alias("part"), "n", "role", "text", "i")
+    # The work is in the rendering, not in the bytes: a task for each stretch, up to a few thousand.
+    parts = in_arrow(needed.repartition(min(stretches, 4096), "conv_id", "part").sortWithinPartitions("conv_id", "part", "i").select(
+        "conv_id", "part", "n", "role", "text"), task, (
+        f"conv_id long, part long, n_turns long, formatted string, spans {SPANS}, "
+        "rewrites array<struct<turn:int,start:long>>"))
+    return in_arrow(parts.repartition("conv_id").sortWithinPartitions("conv_id", "part"), join, SCHEMA)
+
+
 def format_conversations(rows: DataFrame, template: Template = marked_turns,
-                         loss_roles: Sequence[str] = ("assistant",)) -> DataFrame:
+                         loss_roles: Sequence[str] = ("assistant",), stretch: int = 256) -> DataFrame:
     """One row per ``conv_id``: the rendered text and the span of each turn.
 
     ``rows`` has ``conv_id, turn, role, text``; other columns are ignored.  Turns are
     taken in order of (turn, role, text), NULLs first; repeated rows are turns of their
     own.  A NULL role or text counts as empty, NULL ids make one conversation, an empty
     table gives no rows.  Rows are sorted by Spark and streamed: a task holds one
-    conversation and two of its renderings, never a partition.
+    conversation and two of its renderings, never a partition.  The prefixes of a conversation of
+    more than ``stretch`` turns are dealt to several tasks, so many turns to each.
     """
     roles = frozenset(loss_roles)
-    schema = pa.schema([
-        ("conv_id", pa.int64()), ("n_turns", pa.int64()), ("formatted", pa.string()),
-        ("spans", pa.list_(pa.struct([("turn", pa.int32()), ("role", pa.string()), *(
-            (n, pa.int64()) for n in ("start", "stop", "text_start", "text_stop"))]))),
-        ("rewrites_history", pa.bool_()), ("first_rewrite", pa.int32())])
-    names = ("turn", "role", "start", "stop", "text_start", "text_stop")
 
     def task(batches: Batches) -> Batches:
-        out, held = [], 0
-
-        def flush():
-            return to_batch(schema, *(list(c) for c in zip(*out)))
-        for conv, turns in _conversations(batches):
-            done = render(turns, template, roles)
-            out.append((conv, len(turns), done.formatted, [dict(zip(names, s)) for s in done.spans],
-                        done.first_rewrite is not None, done.first_rewrite))
-            held += len(done.formatted)
-            if held > 4 << 20 or len(out) >= 1000:
-                yield flush()
-                out, held = [], 0
-        if out:
-            yield flush()
+        rendered = (_row(conv, len(turns), render(turns, template, roles)) for conv, turns in _conversations(batches))
+        yield from _flushed(rendered, _FORMATTED, lambda r: len(r[2]))
 
     plain = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
-    ordered = plain.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return in_arrow(ordered.select("conv_id", "role", "text"), task, SCHEMA)
+    sizes = kept_table(plain.groupBy("conv_id").agg(F.count("*").alias("n")).filter(F.col("n") > stretch), "long-conversations")
+    short, stretches = plain, sizes.agg(F.sum(F.ceil(F.col("n") / stretch))).first()[0]
+    if stretches:
+        same = plain["conv_id"].eqNullSafe(sizes["conv_id"])
+        short = plain.join(sizes, same, "left_anti")
+    ordered = short.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    formatted = in_arrow(ordered.select("conv_id", "role", "text"), task, SCHEMA)
+    if short is plain:
+        return formatted
+    # Numbering sorts a long conversation in one task, on disk if need be; a stretch needs it whole anyway.
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    turns = plain.join(sizes, same).select(plain["conv_id"], "turn", "role", "text", "n").withColumn(
+        "i", F.row_number().over(order) - 1)
+    return formatted.unionAll(_formatted_long(turns, template, roles, stretch, stretches))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
