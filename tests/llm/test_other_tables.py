@@ -204,4 +204,4 @@ def test_components_of_chains_stars_and_cycles(spark):
 
 def test_one_query_per_operator():
     names = [n for n in entry_points.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry_points.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry_points.queries()
