@@ -1,6 +1,7 @@
 """The url model on a list of its own: no word of a host or path in common with the labelled table.
 
-Words that also stood in the table were replaced, on either side, before the figures were taken.
+The list is the second of its kind: the first one's words went into the table.  Words that also stood in
+the table were replaced, on either side, before the figures were taken, which were taken once.
 """
 
 import re
@@ -10,36 +11,32 @@ import pyarrow.parquet as pq
 from vacancylens.llm import url_filter
 
 BLOCKED = """
-www.craps-wheel.com/wager croupier-stakes.net/tournament/register gamblers-paradise.org/deposit
-bookmaker-tipster.co.uk/match/today scratchcards.ru/ticket megaslots.biz/vip wagering-arena.biz/
-ambien-overnight.com/checkout levitra-tabs.net/cart valium-rx.org/shipping slimming-capsules.co/testimonials
-painkillers-usa.biz/ testosterone-booster.biz/ pornstars-uncut.com/clip/99 sexy-babes.net/portrait/lena
-camgirls-private.tv/chamber/5 fetish-lust.org/pics stripper-pics.com/set/3 kinky-amateurs.xxx/ swingers-hookup.net/join
-adclicks-counter.com/imp.js popups-dispatch.net/zone/4 impression-tags.io/t.js monetize-visitors.com/embed
-backlinking-packages.com/prices serp-booster.net/plans spam-mailer.org/start mass-comments-bot.com/
-lenders-badcredit.com/quote loans-today.net/form fxrobot-millionaire.com/ earn-dollars.biz/secrets
-hyip-invest.com/roi counterfeit-watches.cn/omega imitation-purses.com/gucci jerseys-wholesale.cn/nfl
-serialz-patch.com/adobe pirated-games.to/iso cracks-unlock.net/windows appleid-locked.com/signin
-bankofamerica-unlock.biz/session sweepstakes-entry.com/congratulations freebies-voucher.net/amazon
-malware-removal-hotline.com/call flashplayer-upgrade.net/setup.exe
+www.pokies.com/lobby punters-bets.net/accumulator keno-draws.org/ sportsbetting-wagers.co.uk/
+casinos-royal.biz/welcome rummy-tournaments.net/chips slotspins.ru/machine bettors-lounge.org/picks
+sildenafil-generics.com/ tadalafil-pharma.net/dosage oxycodone-orders.biz/ phentermine.co/tablets
+hydrocodone.org/stock anabolic-roids.biz/cycles viagras.net/price botox-injections.com/specials sexcams.com/models
+porno.net/latest nudes-leaked.org/ hookups.net/meet escorting.tv/rates erotica-chats.xxx/rooms
+pornographic-clips.com/new webcams.net/show adserver-rotator.com/ popads-zone.net/tag clicktracking.io/b.gif
+trackers-pixels.net/collect affiliates-payouts.com/join bannerads-swap.org/ backlinker-pro.net/
+seoranking-tricks.com/ bulkmailer-send.net/lists spamblaster.org/run paydayloans.com/lend creditscore-fixers.net/
+forexsignals.biz/ bitcoins-doubling.net/ replicas.cn/catalogue fakes-handbag.com/leather warezsite-files.to/all
+torrents-hub.net/seed keygens-cracker.net/patches accountverify-alerts.com/ prizewinner-claims.net/collect-now
+antivirus-popup.com/fix
 """.split()
 ALLOWED = """
-www.orchards-of-kent.co.uk/varieties lighthouse-keepers.org/tours cathedral-music.eu/programme
-geology-maps.edu/sheets/14 volcano-observatory.gov/bulletins river-anglers.net/permits bookbinders-guild.org/courses
-pottery-studio.com/kilns harbourmaster.gov/tides ornithology-bulletin.org/volume/31 watercolour-painting.net/brushes
-carpentry-basics.com/joints hamlet-hall.org/bookings parliament-debates.gov/hansard translators-association.eu/rates
-mathematicians.edu/seminar/topology quantum-optics.edu/people genetics-laboratory.ac.uk/protocols
-veterinary-clinic.com/cats midwives-association.org/guidance optician-corner.co.uk/lenses
-physiotherapy.net/exercises/back vegan-cookery.com/lentils pasta-and-sauces.it/ragu brewing-at-hometown.org/malt
-sourdough-starter.net/flour sailing-yachts.com/regatta skiing-resorts.at/snow canoe-trails.ca/portage
-rugby-sevens.org/fixtures gymnastics-academy.com/juniors cricket-scores.in/innings marathon-runners.net/times
-municipality-services.gov/waste census-statistics.gov/population electoral-register.org/voters
-grammar-exercises.com/verbs latin-dictionary.net/amo kindergarten-songs.org/lyrics scholarship-trust.org/grants
-opera-house.at/season violin-makers.it/varnish novelists.org/interviews cinema-silent.fr/lumiere
-compiler-design.org/parsing python-tutorials.net/loops kernel-hackers.org/patches typography-handbook.com/serifs
-upholstery.co.uk/fabrics locksmiths.com/keys saddlery.ie/leather stationery-cupboard.com/pens
-pension-scheme.co.uk/contributions notary-public.org/deeds surveyors.com/boundaries electricians.net/wiring
-butterflies.org/species aquarium-fish.com/tanks genealogy-trees.net/surnames origami-folding.jp/crane
+www.apiarists.co.uk/hives windmill-preservation.org/sails cloister-gardens.eu/herbs glaciologists.edu/cores
+tide-tables.gov/ports trout-streams.net/hatches papermaking.org/pulp ceramics.com/glazes lifeboat-crews.org/rescues
+raptor-sightings.net/kites woodcarvers.org/chisels parishioners.org/hymnal interpreters.eu/glossary
+algebraists.edu/rings neuroscientists.ac.uk/synapses paediatric-nurses.org/wards audiologists.co.uk/hearing
+pilates-classes.net/mats gluten-dough.com/crusts risotto-kitchens.it/rice cider-presses.org/apples-varieties
+dinghy-sailors.com/moorings alpine-huts.at/ kayakers.ca/rapids netball-leagues.org/umpires orienteering.net/controls
+decathletes.org/javelin bin-collections.gov/weeks archivists.gov/parchment ballots.org/polling
+spelling-bee.com/vowels sanskrit-readers.net/verses nursery-rhymes.org/tunes bursary.org/applicants
+ballet-company.at/premieres luthiers.it/fretboards playwrights.org/ documentary.fr/reels parsers.org/tokens
+javascript.net/closures firmware-builders.org/bootloader letterpress.com/inks weavers-loom.co.uk/warp
+cobblers.com/soles harness.ie/bridles pens.com/nibs annuities.co.uk/retirement conveyancers.org/titles
+land.com/parcels roofers.net/slates moths-count.org/larvae koi-ponds.com/filters ancestors.net/baptisms
+jigsaw.jp/pieces lichen.org/spores granary.eu/mill tramways.org/depots meteorologists.edu/isobars
 """.split()
 
 
@@ -74,4 +71,4 @@ def test_accuracy_on_the_list(record_property):
     record_property("caught", caught)
     record_property("wrongly", wrongly)
     print(f"blocked {caught:.3f} of {len(BLOCKED)}, wrongly {wrongly:.3f} of {len(ALLOWED)}")
-    assert (caught + 1 - wrongly) / 2 > 0.6
+    assert caught >= 0.8 and wrongly <= 0.3

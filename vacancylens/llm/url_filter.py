@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -50,6 +51,13 @@ warez-download keygen-serials cracked-software torrent-movies-free nulled-script
 account-verify-login secure-update-billing paypal-confirm wallet-recover-support password-reset-alert
 you-won-iphone free-gift-card-claim survey-rewards prize-draw-winner lucky-visitor
 virus-scan-alert pc-cleaner-download driver-updater-free codec-installer toolbar-install
+craps-wheel croupier-stakes gamblers-paradise bookmaker-tipster scratchcards megaslots wagering-arena
+ambien-overnight levitra-tabs valium-rx slimming-capsules painkillers-usa testosterone-booster pornstars-uncut
+sexy-babes camgirls-private fetish-lust stripper-pics kinky-amateurs swingers-hookup adclicks-counter
+popups-dispatch impression-tags monetize-visitors backlinking-packages serp-booster spam-mailer mass-comments-bot
+lenders-badcredit loans-today fxrobot-millionaire earn-dollars hyip-invest counterfeit-watches imitation-purses
+jerseys-wholesale serialz-patch pirated-games cracks-unlock appleid-locked bankofamerica-unlock sweepstakes-entry
+freebies-voucher malware-removal-hotline flashplayer-upgrade
 """.split()
 _ALLOWED_NAMES = """
 city-library county-museum national-archive art-gallery history-society science-centre botanical-garden zoo-friends
@@ -67,6 +75,15 @@ open-source-software programming-guide database-manual linux-users web-standards
 furniture-maker bicycle-shop garden-tools wool-and-yarn shoe-repair toy-store paper-supplies hardware-depot
 savings-bank insurance-advice accounting-office law-firm building-contractor engineering-works plumbing-service
 bird-watching rose-growers bee-keeping model-railway stamp-collectors knitting-patterns photo-album
+orchards-of-kent lighthouse-keepers cathedral-music geology-maps volcano-observatory river-anglers bookbinders-guild
+pottery-studio harbourmaster ornithology-bulletin watercolour-painting carpentry-basics hamlet-hall
+parliament-debates translators-association mathematicians quantum-optics genetics-laboratory veterinary-clinic
+midwives-association optician-corner physiotherapy vegan-cookery pasta-and-sauces brewing-at-hometown
+sourdough-starter sailing-yachts skiing-resorts canoe-trails rugby-sevens gymnastics-academy cricket-scores
+marathon-runners municipality-services census-statistics electoral-register grammar-exercises latin-dictionary
+kindergarten-songs scholarship-trust opera-house violin-makers novelists cinema-silent compiler-design
+python-tutorials kernel-hackers typography-handbook upholstery locksmiths saddlery stationery-cupboard
+pension-scheme notary-public surveyors electricians butterflies aquarium-fish genealogy-trees origami-folding
 """.split()
 # Most sites are named after none of these kinds: ordinary nouns, one site each.
 _ALLOWED_NAMES += """
@@ -137,11 +154,19 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
+_WORDS = re.compile(r"[^\W_]+")
+
+
 def _grams(text: str, seed: int, sizes: Sequence[int], buckets: int) -> np.ndarray:
-    """Buckets of the character n-grams of ``^text$``; none for an empty text."""
-    if not text:
+    """Buckets of the character n-grams of ``^word$`` of every word; none for a text without words.
+
+    What stands between words says how a url is built, not what it is about.
+    """
+    words = _WORDS.findall(text.lower())
+    if not words:
         return np.empty(0, np.int64)
-    points = np.frombuffer(f"^{text}$".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    points = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    ends = np.cumsum(points == ord("$"))
     out = []
     for n in sizes:
         if len(points) >= n:
@@ -149,7 +174,9 @@ def _grams(text: str, seed: int, sizes: Sequence[int], buckets: int) -> np.ndarr
             for k in range(n):
                 h = (h ^ points[k:len(points) - n + 1 + k]) * _STEP
             h ^= h >> np.uint64(31)
-            out.append(((h * _MIX) >> np.uint64(33)) % np.uint64(buckets))
+            # An end of a word stands nowhere but at the end of an n-gram.
+            within = ends[n - 2:len(ends) - 1] - ends[:len(points) - n + 1] + (points[:len(points) - n + 1] == ord("$")) == 0
+            out.append((((h * _MIX) >> np.uint64(33)) % np.uint64(buckets))[within])
     return np.concatenate(out).astype(np.int64) if out else np.empty(0, np.int64)
 
 
