@@ -2,9 +2,12 @@
 
 Every element subtree of a page is hashed.  Spark counts, per host, on how many
 different pages each hash stands; a subtree that recurs on half of them is part of the
-site's template and is deleted, and so is, outside an article, a container on three pages.  Paragraphs and headings inside the article are
-never judged by recurrence, so a line that many articles share stays.  Menus, adverts,
-forms and the like that change from page to page are told by their tag, role or class.
+site's template and is deleted, and so is, outside an article, a container on three pages.
+A menu changes its words from page to page, not its build: subtrees whose text is all in links
+are counted by their structure, too, which is tags, classes and place without the words.
+Paragraphs and headings inside the article are never judged by recurrence, so a line that many
+articles share stays.  What does not recur is told by its tag, role or class: adverts, forms, and the
+menus of hosts with a page or two.
 """
 
 from __future__ import annotations
@@ -15,14 +18,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Batches, in_arrow, kept_table, pieces, read, text_or_empty, to_batch
 from .url_filter import host_of
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_START = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/><]*))")
+_REST = re.compile("((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")  # of a tag whose quotes are closed
+_STOP = re.compile("[<>\"']")
+_BARE_STOP = re.compile("[<>]")
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 # Names that say how the page is laid out or filed, not what the element is: no-sidebar, page--has-menu, tag-social.
@@ -58,6 +64,9 @@ _OWN_WORDS = frozenset("comment comments disqus replies respond related recommen
 _CONTAINERS = frozenset("div section ul ol dl table figure details fieldset center".split())
 _ROOTS = frozenset("html body article main".split())
 
+# Of these, what a page tells without its template: menus and the like by their names.
+_NAMED_TAGS = frozenset("nav footer aside form dialog menu".split())
+
 # Left out without ending the block they stand in.
 _UNSEEN = frozenset("script style noscript template iframe svg math canvas object embed audio video select option "
                     "button textarea input title".split())
@@ -65,6 +74,47 @@ _UNSEEN = frozenset("script style noscript template iframe svg math canvas objec
 OPEN, CLOSE, TEXT, BREAK = 0, 1, 2, 3
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, "/" or "", tag, what follows its name) of tags in one pass; comments have no name.
+
+    A tag ends at the first ``>`` outside quotes, or before the next ``<`` outside them.  A quote that is
+    never closed is no quote, nor is any before it, so that no part of a page is read over and over.
+    After ``send(place)`` the next tag starts there or later.
+    """
+    at, plain_until = 0, -1
+    while m := _START.search(page, at):
+        start, at = m.start(), m.end()
+        if m[1] or m[2]:
+            end = page.find("-->" if m[1] else ">", at)
+            at = len(page) if end < 0 else end + (3 if m[1] else 1)
+            if end < 0 and m[2]:
+                return  # nothing that ends a tag is left
+            sent = yield start, at, "", "", ""
+        elif at >= plain_until and (rest := _REST.match(page, at)):
+            at = rest.end()
+            sent = yield start, at, m[3], m[4].lower(), rest[1]
+        else:
+            place, end = at, -1
+            while end < 0:
+                stop = (_BARE_STOP if place < plain_until else _STOP).search(page, place)
+                if stop is None:
+                    return
+                if stop[0] in "<>":
+                    end = stop.start()
+                else:
+                    closing = page.find(stop[0], stop.end())
+                    if closing < 0:
+                        plain_until, place = stop.end(), at
+                    else:
+                        place = closing + 1
+            name_end = at
+            at = end + (page[end] == ">")
+            sent = yield start, at, m[3], m[4].lower(), page[name_end:end]
+        if sent is not None:
+            at = sent
+            yield at, at, "", "", ""
+
+
 def events(page: str) -> list[tuple]:
     """(OPEN, tag, words of class, id and role), (CLOSE, tag) and (TEXT, text) in page order.
 
@@ -72,40 +122,39 @@ def events(page: str) -> list[tuple]:
     """
     out: list[tuple] = []
     stack: list[str] = []
+    places: dict[str, list[int]] = {}  # of the open elements of each name
+
+    def open_element(tag: str) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        stack.append(tag)
+
+    def close_to(depth: int) -> None:
+        while len(stack) > depth:
+            name = stack.pop()
+            places[name].pop()
+            out.append((CLOSE, name))
 
-    def close(count: int) -> None:
-        for _ in range(count):
-            out.append((CLOSE, stack.pop()))
+    def innermost(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
 
     def close_back_to(names, barriers) -> None:
-        for depth, name in enumerate(reversed(stack), 1):
-            if name in names:
-                close(depth)
-                return
-            if name in barriers:
-                return
+        depth = innermost(names)
+        if depth >= 0 and depth > innermost(barriers):
+            close_to(depth)
 
     at = 0
-    while True:
-        m = _TAG.search(page, at)
-        if m is None:
-            break
-        if m.start() > at:
-            out.append((TEXT, page[at:m.start()]))
-        at = m.end()
-        ending, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+    found = tags(page)
+    for start, end, ending, tag, rest in found:
+        if start > at:
+            out.append((TEXT, page[at:start]))
+        at = end
         if not tag:
             continue
-        tag = tag.lower()
         if ending:
-            if tag in _VOID:
-                continue
-            for depth, name in enumerate(reversed(stack), 1):
-                if name == tag:
-                    close(depth)
-                    break
+            if tag not in _VOID and places.get(tag):
+                close_to(places[tag][-1])
             continue
-        if tag in _ENDS_P and "p" in stack:
+        if tag in _ENDS_P and places.get("p"):
             close_back_to({"p"}, _P_SCOPE)
         if tag in _CLOSES:
             close_back_to(*_CLOSES[tag])
@@ -120,18 +169,16 @@ def events(page: str) -> list[tuple]:
         elif tag in _RAW:
             end = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
             out.append((CLOSE, tag))
-            if end is None:
-                at = len(page)
-            else:
-                gt = page.find(">", end.end())
-                at = len(page) if gt < 0 else gt + 1
+            gt = page.find(">", end.end()) if end else -1
+            at = len(page) if gt < 0 else gt + 1
+            found.send(at)
         elif not rest.endswith("/") or tag in _ENDS_P or tag in _INLINE:
-            stack.append(tag)
+            open_element(tag)
         else:
             out.append((CLOSE, tag))
     if at < len(page):
         out.append((TEXT, page[at:]))
-    close(len(stack))
+    close_to(0)
     return out
 
 
@@ -156,7 +203,43 @@ def digests(page: list[tuple]) -> dict[int, int]:
     return out
 
 
-def _boilerplate(tag: str, words: tuple, inside: bool) -> bool:
+def shapes(page: list[tuple], least: int = 2) -> dict[int, int]:
+    """Hash of the structure of each block whose text is all in ``least`` links or more, by its place.
+
+    The structure is the tags and classes on the way to the block, its own, and the tags below
+    it; a run of children of one build counts once, so the number of links does not matter.
+    """
+    out: dict[int, int] = {}
+    # Of each open element: place, way to it, tag, children's builds, links, text outside links.
+    stack: list[list] = [[-1, 0, "", [], 0, False]]
+    in_link = 0
+    for i, event in enumerate(page):
+        if event[0] == OPEN:
+            way = xxhash.xxh64_intdigest(repr((stack[-1][1], event[1:])).encode("utf-8", "surrogatepass"))
+            stack.append([i, way, event[1], [], 0, False])
+            in_link += event[1] == "a"
+        elif event[0] == TEXT:
+            if not in_link and not event[1].isspace():
+                stack[-1][5] = True
+        else:
+            at, way, tag, below, links, plain = stack.pop()
+            if tag == "a":
+                in_link -= 1
+                links += 1
+            build = xxhash.xxh64_intdigest(repr((tag, below)).encode("utf-8", "surrogatepass"))
+            if links >= least and not plain and tag not in _INLINE and tag not in _ROOTS:
+                out[at] = xxhash.xxh64_intdigest(repr((way, build)).encode()) - (1 << 63)
+            over = stack[-1]
+            if not over[3] or over[3][-1] != build:
+                over[3].append(build)
+            over[4] += links
+            over[5] |= plain
+    return out
+
+
+def _boilerplate(tag: str, words: tuple, inside: bool, names: bool = True) -> bool:
+    if not names:
+        return tag in _DROP_TAGS and tag not in _NAMED_TAGS
     if tag in _DROP_TAGS or (tag == "header" and not inside):
         return True
     if tag in _ROOTS:
@@ -222,27 +305,27 @@ def _spared(page: list[tuple]) -> set[int]:
             or chars > whole * (0.9 if own or rooted else 0.5)}
 
 
-def _kept(page: list[tuple]) -> Iterator[tuple[int, tuple, bool]]:
+def _kept(page: list[tuple], names: bool = True) -> Iterator[tuple[int, tuple, bool]]:
     """Events that boilerplate rules leave, with whether they stand in the article (or main part).
 
     A block that is left out leaves a BREAK.
     """
     # The article is where the text is; without one the main part; without that the body.
-    spared = _spared(page)
+    spared = _spared(page) if names else set()
     roots, dropped = set(), 0
     for i, event in enumerate(page):
         if event[0] == OPEN:
-            if dropped or (_boilerplate(event[1], event[2], True) and i not in spared):
+            if dropped or (_boilerplate(event[1], event[2], True, names) and i not in spared):
                 dropped += 1
             elif event[1] in ("article", "main") or ("role", "main") in event[2]:
                 roots.add("article" if event[1] == "article" else "main")
         elif event[0] == CLOSE and dropped:
             dropped -= 1
-    root = "article" if "article" in roots else "main" if roots else None
+    root = None if not names else "article" if "article" in roots else "main" if roots else None
     stack, inside, dropped = [], 0, 0
     for i, event in enumerate(page):
         if event[0] == OPEN:
-            if dropped or (_boilerplate(event[1], event[2], inside > 0) and i not in spared):
+            if dropped or (_boilerplate(event[1], event[2], inside > 0, names) and i not in spared):
                 dropped += 1
                 if dropped == 1 and event[1] not in _UNSEEN:
                     yield i, (BREAK, event[1]), root is None or inside > 0
@@ -262,25 +345,40 @@ def _kept(page: list[tuple]) -> Iterator[tuple[int, tuple, bool]]:
 
 
 def main_text(page: list[tuple], template: frozenset | set = frozenset(),
-              few: frozenset | set = frozenset()) -> str:
+              few: frozenset | set = frozenset(), names: bool = True) -> str:
     """The article's blocks in page order, joined by blanks; subtrees of the template are left out.
 
-    ``few`` has subtrees that stand on some pages only: of these, containers outside an
-    article go, unless that takes more than half of the text.  A page that is nothing but template
-    keeps its text.
+    ``few`` has subtrees that stand on some pages only, and structures of links that recur: of these,
+    blocks outside an article go, unless that takes more than half of the text.  A page that is
+    nothing but template keeps its text.  Without ``names`` only recurrence tells what is boilerplate,
+    and an article is an element like others.
     """
-    hashed = digests(page) if template or few else {}
-    said = _said(page, hashed, template, frozenset())
+    hashed, built = (digests(page), shapes(page)) if template or few else ({}, {})
+    said = _said(page, hashed, built, template, frozenset(), names)
     if not said and template:
-        return _said(page, hashed, frozenset(), frozenset())
-    less = _said(page, hashed, template, few) if few else said
+        return _said(page, hashed, built, frozenset(), frozenset(), names)
+    less = _said(page, hashed, built, template, few, names) if few else said
     return less if 2 * len(less) >= len(said) else said
 
 
-def _said(page: list[tuple], hashed: dict[int, int], template: frozenset | set, few: frozenset | set) -> str:
-    has_root = any(e[0] == OPEN and (e[1] in ("article", "main") or ("role", "main") in e[2]) for e in page)
+def _has_root(page: list[tuple]) -> bool:
+    return any(e[0] == OPEN and (e[1] in ("article", "main") or ("role", "main") in e[2]) for e in page)
+
+
+def judged(page: list[tuple]) -> set[int]:
+    """Places of the elements that recurrence may delete: all blocks but an article's own paragraphs and headings."""
+    own = set()
+    if _has_root(page):
+        own = {i for i, event, wanted in _kept(page) if wanted and event[0] == OPEN and event[1] not in _CONTAINERS}
+    return {i for i, event in enumerate(page) if event[0] == OPEN and i not in own and event[1] not in _INLINE
+            and event[1] not in _ROOTS and event[1] not in ("head", "title", "meta")}
+
+
+def _said(page: list[tuple], hashed: dict[int, int], built: dict[int, int], template: frozenset | set,
+          few: frozenset | set, names: bool) -> str:
+    has_root = names and _has_root(page)
     blocks, current, gone = [], [], 0
-    for i, event, wanted in _kept(page):
+    for i, event, wanted in _kept(page, names):
         if gone:
             gone += (event[0] == OPEN) - (event[0] == CLOSE)
             continue
@@ -295,7 +393,8 @@ def _said(page: list[tuple], hashed: dict[int, int], template: frozenset | set,
             body = wanted and has_root
             digest = hashed.get(i)
             if (digest in template and (event[1] in _CONTAINERS or not body)) or (
-                    digest in few and event[1] in _CONTAINERS and not body):
+                    digest in few and event[1] in _CONTAINERS and not body) or (
+                    not body and built.get(i) in few):
                 gone = 1
     blocks.append("".join(current))
     joined = [" ".join(html.unescape(b).split()) for b in blocks]
@@ -313,24 +412,29 @@ def _plain(pages: DataFrame) -> DataFrame:
                             "copy", F.xxhash64("host", "html"))
 
 
-def site_templates(pages: DataFrame, share: float = 0.5, least: int = 3) -> DataFrame:
+def site_templates(pages: DataFrame, share: float = 0.5, least: int = 3, names: bool = True) -> DataFrame:
     """``copy, template, few``: of each different page with a host, the hashes of its subtrees that recur there.
 
     A subtree recurs if it stands on at least ``least`` different pages of its host;
-    ``template`` has those on ``share`` of them, ``few`` the others.  Copies of a page count
+    ``template`` has those on ``share`` of them, ``few`` the others and all structures of links that recur.  Copies of a page count
     once, and so do pages whose main texts, of 20 words at least, differ in numbers only.
-    A list is bounded by the subtrees of its page, whatever the host.
+    Only what a rule may delete is counted, which without ``names`` is everything.  A list is bounded by the subtrees of its page, whatever the host.
     """
-    schema = pa.schema([("site", pa.int64()), ("subtree", pa.int64()), ("copy", pa.int64()), ("main", pa.int64())])
+    schema = pa.schema([("site", pa.int64()), ("subtree", pa.int64()), ("links", pa.bool_()), ("copy", pa.int64()),
+                        ("main", pa.int64())])
     whole = 0  # stands for the page itself
 
     def task(batches: Batches) -> Batches:
+        done = set()  # a page stored many times leaves each task once
         for batch in pieces(batches, 500):
-            sites, subtrees, copies, mains = [], [], [], []
+            sites, subtrees, links, copies, mains = [], [], [], [], []
             for site, copy, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if copy in done:
+                    continue
+                done.add(copy)
                 parsed = events(text)
-                found = {d for i, d in digests(parsed).items() if parsed[i][1] not in _INLINE
-                         and parsed[i][1] not in _ROOTS and parsed[i][1] not in ("head", "title", "meta")}
+                places = judged(parsed) if names else range(len(parsed))
+                found = {d for i, d in digests(parsed).items() if i in places}
                 found.add(whole)
                 words = re.sub(r"\d+", "", main_text(parsed)).split()
                 main = copy
@@ -338,21 +442,26 @@ def site_templates(pages: DataFrame, share: float = 0.5, least: int = 3) -> Data
                     main = xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")) - (1 << 63)
                 sites += [site] * len(found)
                 subtrees += found
-                copies += [copy] * len(found)
-                mains += [main] * len(found)
-            yield to_batch(schema, sites, subtrees, copies, mains)
+                links += [False] * len(found)
+                built = {d for i, d in shapes(parsed).items() if i in places}
+                sites += [site] * len(built)
+                subtrees += built
+                links += [True] * len(built)
+                copies += [copy] * (len(found) + len(built))
+                mains += [main] * (len(found) + len(built))
+            yield to_batch(schema, sites, subtrees, links, copies, mains)
 
     plain = _plain(pages).filter("host <> ''").select(F.xxhash64("host").alias("site"), "copy", "html")
-    seen = kept_table(in_arrow(plain, task, "site long, subtree long, copy long, main long").distinct(), "site-subtrees")
-    counted = (seen.select("site", "subtree", "main").distinct().groupBy("site", "subtree")
+    seen = kept_table(in_arrow(plain, task, "site long, subtree long, links boolean, copy long, main long"), "site-subtrees")
+    counted = (seen.select("site", "subtree", "links", "main").distinct().groupBy("site", "subtree", "links")
                .agg(F.count("*").alias("n")).filter(F.col("n") >= least))
     counted = kept_table(counted, "site-counts")
     totals = counted.filter(F.col("subtree") == whole).select("site", F.col("n").alias("_pages"))
     recurring = counted.filter(F.col("subtree") != whole).join(totals, "site").select(
-        "site", "subtree", (F.col("n") >= F.col("_pages") * share).alias("most"))
-    return (seen.join(recurring, ["site", "subtree"]).groupBy("copy")
-            .agg(F.collect_list(F.when(F.col("most"), F.col("subtree"))).alias("template"),
-                 F.collect_list(F.when(~F.col("most"), F.col("subtree"))).alias("few")))
+        "site", "subtree", "links", (~F.col("links") & (F.col("n") >= F.col("_pages") * share)).alias("most"))
+    return (seen.join(recurring, ["site", "subtree", "links"]).groupBy("copy")
+            .agg(F.collect_set(F.when(F.col("most"), F.col("subtree"))).alias("template"),
+                 F.collect_set(F.when(~F.col("most"), F.col("subtree"))).alias("few")))
 
 
 def extract_main(pages: DataFrame, share: float = 0.5, least: int = 3) -> DataFrame:
@@ -362,18 +471,52 @@ def extract_main(pages: DataFrame, share: float = 0.5, least: int = 3) -> DataFr
     are ignored, an empty table gives no rows.
     """
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
+    packed = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("copy", pa.int64()), ("html", pa.binary())])
+
+    def pack(batches: Batches) -> Batches:
+        squeeze = zstandard.ZstdCompressor(level=6)
+        for batch in batches:
+            yield to_batch(packed, *batch.columns[:3], [
+                squeeze.compress(t.as_py().encode("utf-8", "surrogatepass")) for t in batch.column(3)])
 
     def task(batches: Batches) -> Batches:
         for batch in pieces(batches, 500):
-            ids, urls, texts, templates, few = (c.to_pylist() for c in batch.columns)
-            said = [main_text(events(t), set(gone or ()), set(some or ()))
-                    for t, gone, some in zip(texts, templates, few)]
+            ids, urls, packed, templates, few = (c.to_pylist() for c in batch.columns)
+            said = [main_text(events(zstandard.decompress(p).decode("utf-8", "surrogatepass")), set(gone or ()), set(some or ()))
+                    for p, gone, some in zip(packed, templates, few)]
             yield to_batch(schema, ids, urls, said, [len(s) for s in said])
 
     templates = kept_table(site_templates(pages, share, least), "site-templates")
-    joined = _plain(pages).join(templates, "copy", "left").select("page_id", "url", "html", "template", "few")
+    # Pages meet their lists by a shuffle: they take it compressed.
+    small = in_arrow(_plain(pages).select("page_id", "url", "copy", "html"), pack,
+                     "page_id long, url string, copy long, html binary")
+    joined = small.join(templates, "copy", "left").select("page_id", "url", "html", "template", "few")
     return in_arrow(joined, task, "page_id long, url string, text string, n_chars long")
 
 
+def rule_effects(pages: DataFrame, share: float = 0.5, least: int = 3) -> DataFrame:
+    """One row: ``pages`` with a host, and how many of them recurrence alone and names alone change.
+
+    Both are counted against the text without scripts and the like.
+    """
+    schema = pa.schema([("recurrence", pa.bool_()), ("names", pa.bool_()), ("after_names", pa.bool_())])
+
+    def task(batches: Batches) -> Batches:
+        for batch in pieces(batches, 500):
+            out = []
+            for text, gone, some in zip(*(c.to_pylist() for c in batch.columns)):
+                parsed, gone, some = events(text), set(gone or ()), set(some or ())
+                bare, named = main_text(parsed, names=False), main_text(parsed)
+                out.append((main_text(parsed, gone, some, names=False) != bare, named != bare,
+                            main_text(parsed, gone, some) != named))
+            if out:
+                yield to_batch(schema, *(list(c) for c in zip(*out)))
+
+    templates = kept_table(site_templates(pages, share, least, names=False), "site-templates")
+    joined = _plain(pages).filter("host <> ''").join(templates, "copy", "left").select("html", "template", "few")
+    return in_arrow(joined, task, "recurrence boolean, names boolean, after_names boolean").agg(
+        F.count("*").alias("pages"), *[F.count_if(c).alias(c) for c in ("recurrence", "names", "after_names")])
+
+
 def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main(read(spark, folder, "pages"))
