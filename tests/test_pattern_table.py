@@ -1,6 +1,7 @@
 """A dictionary of expressions as a table: same tags as running every expression, whatever its length."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,3 +63,14 @@ def test_probes_are_one_row_per_alternative(spark):
     table = spark.createDataFrame([("a", r"\bsql\b|\bmy sql\b"), ("b", "[x]y")], "name string, pattern string")
     assert sorted(map(tuple, pattern_probes(table).select("name", "kind", "probe", "decides").collect())) == [
         ("a", "word", "sql", False), ("a", "word", "sql", True), ("b", "always", "", False)]
+
+
+def test_long_text_is_walked_once_per_length_of_probe(spark):
+    """Cutting out each place by its number took time with the square of the text's length."""
+    text = "ab é" * 100_000 + "\n𝄞python"
+    rows = spark.createDataFrame([(1, "t", text)], "seq long, title string, description string")
+    table = spark.createDataFrame([("p", "𝄞py"), ("edge", "é\\n𝄞"), ("none", "zzz")], "name string, pattern string")
+    tags(tag_from_patterns(texts(spark), table))  # starts workers
+    began = time.monotonic()
+    assert tags(tag_from_patterns(rows, table)) == {1: ["edge", "p"]}
+    assert time.monotonic() - began < 15

@@ -125,8 +125,9 @@ def tag_from_patterns(df: DataFrame, table: DataFrame, key: str = "seq", out: st
     def shown(kind: str, values: Column) -> Column:
         return F.transform(F.array_distinct(values), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("probe")))
 
-    in_a_row = F.flatten(F.transform("_grams", lambda n: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1))), lambda i: F.substring("_text", i, n))))
+    # One walk through the text for each length; cutting out every place by its number walks there each time.
+    in_a_row = F.flatten(F.transform("_grams", lambda n: F.regexp_extract_all(
+        F.col("_text"), F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1))))
     shows = F.concat(shown("word", F.split("_text", r"(?U)\W+")), shown("gram", in_a_row),
                      shown("always", F.array(F.lit(""))))
     met = (said.withColumn("_grams", grams).select("_key", F.explode(shows).alias("_shown")).select("_key", "_shown.*")
