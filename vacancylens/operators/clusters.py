@@ -22,6 +22,8 @@ N_STARTS = 10
 SEED = 42
 # Centres move until no point changes its cluster: each centre is then the mean of its members.
 TOLERANCE = 0.0
+# A step of a fit does little with a point: fewer of them in a task and starting tasks takes longer than the step.
+POINTS_PER_TASK = 1 << 15
 
 _TOKEN = r"(?U)\b\w\w+\b"
 
@@ -93,13 +95,29 @@ def read_terms(postings: DataFrame, max_terms: int | None = None) -> list[tuple[
 
 
 @contextmanager
-def cached_points(points: DataFrame) -> Iterator[DataFrame]:
-    """The points of a fit, kept for its iterations and freed after it; adaptive execution sizes the tasks."""
-    cached = points.persist(StorageLevel.MEMORY_AND_DISK)
+def cached_points(points: DataFrame, per_task: int = POINTS_PER_TASK) -> Iterator[DataFrame]:
+    """The points of a fit, kept for its iterations and freed after it, ``per_task`` of them to a task.
+
+    A cached table stays in the partitions it was computed in, hundreds after a shuffle however few rows
+    they hold, and each step of a fit would start a task for each.  So the points are counted and packed.
+    """
+    loose = points.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        packed = loose.coalesce(max(1, -(-loose.count() // per_task))).persist(StorageLevel.MEMORY_AND_DISK)
+        packed.count()
+    finally:
+        loose.unpersist()
     try:
-        yield cached
+        yield packed
     finally:
-        cached.unpersist()
+        packed.unpersist()
+
+
+def _different_points(points: DataFrame, k: int) -> int:
+    """The number of different points, or ``k`` if there are more.  A few of the points mostly show ``k``."""
+    values = points.select(vector_to_array("features"))
+    few = values.limit(100 * k).distinct().count()
+    return min(k, few if few >= k else values.distinct().count())
 
 
 def best_kmeans(points: DataFrame, k: int, seed: int = SEED, starts: int = N_STARTS,
@@ -112,7 +130,7 @@ def best_kmeans(points: DataFrame, k: int, seed: int = SEED, starts: int = N_STA
     The starts are independent Spark jobs on the same cached points, submitted
     side by side: one start alone leaves most of a cluster idle between steps.
     """
-    k = min(k, points.select(vector_to_array("features")).distinct().count())
+    k = _different_points(points, k)
     if k < 2:
         raise ValueError("clustering needs two different points")
 

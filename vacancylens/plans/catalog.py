@@ -432,6 +432,12 @@ def upsert_postings(raw):
 
 # --- model-based reports -----------------------------------------------------
 
+def _skilled(postings: DataFrame) -> DataFrame:
+    """Keys and skills of the active postings, derived once: a fit and its figures read them many times."""
+    active = postings.filter("status = 'active'").select("job_hash", "skills")
+    return kept_in(work_folder(active.sparkSession, "skilled"), active)
+
+
 def tfidf_skills(postings):
     active = postings.filter("status = 'active'")
     return clusters.tfidf_skills(active, max_terms=MAX_TERMS).withColumn("weight", F.round("weight", 9))
@@ -459,14 +465,14 @@ def _role_points(active: DataFrame) -> tuple[clusters.RoleModel, DataFrame]:
 
 def role_clusters(postings):
     """Every posting with skills, whether it was given to the nearest centre, and what the clusters are worth."""
-    model, points = _role_points(postings.filter("status = 'active'"))
+    model, points = _role_points(_skilled(postings))
     near = fits.distances(points, _centres(model, postings.sparkSession), "job_hash", "own")
     return fits.with_figures(near, fits.clustering(points, "job_hash", "own"))
 
 
 def cluster_terms(postings):
     """The heaviest terms of the centres, how far each weight is off the mean of the members, and whether they are the heaviest."""
-    active = postings.filter("status = 'active'")
+    active = _skilled(postings)
     model, points = _role_points(active)
     sizes = model.assign(active).groupBy("cluster").agg(F.count("*").alias("n"))
     means = (points.groupBy(F.col("own").alias("cluster"), "term").agg(F.sum("x").alias("s")).join(sizes, "cluster")
