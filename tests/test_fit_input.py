@@ -1,9 +1,10 @@
 """What a fit reads: derived once, and in no more tasks than its points fill."""
 
 from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vacancylens.operators import clusters
+from vacancylens.operators import clusters, sparse_pca
 from vacancylens.plans import catalog
 
 
@@ -33,3 +34,16 @@ def test_skills_are_read_from_their_own_folder(spark, tmp_path):
     assert sorted(map(str, kept.collect())) == sorted(map(str, [r for r in spark.createDataFrame(
         [("a", ["x"]), ("a", None)], "job_hash string, skills array<string>").collect()]))
     assert not any(str(tmp_path) in f for f in kept.inputFiles())
+
+
+def test_rows_of_the_iteration_are_kept(spark, monkeypatch):
+    levels = []
+
+    class Watched(sparse_pca.SparsePCA):
+        def __init__(self, rows, *more):
+            levels.append(rows.storageLevel.useMemory)
+            super().__init__(rows, *more)
+
+    monkeypatch.setattr(sparse_pca, "SparsePCA", Watched)
+    _, projected = sparse_pca.sparse_pca(points(spark, 30, 5), 2)
+    assert levels == [True] and projected.filter(F.col("pca_1").isNotNull()).count() == 30

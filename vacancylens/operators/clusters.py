@@ -183,7 +183,8 @@ def pca_2d(vectors: DataFrame, features: str = "features") -> DataFrame:
     vectors dense.  Projection is linear: subtracting the mean of the projected
     values is the same.  Each component's largest loading is made positive.
     """
-    model = PCA(k=2, inputCol=features, outputCol="_pca").fit(vectors)
+    with cached_points(vectors.select(features)) as points:  # the fit reads them several times
+        model = PCA(k=2, inputCol=features, outputCol="_pca").fit(points)
     loadings = model.pc.toArray()
     signs = [float(np.sign(loadings[np.argmax(np.abs(loadings[:, j])), j]) or 1.0) for j in range(2)]
     projected = model.transform(vectors).withColumn("_pca", vector_to_array("_pca")).withColumns({

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .clusters import cached_points
 
 SLICE = 8192          # terms added up by one task
 ENTRIES = 1 << 18     # entries multiplied at a time
@@ -156,7 +157,11 @@ class SparsePCA:
 
 
 def sparse_pca(vectors: DataFrame, n_terms: int, key: str = "job_hash", k: int = 2) -> tuple[SparsePCA, DataFrame]:
-    """The model of ``features`` in ``vectors`` and their projection by ``key``."""
+    """The model of ``features`` in ``vectors`` and their projection by ``key``.
+
+    Every pass of the iteration reads all rows: they are kept for it, not derived again each time.
+    """
     rows = sparse_rows(vectors, key)
-    model = SparsePCA(rows, n_terms, k)
+    with cached_points(rows.select("indices", "values")) as points:
+        model = SparsePCA(points, n_terms, k)
     return model, model.project(rows, key)
