@@ -84,3 +84,23 @@ def test_written_time_stands_in_for_a_time_of_capture(spark):
      .foreachBatch(lambda b, n: b.write.mode("append").parquet(f"{out}/rows")).start().awaitTermination())
     at = spark.read.parquet(f"{out}/rows").first()["captured_at"]
     assert abs(datetime.now() - at) < timedelta(days=1)
+
+
+def test_state_stays_out_of_the_heap_in_any_session(spark, tmp_path, monkeypatch):
+    from vacancylens.plans import catalog
+    from vacancylens.session import settings
+    from vacancylens.streaming import ingest
+
+    class Begun(Exception):
+        pass
+
+    def started(*_):
+        raise Begun({key: spark.conf.get(key) for key in ingest.LARGE_STATE})
+
+    monkeypatch.setattr(catalog, "_started", started)
+    spark.createDataFrame([(1, "http://a.example/b", "<p></p>")], "page_id long, url string, html string").write.parquet(
+        f"{tmp_path}/pages.parquet")
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    with settings(spark, dict.fromkeys(ingest.KEYED_STATE, plain)), pytest.raises(Begun) as begun:
+        catalog.stream_pages(spark, str(tmp_path))
+    assert begun.value.args[0] == ingest.LARGE_STATE and "RocksDB" in str(begun.value)

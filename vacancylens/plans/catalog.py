@@ -280,7 +280,8 @@ def stream_pages(spark, d):
         leads.filter(turn == ARRIVALS - 1 - i).write.mode("append").parquet(f"{folder}/leads")
         found = stream_candidates(*[readers.stream_pages(spark, f"{folder}/{side}", at="captured_at")
                                     for side in ("listings", "leads")], cards=PAGE_CARDS, details=PAGE_POSTING)
-        _started(found, folder).awaitTermination()
+        with settings(spark, ingest.LARGE_STATE):  # for sessions that build_session did not make
+            _started(found, folder).awaitTermination()
     return _digest(settle_postings(_taken(spark, folder), _ts(FIRST_RUN)).select("seq.page_id", "seq.pos", "*").drop("seq"),
                    "description")
 

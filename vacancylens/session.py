@@ -26,6 +26,9 @@ DEFAULTS = {
     # Streaming state outgrows the heap long before it outgrows local disks.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A join has four stores in each partition: together they take this much of an executor, not each its own.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "500",
 }
 
 

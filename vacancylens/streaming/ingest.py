@@ -26,6 +26,9 @@ def stream_clean(raw: DataFrame, cfg: CleanConfig = CleanConfig(), skills: Mappi
 
 # Keyed state needs this store; ``build_session`` sets it for all streams.
 KEYED_STATE = {key: DEFAULTS[key] for key in ("spark.sql.streaming.stateStore.providerClass",)}
+# State that grows with the input stays out of the heap, and all stores of an executor share one allowance.
+LARGE_STATE = KEYED_STATE | {key: DEFAULTS[key] for key in ("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage",
+                                                            "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB")}
 
 
 def _rank(value: object) -> tuple:
